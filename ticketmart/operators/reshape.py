@@ -31,6 +31,13 @@ def answers_map(pairs: Column) -> Column:
     ).otherwise(F.map_from_arrays(distinct, last_answers))
 
 
+def missing_answers(pairs: Column, required: Sequence[str]) -> Column:
+    """Required questions that a record's pairs do not hold."""
+    return F.array_except(
+        F.array(*[F.lit(name) for name in required]), F.transform(pairs, lambda pair: pair[0])
+    )
+
+
 def question_names(records: DataFrame, pairs: Column, seen: Sequence[str]) -> DataFrame:
     """Distinct question texts with the record and place that show them first."""
     shown = records.select(*seen, F.posexplode(pairs).alias("place", "pair"))
