@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,3 +27,8 @@ def check(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def new_table_name(label: str) -> str:
+    """Name for a table of one query run."""
+    return f"{label}_{uuid.uuid4().hex}"

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from ticketmart import schemas
 from ticketmart.checks import derive
 from ticketmart.checks.derive import TICKETS_SQL
-from ticketmart.checks.registry import check, table
+from ticketmart.checks.registry import check, new_table_name, table
 from ticketmart.config import scratch
 from ticketmart.operators import filters, harmonise, joins, payload, pii, reshape, statistics
 from ticketmart.plans import tickets as plan
+from ticketmart.sinks import tables
 from ticketmart.sources import tickets as landed
 from ticketmart.streaming.ingest import copy_available
 
@@ -343,10 +344,7 @@ WHERE contains(lower(name), 'registration') AND year = 1996
 """)
 def repeated_load_deduped(spark: SparkSession, folder: str) -> DataFrame:
     """One interval loaded twice into a raw table, then full-row dedupe in place."""
-    from ticketmart.sinks import tables
-
-    name, where = "ods_orders_check", scratch(spark, "ods")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    name, where = new_table_name("orders"), scratch(spark, "ods")
     tables.create_table(spark, name, schemas.TICKET_ORDERS, f"{where}/first")
     chosen = derive.events(spark, folder).where(filters.is_registration(F.col("name"), 1996))
     rows = plan.order_rows(landed.tickets(chosen, derive.attendees(spark, folder)))

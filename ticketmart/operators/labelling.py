@@ -82,7 +82,9 @@ def labels(replies: DataFrame, task: str) -> DataFrame:
     rows = replies.where(F.col("error").isNull()).select(
         F.explode(parse_reply(F.col("reply"), task)).alias("row")
     )
-    return rows.select(F.col("row")[task].alias(task), F.col("row.category").cast("long"))
+    return rows.select(
+        F.col("row")[task].alias(task), F.col("row.category").cast("long").alias("category")
+    )
 
 
 def failed_batches(replies: DataFrame, task: str) -> DataFrame:

@@ -38,7 +38,7 @@ def read_cells(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
 def missing_to_null(table: DataFrame, texts: Sequence[str] = MISSING_TEXTS) -> DataFrame:
     return table.select(
         *[
-            F.when(~F.col(f"`{name}`").isin(*texts), F.col(f"`{name}`")).alias(name)
+            F.when(~F.col(f"`{name}`").cast("string").isin(*texts), F.col(f"`{name}`")).alias(name)
             for name in table.columns
         ]
     )
