@@ -139,8 +139,7 @@ FROM tickets
 def hash_pii(spark: SparkSession, folder: str) -> DataFrame:
     tickets = landed.tickets(derive.events(spark, folder), derive.attendees(spark, folder))
     rows = payload.parse_payload(plan.order_rows(tickets))
-    answers = reshape.answers_map(F.col("payload.data"))
-    return rows.withColumn("answers", answers).select(
+    return reshape.with_answers(rows, F.col("payload.data")).select(
         F.col("id").alias("event_id"),
         F.col("payload.id").alias("id"),
         F.col("answers")["聯絡人 姓名"].alias("hashed_name"),

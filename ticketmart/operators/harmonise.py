@@ -74,9 +74,8 @@ def harmonise(table: DataFrame, rules: NameRules = CURRENT) -> DataFrame:
 
 def shared_targets(names: DataFrame, raw: str, rules: NameRules = CURRENT) -> DataFrame:
     """Raw names that share their target name with another raw name."""
-    pairs = names.select(
-        target_name(F.col(raw), rules).alias("target"), F.col(raw).alias("raw_name")
-    ).distinct()
+    distinct = names.select(F.col(raw).alias("raw_name")).distinct()
+    pairs = distinct.select(target_name(F.col("raw_name"), rules).alias("target"), "raw_name")
     shared = pairs.groupBy("target").count().where("count > 1")
     return pairs.join(shared.select("target"), "target", "left_semi")
 

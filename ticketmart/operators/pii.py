@@ -1,8 +1,7 @@
 """Removal and extraction of personal data in question/answer pairs.
 
 Pairs are `[question, answer]`, a two-element array, as the ticket system
-delivers them. All functions are column expressions inside one row, so hashing
-needs no shuffle.
+delivers them. All work is done inside one row, so hashing needs no shuffle.
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketmart.functions.text import sha256_text
@@ -54,35 +53,42 @@ def extract_sensitive(pairs: Column, markers: Sequence[str] = SENSITIVE_MARKERS)
 def _text_of(value: Column) -> Column:
     """Text of a JSON value, with truth values capitalised as the hashes expect."""
     text = F.try_variant_get(value, "$", "string")
-    return F.when(F.schema_of_variant(value) == "BOOLEAN", F.initcap(text)).otherwise(text)
+    is_truth = text.isin("true", "false") & (F.schema_of_variant(value) == "BOOLEAN")
+    return F.when(is_truth, F.initcap(text)).otherwise(text)
 
 
-def deidentify_json(payload: Column, markers: Sequence[str] = SENSITIVE_MARKERS) -> Column:
-    """Payload as JSON text without the search text and with sensitive answers hashed.
+def _hashed_pair_text(pair: Column, markers: Sequence[str]) -> Column:
+    question = F.try_variant_get(pair[0], "$", "string")
+    hashed = F.concat(
+        F.lit("["), F.to_json(pair[0]), F.lit(',"'), sha256_text(_text_of(pair[1])), F.lit('"]')
+    )
+    return F.when(_is_sensitive(question, markers), hashed).otherwise(F.to_json(pair))
+
 
-    The payload is taken apart as variants, so fields that no schema knows, and
-    the types of all answers, come through unchanged.
+def deidentify(
+    tickets: DataFrame, column: str = "attendee_info", markers: Sequence[str] = SENSITIVE_MARKERS
+) -> DataFrame:
+    """Payloads as JSON text without the search text and with sensitive answers hashed.
+
+    A payload is taken apart as variants, so fields that no schema knows, and the
+    types of all answers, come through unchanged. It is parsed once; the steps
+    are separate columns so that none is evaluated twice.
     """
-    fields = F.map_filter(
-        F.from_json(payload, "map<string,variant>"),
-        lambda key, _: ~key.isin(SEARCH_TEXT, "data"),
-    )
-    pairs = F.from_json(payload, "data array<array<variant>>")["data"]
-    hashed = F.transform(
-        pairs,
-        lambda pair: F.when(
-            _is_sensitive(F.try_variant_get(pair[0], "$", "string"), markers),
-            F.array(
-                pair[0],
-                F.to_variant_object(F.array(sha256_text(_text_of(pair[1]))))
-                .cast("array<variant>")[0],
+    opened = tickets.withColumn("_fields", F.from_json(column, "map<string,variant>"))
+    steps = opened.withColumns(
+        {
+            "_rest": F.map_filter("_fields", lambda key, _: ~key.isin(SEARCH_TEXT, "data")),
+            "_pairs": F.try_variant_get(F.col("_fields")["data"], "$", "array<array<variant>>"),
+        }
+    ).withColumns(
+        {
+            "_rest": F.to_json("_rest", {"ignoreNullFields": "false"}),
+            "_pairs": F.array_join(
+                F.transform("_pairs", lambda pair: _hashed_pair_text(pair, markers)), ","
             ),
-        ).otherwise(pair),
-    )
-    keep_nulls = {"ignoreNullFields": "false"}
-    with_data = F.map_concat(
-        fields, F.create_map(F.lit("data"), F.parse_json(F.to_json(hashed, keep_nulls)))
+        }
     )
-    return F.when(
-        pairs.isNotNull(), F.to_json(with_data, keep_nulls)
-    ).otherwise(F.to_json(fields, keep_nulls))
+    comma = F.when(F.col("_rest") == "{}", "").otherwise(",")
+    rest = F.substr("_rest", F.lit(2))
+    whole = F.concat(F.lit('{"data":['), "_pairs", F.lit("]"), comma, rest)
+    return steps.withColumn(column, F.coalesce(whole, "_rest")).drop("_fields", "_rest", "_pairs")

@@ -14,21 +14,30 @@ from ticketmart.vocab import SURVEY_KEY, SURVEY_UNUSED_COLUMNS
 MAX_COLUMNS = 10_000
 
 
-def answers_map(pairs: Column) -> Column:
-    """Map of question to answer; of a repeated question the last answer counts."""
-    named = F.filter(pairs, lambda pair: pair[0].isNotNull())
-    questions = F.transform(named, lambda pair: pair[0])
-    distinct = F.array_distinct(questions)
+def with_answers(records: DataFrame, pairs: Column, name: str = "answers") -> DataFrame:
+    """Adds a map of question to answer; of a repeated question the last answer counts.
+
+    The steps are separate columns, so that Spark evaluates each of them once.
+    """
+    steps = (
+        records.withColumn("_named", F.filter(pairs, lambda pair: pair[0].isNotNull()))
+        .withColumn("_questions", F.transform("_named", lambda pair: pair[0]))
+        .withColumn("_distinct", F.array_distinct("_questions"))
+    )
     last_answers = F.transform(
-        distinct,
+        "_distinct",
         lambda question: F.element_at(
-            F.filter(named, lambda pair: pair[0] == question), -1
+            F.filter("_named", lambda pair: pair[0] == question), -1
         )[1],
     )
-    answers = F.transform(named, lambda pair: pair[1])
-    return F.when(
-        F.size(distinct) == F.size(questions), F.map_from_arrays(questions, answers)
-    ).otherwise(F.map_from_arrays(distinct, last_answers))
+    answers = F.transform("_named", lambda pair: pair[1])
+    no_repeat = F.size("_distinct") == F.size("_questions")
+    return steps.withColumn(
+        name,
+        F.when(no_repeat, F.map_from_arrays("_questions", answers)).otherwise(
+            F.map_from_arrays("_distinct", last_answers)
+        ),
+    ).drop("_named", "_questions", "_distinct")
 
 
 def missing_answers(pairs: Column, required: Sequence[str]) -> Column:
@@ -38,22 +47,49 @@ def missing_answers(pairs: Column, required: Sequence[str]) -> Column:
     )
 
 
-def question_names(records: DataFrame, pairs: Column, seen: Sequence[str]) -> DataFrame:
-    """Distinct question texts with the record and place that show them first."""
-    shown = records.select(*seen, F.posexplode(pairs).alias("place", "pair"))
+def question_names(
+    records: DataFrame, added: Column, asked: Column, time: Column
+) -> DataFrame:
+    """Distinct names of added fields and of questions, with where each is seen first.
+
+    Records are first grouped by their whole lists of names, of which there are
+    about as many as versions of the form; only those lists are exploded.
+    """
+    forms = records.groupBy(added.alias("added"), asked.alias("asked")).agg(
+        F.min(time).alias("time")
+    )
+
+    def named(list_name: str, is_question: bool) -> Column:
+        return F.transform(
+            list_name,
+            lambda name, place: F.struct(
+                F.lit(is_question).alias("is_question"), place.alias("place"), name.alias("name")
+            ),
+        )
+
+    shown = forms.select(
+        "time", "asked", F.explode(F.concat(named("added", False), named("asked", True))).alias("q")
+    )
     return (
-        shown.where(F.col("pair")[0].isNotNull())
-        .groupBy(F.col("pair")[0].alias("question"))
-        .agg(F.min(F.struct(*seen, "place")).alias("first_seen"))
+        shown.where("q.name IS NOT NULL")
+        .groupBy("q.is_question", "q.name")
+        .agg(F.min(F.struct("time", "asked", "q.place")).alias("first_seen"))
     )
 
 
-def questions_in_order(names: DataFrame, limit: int = MAX_COLUMNS) -> list[str]:
-    """Question texts by first appearance, for planning the columns of a wide table."""
-    rows = names.orderBy("first_seen", "question").select("question").limit(limit + 1).collect()
-    if len(rows) > limit:
+def names_in_order(names: DataFrame, limit: int = MAX_COLUMNS) -> tuple[list[str], list[str]]:
+    """Added fields, and questions, by first appearance, for planning a wide table's columns.
+
+    At most `limit` names reach the driver; more than that fail the job.
+    """
+    rows = names.orderBy("first_seen", "name").select("is_question", "name").limit(limit + 1)
+    found = rows.collect()
+    if len(found) > limit:
         raise ValueError(f"more than {limit} different questions, too many columns")
-    return [row.question for row in rows]
+    return (
+        [row.name for row in found if not row.is_question],
+        [row.name for row in found if row.is_question],
+    )
 
 
 def pairs_to_wide(
@@ -67,7 +103,7 @@ def pairs_to_wide(
     All pairs of a record are in its row, so this is a projection: no pivot and
     no shuffle. A field comes before the answers of the same target name.
     """
-    held = records.withColumn("_answers", answers_map(pairs))
+    held = with_answers(records, pairs, "_answers")
     columns = []
     for target, questions in plan.items():
         answers = [F.col("_answers")[question] for question in questions]

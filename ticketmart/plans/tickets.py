@@ -13,8 +13,13 @@ from ticketmart.functions.text import paid_flag
 from ticketmart.functions.times import epoch_to_date_text
 from ticketmart.operators import filters, harmonise, joins, reshape
 from ticketmart.operators.dedupe import distinct_rows, latest_per_key
-from ticketmart.operators.payload import json_value, parse_payload, unknown_fields
-from ticketmart.operators.pii import SEARCH_TEXT, deidentify_json, extract_sensitive
+from ticketmart.operators.payload import (
+    json_value,
+    parse_payload,
+    unknown_fields,
+    unknown_names,
+)
+from ticketmart.operators.pii import SEARCH_TEXT, deidentify, extract_sensitive
 from ticketmart.sinks import tables
 from ticketmart.sources import tickets as landed
 
@@ -40,11 +45,8 @@ def selected_tickets(
 
 def order_rows(tickets: DataFrame) -> DataFrame:
     """Rows of the raw table: personal data hashed, nobody refunded yet."""
-    return tickets.select(
-        F.col("id").cast("long"),
-        "name",
-        deidentify_json(F.col("attendee_info")).alias("attendee_info"),
-        F.lit(False).alias("refunded"),
+    return deidentify(tickets).select(
+        F.col("id").cast("long"), "name", "attendee_info", F.lit(False).alias("refunded")
     )
 
 
@@ -65,6 +67,12 @@ def orders_of(orders: DataFrame, year: int | str, ticket_type: str) -> DataFrame
     return orders.where(filters.name_like(F.col("name"), year, ticket_type))
 
 
+_WIDE_FIELDS = (
+    "id bigint, reg_no bigint, ticket_name string, qrcode string, is_paid string, price double, "
+    "payment_method string, updated_at double, data array<array<string>>"
+)
+
+
 def wide_rows(
     orders: DataFrame,
     update_after: float | None = None,
@@ -76,34 +84,38 @@ def wide_rows(
     The columns are planned from the distinct questions of all orders, which is
     one aggregation over the data; pass the questions if a form lists them.
     """
-    parsed = parse_payload(orders)
-    parsed = filters.updated_since(parsed, F.col("payload.updated_at"), update_after)
-    extra = unknown_fields(
-        F.col("attendee_info"), [*schemas.PAYLOAD_FIELDS, SEARCH_TEXT]
-    )
-    extra_pairs = F.transform(
-        F.map_entries(extra), lambda entry: F.array(entry["key"], entry["value"])
-    )
-    records = parsed.select("payload", F.concat(extra_pairs, "payload.data").alias("pairs"))
+    known = [*schemas.PAYLOAD_FIELDS, SEARCH_TEXT]
+    info = F.col("attendee_info")
+    records = orders.select(info, F.from_json(info, _WIDE_FIELDS).alias("payload"))
+    records = records.select("attendee_info", "payload.*")
+    records = filters.updated_since(records, F.col("updated_at"), update_after)
+    pairs = F.coalesce("data", F.array().cast("array<array<string>>"))
+    added = []
     if questions is None:
-        order = records.select(
-            F.col("payload.updated_at").alias("updated_at"),
-            F.col("payload.id").alias("record"),
-            "pairs",
+        # fields that the ticket system adds are taken as questions too, before the others
+        asked = F.transform(pairs, lambda pair: pair[0])
+        names = reshape.question_names(
+            records, unknown_names(info, known), asked, F.col("updated_at")
+        )
+        added, questions = reshape.names_in_order(names)
+        questions = [*added, *questions]
+    if added:
+        extra = F.map_entries(unknown_fields(info, known))
+        pairs = F.concat(
+            F.transform(extra, lambda entry: F.array(entry["key"], entry["value"])), pairs
         )
-        names = reshape.question_names(order, F.col("pairs"), ["updated_at", "record"])
-        questions = reshape.questions_in_order(names)
+    records = records.withColumn("pairs", pairs)
 
     fields = {
-        "registration_no": F.col("payload.reg_no"),
-        "ticket_type": F.col("payload.ticket_name"),
-        "qrcode": F.col("payload.qrcode"),
-        "payment_status": paid_flag(F.col("payload.is_paid"), vocab.PAID_TEXTS),
-        "price": F.col("payload.price"),
-        "payment_method": F.col("payload.payment_method"),
-        "updated_at": F.col("payload.updated_at"),
-        "paid_date": epoch_to_date_text(F.col("payload.updated_at")),
-        "_record": F.col("payload.id"),
+        "registration_no": F.col("reg_no"),
+        "ticket_type": F.col("ticket_name"),
+        "qrcode": F.col("qrcode"),
+        "payment_status": paid_flag(F.col("is_paid"), vocab.PAID_TEXTS),
+        "price": F.col("price"),
+        "payment_method": F.col("payment_method"),
+        "updated_at": F.col("updated_at"),
+        "paid_date": epoch_to_date_text(F.col("updated_at")),
+        "_record": F.col("id"),
     }
     wide = reshape.pairs_to_wide(
         records, F.col("pairs"), harmonise.plan_names(questions, rules), fields
