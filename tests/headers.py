@@ -1,0 +1,53 @@
+"""Headers of the attendee exports of three years and three ticket groups (fixed values)."""
+
+START = [
+    "Id",
+    "Order Number",
+    "Registration No.",
+    "Checkin Code",
+    "Ticket Type",
+    "Payment Status",
+    "Tags",
+    "QR Code Serial No.",
+    "Paid Date",
+    "Price",
+]
+POLICY = "# invoice policy #"
+NICKNAME = "Nickname / 暱稱 (Shown on Badge)"
+INVOICED = "Invoiced Company Name / 發票抬頭"
+BUSINESS = "Unified Business No. / 發票統編"
+INVOICED_OPTIONAL = "Invoiced Company Name / 發票抬頭 (Optional)"
+BUSINESS_OPTIONAL = "Unified Business No. / 發票統編 (Optional)"
+DIET = "Dietary Habit / 餐點偏好"
+BUS = "Need Shuttle Bus Service? 會議兩天的早上  要搭交通車到會場嗎?"
+BUS_3 = "Need Shuttle Bus Service? 會議三天的早上  要搭交通車到會場嗎?"
+SHIRT = "Size of T-shirt / T恤尺寸"
+YEARS = "Years of Using Python / 使用 Python 多久"
+AREA = "Area of Interest / 興趣領域"
+COMPANY_2018 = "Company / 服務單位 (For students or teachers, fill in the School + Department Name)"
+COMPANY = "Company  / 服務單位 (For students or teachers, fill in the School + Department Name)"
+JOB = 'Job Title / 職稱 (If you are a student, fill in "student")'
+FROM = "Come From / 國家或地區"
+GENDER_OLD, GENDER = "Gender / 性別", "Gender / 生理性別"
+CONTACT = ["Contact Name", "Contact Email", "Contact Mobile", "Attendance Book"]
+DEPARTURE = "Departure from (Regions) / 出發區域"
+AID = "Do you know we have Financial Aid this year? / 請問您知道今年有財務補助嗎？"
+NIGHT = ["PyNight 參加意願僅供統計人數，實際是否舉辦需由官方另行公告", "PyNight 參加意願"]
+SPONSOR = ["是否願意收到贊助商轉發 Email 訊息", "是否願意提供 Email 給贊助商"]
+PRIVACY_2020 = "Privacy Policy of PyCon TW 2020 / PyCon TW 2020 個人資料保護聲明 bit.ly/3eipAut"
+EPIDEMIC_2020 = "Epidemic Prevention of PyCon TW 2020 / PyCon TW 2020 COVID-19 防疫守則 bit.ly/3fcnhu2"
+READ_PRIVACY = "I've already read and I accept the Privacy Policy of PyCon TW 2020 / 我已閱讀並同意 PyCon TW 2020 個人資料保護聲明"
+READ_PRIVACY_JOINED = "I've already read and I accept the Privacy Policy of PyConTW 2020 / 我已閱讀並同意 PyCon TW 2020 個人資料保護聲明"
+READ_EPIDEMIC = "I've already read and I accept the Epidemic Prevention of PyCon TW 2020 / 我已閱讀並同意 PyCon TW 2020 COVID-19 防疫守則"
+
+HEADERS = {
+    (2018, "corporate"): [*START, POLICY, NICKNAME, INVOICED, BUSINESS, DIET, BUS, SHIRT, YEARS, AREA, COMPANY_2018, JOB, FROM, GENDER_OLD, *CONTACT],
+    (2018, "individual"): [*START, POLICY, NICKNAME, DIET, BUS, SHIRT, YEARS, AREA, COMPANY_2018, JOB, FROM, GENDER_OLD, *CONTACT],
+    (2018, "reserved"): [*START, POLICY, NICKNAME, INVOICED_OPTIONAL, BUSINESS_OPTIONAL, DIET, BUS, SHIRT, YEARS, AREA, COMPANY_2018, JOB, FROM, GENDER_OLD, *CONTACT],
+    (2019, "corporate"): [*START, POLICY, NICKNAME, INVOICED_OPTIONAL, BUSINESS_OPTIONAL, DIET, BUS, SHIRT, YEARS, AREA, COMPANY, JOB, FROM, GENDER, *CONTACT],
+    (2019, "individual"): [*START, NICKNAME, DIET, BUS_3, SHIRT, YEARS, AREA, COMPANY, JOB, FROM, GENDER, *CONTACT],
+    (2019, "reserved"): [*START, POLICY, NICKNAME, DIET, BUS_3, SHIRT, YEARS, AREA, COMPANY, JOB, FROM, GENDER_OLD, *CONTACT],
+    (2020, "corporate"): [*START, POLICY, NICKNAME, INVOICED_OPTIONAL, BUSINESS_OPTIONAL, DIET, YEARS, AREA, COMPANY, JOB, FROM, DEPARTURE, "How did you find out PyCon TW？ / 如何得知 PyCon TW？", "Have you ever attended PyCon TW？/ 是否曾參加 PyCon TW？", AID, GENDER, *NIGHT, *SPONSOR, PRIVACY_2020, READ_PRIVACY, EPIDEMIC_2020, READ_EPIDEMIC, *CONTACT],
+    (2020, "individual"): [*START, NICKNAME, DIET, YEARS, AREA, COMPANY, JOB, FROM, DEPARTURE, GENDER, "How did you find out PyCon TW? / 如何得知 PyCon TW", "Have you ever attended PyCon TW？/ 是否曾參加 PyCon TW？ /", AID, *NIGHT, *SPONSOR, PRIVACY_2020, READ_PRIVACY_JOINED, EPIDEMIC_2020, READ_EPIDEMIC, *CONTACT],
+    (2020, "reserved"): [*START, NICKNAME, DIET, YEARS, AREA, COMPANY, JOB, FROM, DEPARTURE, GENDER_OLD, *SPONSOR, "Privacy Policy of PyCon TW 2020", READ_PRIVACY_JOINED, "Epidemic Prevention of PyCon TW 2020", READ_EPIDEMIC, *CONTACT],
+}
