@@ -3,7 +3,12 @@
 No side is broadcast by hint here: every side grows with the data, so the
 choice is left to Spark's own size check, and a large left side with a hot key
 is split by adaptive execution. Sides that only say "this key exists" are made
-distinct first.
+distinct first, which sends one row per key and task into the shuffle.
+
+Adaptive execution splits a partition only if both sides of the join come
+straight from a shuffle made for it. A distinct side would instead be joined as
+the aggregation left it, so such joins compare keys null-safely: the keys then
+are not the aggregation's, and Spark shuffles its (small) result once more.
 """
 
 from __future__ import annotations
@@ -26,6 +31,17 @@ def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
     )
 
 
+def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Joins on keys of the same name, of which the left ones are kept."""
+    if how in ("left_anti", "left_semi"):
+        return left.join(right, _same(left, right, keys), how)
+    renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    same = reduce(
+        lambda a, b: a & b, [left[key].eqNullSafe(renamed[f"_right_{key}"]) for key in keys]
+    )
+    return left.join(renamed, same, how).drop(*[f"_right_{key}" for key in keys])
+
+
 def left_join_orders(
     attendees: DataFrame,
     orders: DataFrame,
@@ -57,7 +73,7 @@ def left_only_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows with no equal row on the right, over all common columns; repeats are kept."""
     common = [name for name in left.columns if name in right.columns]
     known = right.select(*[F.col(f"`{name}`") for name in common]).distinct()
-    return left.join(known, _same(left, known, common), "left_anti")
+    return _join(left, known, common, "left_anti")
 
 
 def refunded_attendees(
@@ -69,9 +85,10 @@ def refunded_attendees(
     out; pass the landed events if a list can be empty.
     """
     keys = ["event_id", "attendee_id"]
-    gone = known.select(*keys).distinct().join(latest.select(*keys).distinct(), keys, "left_anti")
+    named = known.where("attendee_id IS NOT NULL").select(*keys).distinct()
+    gone = named.join(latest.select(*keys).distinct(), keys, "left_anti")
     landed = (snapshot_events if snapshot_events is not None else latest).select("event_id")
-    return gone.join(landed.distinct(), "event_id", "left_semi")
+    return _join(gone, landed.distinct(), ["event_id"], "left_semi")
 
 
 def mark_refunded(
@@ -90,7 +107,7 @@ def mark_refunded(
         keyed = keyed.withColumn("_event_id", event_id)
     hits = refunded.select(*[F.col(name).alias(f"_{name}") for name in names]).distinct()
     hits = hits.withColumn("_hit", F.lit(True))
-    return keyed.join(hits, [f"_{name}" for name in names], "left").select(
+    return _join(keyed, hits, [f"_{name}" for name in names], "left").select(
         *[
             F.when(F.col("_hit"), True).otherwise(F.col("refunded")).alias("refunded")
             if name == "refunded"
@@ -127,7 +144,7 @@ def merge_upsert(
     )
     ambiguous = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
     hit = F.when(F.col("_offers") > 1, ambiguous).otherwise(F.col("_offers") == 1)
-    joined = target.where(keyed).join(offers, keys, "left").withColumn("_hit", hit)
+    joined = _join(target.where(keyed), offers, keys, "left").withColumn("_hit", hit)
     updated = joined.select(
         *keys,
         *[
@@ -137,7 +154,9 @@ def merge_upsert(
         F.when(F.col("_hit"), now).otherwise(F.col(time_column)).alias(time_column),
     )
     present = target.where(keyed).select(*keys).distinct()
-    fresh = source.where(keyed).join(present, keys, "left_anti").unionByName(source.where(unkeyed))
+    fresh = _join(source.where(keyed), present, keys, "left_anti").unionByName(
+        source.where(unkeyed)
+    )
     inserted = fresh.select(*keys, *attributes, now.alias(time_column))
     columns = target.columns
     kept = target.where(unkeyed).select(*columns)

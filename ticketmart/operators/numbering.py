@@ -16,13 +16,12 @@ def number_in_order(rows: DataFrame, order: Sequence[str], weight: str | None =
     The rows must be distinct in the order columns. They are range-partitioned
     and checkpointed, so that both the sizes of the ranges and the rows come from
     the same division, also if executors are lost in between. The sizes are one
-    row per range; their running sum is broadcast.
+    row per range, no more than there are shuffle partitions; their running sum
+    is broadcast.
     """
-    spark = rows.sparkSession
-    shared_folder(spark)
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared_folder(rows.sparkSession)
     held = (
-        rows.repartitionByRange(ranges, *order)
+        rows.repartitionByRange(*order)
         .withColumn("_range", F.spark_partition_id())
         .checkpoint()
     )

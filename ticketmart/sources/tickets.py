@@ -3,6 +3,8 @@
 `events/`            {"data": [{"id", "name", ...}, ...]}
 `attendance_books/`  {"event_id", "books": [{"id", "signin_status": [[attendee, ...], ...]}]}
 `attendees/`         {"event_id", "attendee_info": {...}}
+
+A long attendance book may be landed in several lines of the same event.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def events(replies: DataFrame) -> DataFrame:
-    return replies.select(F.explode("data").alias("event")).select(
-        F.col("event.id").alias("event_id"), F.col("event.name").alias("name")
+    """Id and name of each event, once, however often it was landed."""
+    found = replies.select(F.explode("data").alias("event"))
+    return found.groupBy(F.col("event.id").alias("event_id")).agg(
+        F.max("event.name").alias("name")
     )
 
 
