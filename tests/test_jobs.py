@@ -333,6 +333,10 @@ def test_tweet_notices(spark):
     assert notices.newest_state(replies, state).first().rest_id == "13"
     empty = state.limit(0)
     assert notices.tweet_notices(replies, empty, "conf").count() == 3
+    where = scratch(spark, "tweet-state")
+    assert notices.save_tweet_notices(spark, replies, "conf", where).count() == 3
+    assert notices.save_tweet_notices(spark, replies, "conf", where).count() == 1
+    assert spark.table(notices.STATE).first().rest_id == "13"
 
 
 def test_outbox(spark):

@@ -7,6 +7,7 @@ from ticketmart import schemas
 from ticketmart.config import scratch
 from ticketmart.operators import pii
 from ticketmart.plans import tickets as plan
+from ticketmart.sinks import tables
 from ticketmart.sources import tickets as landed
 from ticketmart.streaming import ingest
 
@@ -93,7 +94,7 @@ def test_wide_row_of_the_sample_payload(spark):
     assert row.registration_no == 104
     assert row.paid_date == "2022-07-04"
     assert row.payment_status == "paid"
-    assert row.organization == "雲灣資訊有限公司"
+    assert row.organization == "範例資訊有限公司"
     assert row.country_or_region == "Taiwan 台灣"
     assert row.price == 2600.0
 
@@ -216,6 +217,12 @@ def test_load_dedupe_and_current(spark):
     assert spark.table("ods.orders_t1").count() == 2
     assert spark.table("dwd.wide_t1_individual").count() == 4
     assert plan.current_rows(spark.table("dwd.wide_t1_individual")).count() == 2
+    mixed = plan.order_rows(raw(spark, payload(updated_at=None), payload(id=8)))
+    assert plan.load_orders(spark, mixed, "ods.orders_t4", "dwd.wide_t4") == {
+        "ods.orders_t4": 1,
+        "ods.orders_t4_undated": 1,
+        "dwd.wide_t4_individual": 1,
+    }
     forced = plan.load_orders(spark, orders, "ods.orders_t2", "dwd.wide_t2", group="reserved")
     assert forced["dwd.wide_t2_reserved"] == 2
     empty = orders.limit(0)
@@ -233,7 +240,7 @@ def test_refunds_follow_the_attendance_book(spark):
     assert landed.first_book_id(books).first().book_id == 5
 
     def refunded(by_event):
-        marked = plan.reconcile_refunds(orders, books, by_event)
+        marked = plan.mark(orders, plan.refunded(orders, books), by_event)
         assert marked.schema.fieldNames() == schemas.TICKET_ORDERS.fieldNames()
         return sorted(
             (r.id, json.loads(r.attendee_info)["id"], r.refunded) for r in marked.collect()
@@ -247,4 +254,9 @@ def test_refunds_follow_the_attendance_book(spark):
 def test_empty_book_refunds_everyone(spark):
     orders = raw(spark, payload(id=1)).withColumn("refunded", F.lit(False))
     books = spark.createDataFrame([(EVENT[0], [(5, [])])], landed.BOOKS)
-    assert plan.reconcile_refunds(orders, books).first().refunded is True
+    tables.create_table(spark, "ods.refunds", schemas.TICKET_ORDERS)
+    tables.append(orders, "ods.refunds", schemas.TICKET_ORDERS)
+    where = scratch(spark, "refunds")
+    assert plan.reconcile_refunds(spark, "ods.refunds", books, where) is True
+    assert spark.table("ods.refunds").first().refunded is True
+    assert plan.reconcile_refunds(spark, "ods.refunds", books, where) is False

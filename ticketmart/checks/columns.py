@@ -12,6 +12,7 @@ from ticketmart.operators import harmonise, payload, reshape
 from ticketmart.operators.pii import extract_sensitive as sensitive_of
 from ticketmart.operators.pii import hash_sensitive
 from ticketmart.plans import offline, surveys
+from ticketmart.sources.files import spread
 
 
 @check("""
@@ -119,7 +120,7 @@ def hash_and_extract_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 def _exports(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Order lines as an attendee export, orders as an order export."""
-    lines = table(spark, folder, "lineitem")
+    lines = spread(table(spark, folder, "lineitem"))
     orders = table(spark, folder, "orders")
     attendees = lines.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("Id"),

@@ -291,9 +291,7 @@ SELECT event_id, id AS attendee_id FROM tickets
 WHERE (refunded IS NULL OR NOT refunded) AND id NOT IN (SELECT id FROM latest)
 """)
 def refund_detect(spark: SparkSession, folder: str) -> DataFrame:
-    known = plan.live_attendees(derive.order_rows(spark, folder))
-    books = _books(spark, folder)
-    return joins.refunded_attendees(known, landed.attendee_ids(books), books.select("event_id"))
+    return plan.refunded(derive.order_rows(spark, folder), _books(spark, folder))
 
 
 @check(f"""WITH {TICKETS_SQL}, {_LATEST_IDS}
@@ -303,9 +301,8 @@ SELECT event_id AS id, id AS attendee_id,
 FROM tickets
 """)
 def refund_mark(spark: SparkSession, folder: str) -> DataFrame:
-    marked = plan.reconcile_refunds(
-        derive.order_rows(spark, folder), _books(spark, folder), by_event=True
-    )
+    orders = derive.order_rows(spark, folder)
+    marked = plan.mark(orders, plan.refunded(orders, _books(spark, folder)), by_event=True)
     return marked.select(
         "id", payload.json_value("attendee_info", "$.id", "long").alias("attendee_id"), "refunded"
     )

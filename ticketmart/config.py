@@ -34,16 +34,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without the setting gets a folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        folder = named
-    elif spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="ticketmart-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketmart import schemas
+from ticketmart.config import scratch
 from ticketmart.functions.text import status_url
 from ticketmart.operators.filters import newer_id
+from ticketmart.sinks import tables
 from ticketmart.sources.notices import newest_tweets
 
+STATE = "ods.newest_tweet"
+
 
 def proposal_message(counts: DataFrame) -> DataFrame:
     return counts.select(
@@ -46,6 +51,21 @@ def newest_state(replies: DataFrame, state: DataFrame) -> DataFrame:
     return ids.agg(F.max("rest_id").alias("rest_id")).where("rest_id IS NOT NULL")
 
 
+def save_tweet_notices(
+    spark: SparkSession, replies: DataFrame, account: str, folder: str
+) -> DataFrame:
+    """Notices of one run, after which the stored id is the newest one.
+
+    They are written to the shared folder before the stored id changes.
+    """
+    tables.create_table(spark, STATE, schemas.NEWEST_TWEET)
+    held = scratch(spark, "tweet-notices")
+    state = spark.table(STATE)
+    tweet_notices(replies, state, account).write.parquet(held)
+    tables.replace_table(spark, STATE, newest_state(replies, state), folder)
+    return spark.read.parquet(held)
+
+
 def check_outbox(outbox: DataFrame, extra: str = "extra") -> DataFrame:
     """Adds `problem`, missing for a notification that can be sent."""
     details = F.from_json(extra, "map<string,string>")

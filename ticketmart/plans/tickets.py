@@ -136,15 +136,19 @@ def load_orders(
     """Appends orders to the raw table and, per ticket group, to the wide tables.
 
     The orders are written to the shared folder once, and every step reads them
-    from there instead of hashing the payloads again.
+    from there instead of hashing the payloads again. Orders that nothing can
+    date are put aside in a table of their own before either load.
     """
     if orders.isEmpty():
         return {}
     held = scratch(spark, "orders")
     orders.write.parquet(held)
-    orders = spark.read.parquet(held)
-    tables.create_table(spark, ods, schemas.TICKET_ORDERS)
-    loaded = {ods: tables.append(orders, ods, schemas.TICKET_ORDERS)}
+    orders, undated = split_timed(spark.read.parquet(held))
+    loaded = {}
+    for table, rows in ((ods, orders), (f"{ods}_undated", undated)):
+        tables.create_table(spark, table, schemas.TICKET_ORDERS)
+        if count := tables.append(rows, table, schemas.TICKET_ORDERS):
+            loaded[table] = count
     routed = joins.route(orders, F.col("name"), vocab.TICKET_GROUPS, forced=group)
     for ticket_group in [group] if group else vocab.TICKET_GROUPS:
         of_group = routed.where(F.col("ticket_group") == ticket_group)
@@ -174,14 +178,28 @@ def live_attendees(orders: DataFrame) -> DataFrame:
     )
 
 
-def reconcile_refunds(orders: DataFrame, books: DataFrame, by_event: bool = False) -> DataFrame:
-    """Orders with `refunded` set for attendees that left their event's attendance book."""
-    gone = joins.refunded_attendees(
+def refunded(orders: DataFrame, books: DataFrame) -> DataFrame:
+    """Live attendees that left their event's attendance book."""
+    return joins.refunded_attendees(
         live_attendees(orders), landed.attendee_ids(books), books.select("event_id")
     )
-    return joins.mark_refunded(
-        orders,
-        gone,
-        json_value("attendee_info", "$.id", "long"),
-        F.col("id") if by_event else None,
-    )
+
+
+def mark(orders: DataFrame, gone: DataFrame, by_event: bool = False) -> DataFrame:
+    """Orders with `refunded` set for these attendees, of any event unless told."""
+    attendee_id = json_value("attendee_info", "$.id", "long")
+    return joins.mark_refunded(orders, gone, attendee_id, F.col("id") if by_event else None)
+
+
+def reconcile_refunds(
+    spark: SparkSession, ods: str, books: DataFrame, folder: str, by_event: bool = False
+) -> bool:
+    """Updates the raw table; without a refund it is not written again."""
+    orders = spark.table(ods)
+    held = scratch(spark, "refunded")
+    refunded(orders, books).write.parquet(held)
+    gone = spark.read.parquet(held)
+    if gone.isEmpty():
+        return False
+    tables.replace_table(spark, ods, mark(orders, gone, by_event), folder)
+    return True

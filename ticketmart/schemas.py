@@ -102,3 +102,5 @@ SURVEY_FACT = _table(
 SURVEY_QUESTION = _table(
     ("question_id", "long", False), ("question", "string", False), ("year", "long", False)
 )
+
+NEWEST_TWEET = _table(("rest_id", "string", False))
