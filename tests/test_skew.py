@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ticketmart import schemas
 from ticketmart.operators import dedupe, joins
 from ticketmart.plans import profiles
+from ticketmart.sources import tickets as landed
 
 
 @pytest.fixture()
@@ -88,6 +89,18 @@ def test_upsert_splits_a_hot_profile(adaptive):
     assert "skew=true" in plan
 
 
+def test_tickets_split_a_hot_event(adaptive):
+    attendees = hot(adaptive).select(
+        F.col("k").alias("event_id"), F.col("v").alias("attendee_info")
+    )
+    replies = adaptive.range(0, 60000).select(
+        F.array(F.struct("id", F.lit("n").alias("name"))).alias("data")
+    )
+    count, plan = final_plan(landed.tickets(landed.events(replies), attendees))
+    assert count == 60000
+    assert "skew=true" in plan
+
+
 def test_latest_row_trims_a_hot_key_before_the_shuffle(spark):
     rows = dedupe.latest_per_key(hot(spark), ["k"], [F.desc("v")])
     plan = rows._jdf.queryExecution().executedPlan().toString()

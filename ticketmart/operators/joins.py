@@ -31,8 +31,11 @@ def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
     )
 
 
-def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Joins on keys of the same name, of which the left ones are kept."""
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Joins on keys of the same name, of which the left ones are kept.
+
+    Keys are compared null-safely, for the reason given above.
+    """
     if how in ("left_anti", "left_semi"):
         return left.join(right, _same(left, right, keys), how)
     renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
@@ -73,7 +76,7 @@ def left_only_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows with no equal row on the right, over all common columns; repeats are kept."""
     common = [name for name in left.columns if name in right.columns]
     known = right.select(*[F.col(f"`{name}`") for name in common]).distinct()
-    return _join(left, known, common, "left_anti")
+    return join_on(left, known, common, "left_anti")
 
 
 def refunded_attendees(
@@ -88,7 +91,7 @@ def refunded_attendees(
     named = known.where("attendee_id IS NOT NULL").select(*keys).distinct()
     gone = named.join(latest.select(*keys).distinct(), keys, "left_anti")
     landed = (snapshot_events if snapshot_events is not None else latest).select("event_id")
-    return _join(gone, landed.distinct(), ["event_id"], "left_semi")
+    return join_on(gone, landed.distinct(), ["event_id"], "left_semi")
 
 
 def mark_refunded(
@@ -107,7 +110,7 @@ def mark_refunded(
         keyed = keyed.withColumn("_event_id", event_id)
     hits = refunded.select(*[F.col(name).alias(f"_{name}") for name in names]).distinct()
     hits = hits.withColumn("_hit", F.lit(True))
-    return _join(keyed, hits, [f"_{name}" for name in names], "left").select(
+    return join_on(keyed, hits, [f"_{name}" for name in names], "left").select(
         *[
             F.when(F.col("_hit"), True).otherwise(F.col("refunded")).alias("refunded")
             if name == "refunded"
@@ -144,7 +147,7 @@ def merge_upsert(
     )
     ambiguous = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
     hit = F.when(F.col("_offers") > 1, ambiguous).otherwise(F.col("_offers") == 1)
-    joined = _join(target.where(keyed), offers, keys, "left").withColumn("_hit", hit)
+    joined = join_on(target.where(keyed), offers, keys, "left").withColumn("_hit", hit)
     updated = joined.select(
         *keys,
         *[
@@ -154,7 +157,7 @@ def merge_upsert(
         F.when(F.col("_hit"), now).otherwise(F.col(time_column)).alias(time_column),
     )
     present = target.where(keyed).select(*keys).distinct()
-    fresh = _join(source.where(keyed), present, keys, "left_anti").unionByName(
+    fresh = join_on(source.where(keyed), present, keys, "left_anti").unionByName(
         source.where(unkeyed)
     )
     inserted = fresh.select(*keys, *attributes, now.alias(time_column))

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketmart.operators.joins import join_on
+
 EVENTS = "data array<struct<id:bigint,name:string>>"
 BOOKS = (
     "event_id bigint, books array<struct<id:bigint,signin_status:array<array<string>>>>"
@@ -52,7 +54,11 @@ def read_attendees(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tickets(event_rows: DataFrame, attendees: DataFrame) -> DataFrame:
-    """(id, name, attendee_info): every attendee under its event's id and name."""
-    return attendees.join(event_rows, "event_id").select(
+    """(id, name, attendee_info): every attendee under its event's id and name.
+
+    One event may have much of the attendees; the join can split it.
+    """
+    placed = attendees.where(F.col("event_id").isNotNull())
+    return join_on(placed, event_rows, ["event_id"], "inner").select(
         F.col("event_id").alias("id"), "name", "attendee_info"
     )
