@@ -278,6 +278,15 @@ def test_required_values_are_enforced(spark):
     assert tables.append(rows.where("id = 1"), "ods.required", schema) == 1
 
 
+def test_a_partitioned_table_takes_rows_by_name(spark):
+    schema = T.StructType().add("year", "long", False).add("v", "string", False)
+    tables.create_table(spark, "ods.by_year", schema, partition_by=["year"])
+    rows = spark.createDataFrame([("a", 2023), ("b", 2024)], "v string, year long")
+    tables.append(rows, "ods.by_year", schema)
+    found = spark.table("ods.by_year").where("year = 2024")
+    assert [r.v for r in found.collect()] == ["b"]
+
+
 def test_a_failed_replacement_leaves_the_table(spark):
     tables.create_table(spark, "ods.kept", T.StructType().add("v", "string"))
     tables.append_evolving(spark.createDataFrame([("1",), ("x",)], "v string"), "ods.kept")

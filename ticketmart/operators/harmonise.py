@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketmart import vocab
@@ -76,8 +76,8 @@ def shared_targets(names: DataFrame, raw: str, rules: NameRules = CURRENT) -> Da
     """Raw names that share their target name with another raw name."""
     distinct = names.select(F.col(raw).alias("raw_name")).distinct()
     pairs = distinct.select(target_name(F.col("raw_name"), rules).alias("target"), "raw_name")
-    shared = pairs.groupBy("target").count().where("count > 1")
-    return pairs.join(shared.select("target"), "target", "left_semi")
+    names_of_target = F.count("*").over(Window.partitionBy("target"))
+    return pairs.withColumn("_names", names_of_target).where("_names > 1").drop("_names")
 
 
 def drop_columns(table: DataFrame, names: Sequence[str]) -> DataFrame:

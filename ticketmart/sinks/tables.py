@@ -85,7 +85,8 @@ def append(rows: DataFrame, table: str, schema: T.StructType) -> int:
     if rows.isEmpty():
         logger.info("Nothing to load into %s", table)
         return 0
-    return _insert(enforce(rows, schema), table)
+    columns = rows.sparkSession.table(table).columns
+    return _insert(enforce(rows, schema).select(*columns), table)
 
 
 def append_evolving(rows: DataFrame, table: str, location: str | None = None) -> int:
