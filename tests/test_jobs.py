@@ -207,7 +207,7 @@ def test_labels_skip_failing_and_unreadable_batches(spark):
         return "```json" + json.dumps([{"organization": i, "category": "6"} for i in items]) + "```"
 
     labels, failed = profiles.label_values(
-        source.where("organization <> 'f'"), "organization", labeller, 2, 8192, AS_OF
+        source.where("organization <> 'f'"), "organization", labeller, 2, 8192, AS_OF, parallel=3
     )
     assert sorted(map(tuple, labels.collect())) == [("e", 6)]
     assert sorted((r.batch, r.error) for r in failed.collect()) == [

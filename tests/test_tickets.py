@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from conftest import EVENT, PAIRS, payload
 from pyspark.sql import functions as F
 
@@ -205,6 +206,21 @@ def test_stream_gives_what_the_batch_gives_and_nothing_twice(spark):
     assert sorted(r.registration_no for r in wide.collect()) == [1, 6]
 
 
+def test_a_repeated_batch_has_its_effect_once(spark):
+    folder, out = scratch(spark, "landing"), scratch(spark, "out")
+    land(spark, folder, LANDED)
+    stream = lambda: spark.readStream.schema(landed.ATTENDEES).json(f"{folder}/attendees")
+
+    def breaks_after_writing(batch, batch_id, store):
+        store("rows", batch)
+        raise RuntimeError("lost after the write")
+
+    with pytest.raises(Exception, match="lost after the write"):
+        ingest.run_available(stream(), breaks_after_writing, out)
+    assert ingest.copy_available(stream(), out).count() == len(LANDED)
+    assert ingest.copy_available(stream(), out).count() == len(LANDED)
+
+
 def test_load_dedupe_and_current(spark):
     orders = plan.order_rows(
         raw(spark, payload(), payload(id=7, reg_no=7))
@@ -234,9 +250,13 @@ def test_refunds_follow_the_attendance_book(spark):
         raw(spark, payload(id=2), payload(id=3), event=(9, "Other 2022 registration"))
     )
     orders = orders.withColumn("refunded", F.lit(None).cast("boolean"))
-    books = spark.createDataFrame(
-        [(EVENT[0], [(5, [["1", "in"]]), (6, [["2", "in"]])])], landed.BOOKS
+    book = {"id": 5, "signin_status": [[1, True, "2022-07-04"], ["1", None]]}
+    reply = {"event_id": EVENT[0], "books": [book, {"id": 6, "signin_status": [[2, True]]}]}
+    folder = scratch(spark, "landing")
+    spark.createDataFrame([(json.dumps(reply),)], "value string").write.text(
+        f"{folder}/attendance_books"
     )
+    books = landed.read_books(spark, folder)
     assert landed.first_book_id(books).first().book_id == 5
 
     def refunded(by_event):

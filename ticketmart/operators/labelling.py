@@ -59,8 +59,14 @@ def batch_prompts(chunks: DataFrame, column: str, task: str, token_limit: int) -
     )
 
 
-def ask(prompts: DataFrame, labeller: Labeller) -> DataFrame:
-    """Reply per batch; a batch whose call fails gets the error instead, others go on."""
+def ask(prompts: DataFrame, labeller: Labeller, parallel: int | None = None) -> DataFrame:
+    """Reply per batch; a batch whose call fails gets the error instead, others go on.
+
+    `parallel` sets over how many tasks the batches are spread: prompts are
+    small, so by their size alone few tasks would make all the calls.
+    """
+    if parallel:
+        prompts = prompts.repartition(parallel, "batch")
 
     def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

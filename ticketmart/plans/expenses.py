@@ -9,6 +9,7 @@ from ticketmart.config import scratch
 from ticketmart.operators.joins import left_only_rows
 from ticketmart.plans.reports import expense_message
 from ticketmart.sinks import tables
+from ticketmart.sources.files import read_table
 
 TABLE = "ods.finance"
 
@@ -24,7 +25,7 @@ def save(spark: SparkSession, sheet: DataFrame) -> DataFrame:
     """
     tables.create_table(spark, TABLE, schemas.FINANCE)
     held = scratch(spark, "new-expenses")
-    new_expenses(sheet, spark.table(TABLE)).write.parquet(held)
+    new_expenses(sheet, read_table(spark, TABLE)).write.parquet(held)
     fresh = spark.read.parquet(held)
     tables.append(fresh, TABLE, schemas.FINANCE)
     return expense_message(fresh)

@@ -61,6 +61,7 @@ def label_values(
     batch_size: int = 100,
     token_limit: int = 8192,
     as_of: datetime | str | None = None,
+    parallel: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Labels of the recently updated values, and the batches that failed.
 
@@ -72,7 +73,7 @@ def label_values(
         labelling.chunk(recent, task, batch_size), task, task, token_limit
     )
     path = scratch(profiles.sparkSession, f"replies-{task}")
-    labelling.ask(prompts, labeller).write.parquet(path)
+    labelling.ask(prompts, labeller, parallel).write.parquet(path)
     replies = profiles.sparkSession.read.parquet(path)
     return labelling.labels(replies, task), labelling.failed_batches(replies, task)
 

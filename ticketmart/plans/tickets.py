@@ -71,10 +71,9 @@ def orders_of(orders: DataFrame, year: int | str, ticket_type: str) -> DataFrame
     return orders.where(filters.name_like(F.col("name"), year, ticket_type))
 
 
-_WIDE_FIELDS = (
-    "id bigint, reg_no bigint, ticket_name string, qrcode string, is_paid string, price double, "
-    "payment_method string, updated_at double, data array<array<string>>"
-)
+# the payload's fields that become columns; the paid flag may be a truth value, a number or text
+_WIDE_FIELDS = [name for name in schemas.PAYLOAD_FIELDS if name not in vocab.UNUSED_PAYLOAD_FIELDS]
+_WIDE_SCHEMA = schemas.PAYLOAD.replace("is_paid boolean", "is_paid string")
 
 
 def wide_rows(
@@ -90,8 +89,10 @@ def wide_rows(
     """
     known = [*schemas.PAYLOAD_FIELDS, SEARCH_TEXT]
     info = F.col("attendee_info")
-    records = orders.select(info, F.from_json(info, _WIDE_FIELDS).alias("payload"))
-    records = records.select("attendee_info", "payload.*")
+    records = orders.select(info, F.from_json(info, _WIDE_SCHEMA).alias("payload"))
+    records = records.select(
+        "attendee_info", *[f"payload.{name}" for name in ("id", "data", *_WIDE_FIELDS)]
+    )
     records = filters.updated_since(records, F.col("updated_at"), update_after)
     pairs = F.coalesce("data", F.array().cast("array<array<string>>"))
     added = []
@@ -112,12 +113,8 @@ def wide_rows(
 
     fields = {
         "registration_no": F.col("reg_no"),
-        "ticket_type": F.col("ticket_name"),
-        "qrcode": F.col("qrcode"),
+        **{vocab.PAYLOAD_RENAMES.get(name, name): F.col(name) for name in _WIDE_FIELDS},
         "payment_status": paid_flag(F.col("is_paid"), vocab.PAID_TEXTS),
-        "price": F.col("price"),
-        "payment_method": F.col("payment_method"),
-        "updated_at": F.col("updated_at"),
         "paid_date": epoch_to_date_text(F.col("updated_at")),
         "_record": F.col("id"),
     }
