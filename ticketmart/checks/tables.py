@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
 from ticketmart.checks.registry import check, new_table_name, table
 from ticketmart.config import scratch
 from ticketmart.operators import dedupe, filters, joins
@@ -131,7 +130,7 @@ slices AS (
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 ),
 target AS (
-  SELECT * REPLACE ('old' AS job_title) FROM slices WHERE o_orderkey % 2 = 0
+  SELECT * REPLACE ('old' AS job_title) FROM slices WHERE age_range <> 'F'
 ),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY year, email ORDER BY o_orderkey) AS place FROM slices
@@ -200,7 +199,7 @@ FROM source s WHERE NOT EXISTS (
 def profile_upsert(spark: SparkSession, folder: str) -> DataFrame:
     rows = _slices(spark, folder)
     target = (
-        profiles.profile_rows([rows.where("o_orderkey % 2 = 0")])
+        profiles.profile_rows([rows.where("age_range <> 'F'")])
         .withColumn("job_title", F.lit("old"))
         .withColumn("update_time", F.lit("2020-01-01").cast("timestamp"))
     )
@@ -320,6 +319,3 @@ def set_operations(spark: SparkSession, folder: str) -> DataFrame:
         .intersect(orders.where("o_orderstatus = 'O'").select("value"))
         .subtract(orders.where("value = '5-LOW'").select("value"))
     )
-
-
-

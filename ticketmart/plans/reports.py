@@ -86,7 +86,9 @@ def expense_message(expenses: DataFrame, lines_per_message: int = 100) -> DataFr
     return messages(lines, EXPENSE_COLUMNS, "line", lines_per_message).unionByName(none)
 
 
-def _sales_lines(counts: DataFrame, day: Column, year: int, dashboard: str, prices) -> DataFrame:
+def _sales_lines(
+    counts: DataFrame, day: Column, year: int, dashboard: str, prices: Mapping[str, int]
+) -> DataFrame:
     one = counts.sparkSession.range(1)
     head = F.concat(
         F.lit("Hi 這是今天 "),
