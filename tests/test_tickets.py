@@ -202,7 +202,7 @@ def test_stream_gives_what_the_batch_gives_and_nothing_twice(spark):
     streamed = ingest.read_output(spark, out, "orders").drop("batch_id")
     batch = batch_orders(spark, folder)
     assert sorted(streamed.collect()) == sorted(batch.collect())
-    wide = ingest.read_output(spark, out, "wide_individual")
+    wide = ingest.read_output(spark, out, "wide_individual", evolving=True)
     assert sorted(r.registration_no for r in wide.collect()) == [1, 6]
 
 

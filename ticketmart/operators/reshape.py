@@ -141,10 +141,12 @@ def question_ids(
 
     The result has at most one row per column of the survey.
     """
-    header = known.sparkSession.createDataFrame(
-        [(place, name) for place, name in enumerate(columns) if name not in unused],
-        "place bigint, question string",
-    )
+    asked = [
+        F.struct(F.lit(place).cast("bigint").alias("place"), F.lit(name).alias("question"))
+        for place, name in enumerate(columns)
+        if name not in unused
+    ]
+    header = known.sparkSession.range(1).select(F.inline(F.array(*asked)))
     reused = (
         known.where(F.col("question").isin(*columns))
         .groupBy("question")

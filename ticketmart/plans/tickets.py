@@ -73,7 +73,11 @@ def orders_of(orders: DataFrame, year: int | str, ticket_type: str) -> DataFrame
 
 # the payload's fields that become columns; the paid flag may be a truth value, a number or text
 _WIDE_FIELDS = [name for name in schemas.PAYLOAD_FIELDS if name not in vocab.UNUSED_PAYLOAD_FIELDS]
-_WIDE_SCHEMA = schemas.PAYLOAD.replace("is_paid boolean", "is_paid string")
+_WIDE_SCHEMA = ", ".join(
+    part
+    for part in schemas.PAYLOAD.replace("is_paid boolean", "is_paid string").split(", ")
+    if part.split()[0] in ("id", "data", *_WIDE_FIELDS)
+)
 
 
 def wide_rows(

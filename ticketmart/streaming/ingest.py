@@ -46,9 +46,11 @@ def run_available(
     query.awaitTermination()
 
 
-def read_output(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """All batches of an output, under the columns of all of them."""
-    return spark.read.option("mergeSchema", True).parquet(f"{folder}/{name}")
+def read_output(
+    spark: SparkSession, folder: str, name: str, evolving: bool = False
+) -> DataFrame:
+    """All batches of an output; of an evolving one, under the columns of all of them."""
+    return spark.read.option("mergeSchema", evolving).parquet(f"{folder}/{name}")
 
 
 def copy_available(stream: DataFrame, folder: str, name: str = "rows") -> DataFrame:
