@@ -17,7 +17,8 @@ class Context:
 
 
 def session(master, named=None):
-    conf = SimpleNamespace(get=lambda key, default=None: named or default)
+    values = {"spark.checkpoint.dir": named, "spark.sql.warehouse.dir": "file:/warehouse"}
+    conf = SimpleNamespace(get=lambda key, default=None: values.get(key) or default)
     return SimpleNamespace(conf=conf, sparkContext=Context(master))
 
 
@@ -25,14 +26,14 @@ def test_the_folder_the_cluster_names_is_taken():
     assert config.shared_folder(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
 
 
-def test_a_local_session_gets_one_folder_of_its_own():
-    spark = session("local[8]")
-    assert config.shared_folder(spark) == config.shared_folder(spark)
+def test_a_local_session_takes_a_folder_of_the_warehouse():
+    assert config.shared_folder(session("local[8]")) == "file:/warehouse/_shared"
 
 
-def test_a_cluster_without_a_named_folder_is_refused():
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[3,2,3000]"])
+def test_a_cluster_without_a_named_folder_is_refused(master):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        config.shared_folder(session("yarn"))
+        config.shared_folder(session(master))
 
 
 def test_scratch_paths_are_new(spark):

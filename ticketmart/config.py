@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 from datetime import datetime
 
@@ -32,14 +32,14 @@ def session(app: str = "ticketmart", master: str | None = None, **extra: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors reach, as the cluster names it.
 
-    Only a local session without the setting gets a folder of its own.
+    A local session without the setting takes a folder of the warehouse.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="ticketmart-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
