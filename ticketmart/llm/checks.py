@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmart.llm import decontamination, sentencepiece, simhash, toxicity
+from ticketmart.llm import (
+    decontamination,
+    lines,
+    pages,
+    quality,
+    sentencepiece,
+    simhash,
+    toxicity,
+    vectors,
+)
 from ticketmart.llm.common import crc_remainder, table
 
 #: Where the public vocabulary lies.
@@ -83,3 +92,61 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = sentencepiece.read_model(MODEL)
     return sentencepiece.encoded(table(spark, folder, "documents"), model)
+
+
+_CUT = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"
+
+
+@check(f"""
+WITH a AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+cut AS (SELECT doc_id, i, trim(parts[i], {_CUT}) AS line FROM a, unnest(range(1, len(parts) + 1)) AS t(i)),
+l AS (
+  SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS place,
+    len(regexp_extract_all(line, '[^' || {_CUT} || ']+')) AS words
+  FROM cut WHERE line <> ''),
+c AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY place) AS after FROM l),
+p AS (
+  SELECT doc_id, s.place AS s, e.place AS e FROM c AS s JOIN c AS e USING (doc_id)
+  WHERE e.place >= s.place AND e.after - s.after + s.words >= 50
+    AND (e.after - e.words - s.after + s.words < 50 OR e.after - s.after < 50)),
+named AS (
+  SELECT doc_id, s, e, string_agg(line, chr(10) ORDER BY place) AS passage
+  FROM p JOIN l USING (doc_id) WHERE place BETWEEN s AND e GROUP BY doc_id, s, e),
+later AS (
+  SELECT doc_id, s, e FROM named
+  QUALIFY row_number() OVER (PARTITION BY passage ORDER BY doc_id, s) > 1),
+gone AS (SELECT DISTINCT doc_id, place FROM later, unnest(range(s, e + 1)) AS t(place)),
+counted AS (
+  SELECT doc_id, count(*) AS n_lines, count(gone.place) AS n_removed,
+    string_agg(line, chr(10) ORDER BY place) FILTER (WHERE gone.place IS NULL) AS rest
+  FROM l LEFT JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, CASE WHEN coalesce(n_removed, 0) = 0 THEN text ELSE coalesce(rest, '') END AS text,
+  CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
+FROM documents LEFT JOIN counted USING (doc_id)
+""")
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lines.with_deduped_text(docs)
+
+
+@check()
+def op3_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.linked_vectors(table(spark, folder, "embeddings"))
+
+
+@check()
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = crc_remainder(F.col("doc_id"), 4) == 2
+    rules = quality.fit(docs, labels, allowed=~held_out)
+    return quality.with_scores(docs, rules).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@check()
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.main_texts(table(spark, folder, "pages"))
