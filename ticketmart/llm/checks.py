@@ -11,7 +11,9 @@ from ticketmart.llm import (
     decontamination,
     lines,
     pages,
+    personal_data,
     quality,
+    quotes,
     sentencepiece,
     simhash,
     toxicity,
@@ -150,3 +152,44 @@ def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @check()
 def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return pages.main_texts(table(spark, folder, "pages"))
+
+
+@check("""
+WITH RECURSIVE t AS (
+  SELECT row_number() OVER () AS r, conv_id, turn, role,
+    array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9))),
+      lambda x: x <> ''), chr(10)) AS text
+  FROM conversations),
+n AS (SELECT *, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS plain FROM t),
+quote AS (
+  SELECT n.r, n.conv_id, n.turn, q.plain, n.turn - q.turn AS level
+  FROM n JOIN n AS q ON q.conv_id = n.conv_id AND q.turn IN (n.turn - 1, n.turn - 2)),
+near AS (SELECT conv_id, plain, min(turn) AS turn FROM n GROUP BY ALL),
+far AS (SELECT plain, min((turn, conv_id)) AS first FROM n GROUP BY ALL),
+owner AS (
+  SELECT r, level, CASE WHEN near.turn < quote.turn THEN quote.conv_id ELSE first[2] END AS pc,
+    CASE WHEN near.turn < quote.turn THEN near.turn ELSE first[1] END AS pt, quote.turn
+  FROM quote JOIN near USING (conv_id, plain) JOIN far USING (plain)),
+parent AS (
+  SELECT r, min((level, pt, pc)) AS best FROM owner WHERE pt < turn GROUP BY r),
+step AS (
+  SELECT n.*, best[2] AS pt, best[3] AS pc FROM n LEFT JOIN parent USING (r)),
+walk AS (
+  SELECT r, conv_id, turn, pc, pt, 0 AS depth, conv_id AS rc, turn AS rt FROM step WHERE pt IS NULL
+  UNION ALL
+  SELECT s.r, s.conv_id, s.turn, s.pc, s.pt, w.depth + 1, w.rc, w.rt
+  FROM step AS s JOIN walk AS w ON s.pc = w.conv_id AND s.pt = w.turn)
+SELECT n.conv_id, n.turn, n.role, n.text, w.pc AS parent_scope, w.pt AS parent_place,
+  w.rc AS root_scope, w.rt AS root_place, CAST(w.depth AS BIGINT) AS depth,
+  CAST((SELECT count(*) FROM quote AS q WHERE q.r = n.r) AS BIGINT) AS n_quotes
+FROM n JOIN walk AS w USING (r)
+""")
+def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """The turns, written as mail with nested quotes, made conversations again."""
+    mail = quotes.as_mail(table(spark, folder, "conversations"))
+    return quotes.conversations(mail, "conv_id", "turn", keep=("role",))
+
+
+@check()
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.find(table(spark, folder, "documents"))
