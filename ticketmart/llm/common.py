@@ -54,10 +54,12 @@ def map_text(
     """Adds columns that Python computes from one text column, an Arrow batch at a time.
 
     `work` gets the texts of a batch and gives one array per output column, in
-    the order of the schema string `outputs`. `keep` names the columns that stay.
+    the order of the schema string `outputs`. `keep` names the columns that stay;
+    those that have the name of an output are replaced.
     """
-    keep = frame.columns if keep is None else keep
     added = T._parse_datatype_string(outputs)
+    fresh = {name.lower() for name in added.names}
+    keep = [c for c in (frame.columns if keep is None else keep) if c.lower() not in fresh]
     holder = unused(frame, "_text_in")
     chosen = frame.select(*[column(name) for name in keep], column(text).alias(holder))
     schema = T.StructType([*chosen.schema.fields[:-1], *added.fields])
@@ -85,7 +87,7 @@ def labelled_sample(
 
     The rows with the smallest hashes of doc_id are taken, which does not depend
     on how the tables are divided. A document labelled twice counts as marked if
-    any of its labels says so.
+    any of its labels says so; of a repeated doc_id the least text is taken.
     """
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & allowed)
@@ -95,7 +97,8 @@ def labelled_sample(
         .limit(limit)
     )
     texts = docs.select(column("doc_id").alias("doc_id"), column("text").alias("_text"))
-    return texts.join(known, "doc_id").filter(F.col("_text").isNotNull())
+    found = texts.join(known, "doc_id").filter(F.col("_text").isNotNull())
+    return found.groupBy("doc_id", "_label").agg(F.min("_text").alias("_text"))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
