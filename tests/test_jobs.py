@@ -52,6 +52,7 @@ def test_posts_are_loaded_once_and_counters_every_time(spark):
         assert posts.save(spark, network, read, AS_OF) == {
             "ods.posts_fb_test": new,
             "ods.posts_insights_fb_test": all_posts,
+            "ods.posts_fb_test_undated": 0,
         }
     rows = {r.id: r for r in spark.table("ods.posts_fb_test").collect()}
     assert rows["2"].message == "No message found"
@@ -88,6 +89,10 @@ def test_undated_company_posts_are_put_aside(spark):
         0,
     )
     assert [r.id for r in aside.collect()] == ["u2"]
+    network = posts.Network("undated_test", landed_posts.company_posts)
+    assert posts.save(spark, network, read, AS_OF)["ods.posts_undated_test_undated"] == 1
+    kept = spark.table("ods.posts_undated_test_undated").first()
+    assert kept.id == "u2" and json.loads(kept.post)["favorite"] == 1
 
 
 def test_videos_of_the_last_year(spark):
@@ -135,13 +140,13 @@ def expense(spark, *rows):
 
 
 def test_new_expenses_are_loaded_and_reported(spark):
-    first = expenses.save(spark, expense(spark, ("Taxi", "100"), ("Bus", "20"), ("Bus", "20")))
+    first = expenses.save(spark, expense(spark, ("Taxi", "100"), ("Bus", "20"), ("Bus", "20")), 100)
     assert [r.content for r in first.collect()] == [
         "Bus, 花費: 20, ops, d\nBus, 花費: 20, ops, d\nTaxi, 花費: 100, ops, d"
     ]
-    second = expenses.save(spark, expense(spark, ("Taxi", "100"), ("Cab", "7")))
+    second = expenses.save(spark, expense(spark, ("Taxi", "100"), ("Cab", "7")), 100)
     assert [r.content for r in second.collect()] == ["Cab, 花費: 7, ops, d"]
-    third = expenses.save(spark, expense(spark, ("Taxi", "100")))
+    third = expenses.save(spark, expense(spark, ("Taxi", "100")), 100)
     assert [r.content for r in third.collect()] == ["no data"]
     assert spark.table("ods.finance").count() == 4
 
@@ -157,9 +162,11 @@ def test_messages_hold_every_line_of_a_very_common_one(spark):
 
 def test_sales_message_without_sales(spark):
     counts = spark.createDataFrame([], "name string, ticket_name string, counts bigint")
-    row = reports.sales_message(counts, 2024, "https://d.example.org/1", "2024-05-01").first()
-    assert row.content.startswith("Hi 這是今天 2024-05-01 的票種統計資料")
-    assert row.content.endswith("總共賣出 0 張喔～ (總收入 TWD$0)")
+    row = reports.sales_message(
+        counts, 2024, "https://d.example.org/1", "2024-05-01", lines_per_message=10
+    ).first()
+    assert row.content.startswith("Tickets sold up to 2024-05-01\n")
+    assert row.content.endswith("0 tickets in all, worth TWD 0")
 
 
 def test_numbering_is_dense_over_all_partitions(spark):
@@ -206,15 +213,24 @@ def test_labels_skip_failing_and_unreadable_batches(spark):
             return None
         return "```json" + json.dumps([{"organization": i, "category": "6"} for i in items]) + "```"
 
-    labels, failed = profiles.label_values(
-        source.where("organization <> 'f'"), "organization", labeller, 2, 8192, AS_OF, parallel=3
+    labels, failed, left_out = profiles.label_values(
+        source, "organization", labeller, 2, 8192, AS_OF, parallel=3
     )
-    assert sorted(map(tuple, labels.collect())) == [("e", 6)]
+    assert labels.collect() == [] and left_out.collect() == []
     assert sorted((r.batch, r.error) for r in failed.collect()) == [
         (0, "TimeoutError: late"),
         (1, "unreadable reply"),
+        (2, "empty reply"),
     ]
-    assert profiles.save_labels(spark, labels, "organization") == 1
+
+    def forgetful(prompt, items):
+        rows = [{"organization": i, "category": "6"} for i in items if i != "b"]
+        return "```json" + json.dumps(rows) + "```"
+
+    labels, failed, left_out = profiles.label_values(source, "organization", forgetful, 4, 8192, AS_OF)
+    assert sorted(map(tuple, labels.collect())) == [(v, 6) for v in "acdef"]
+    assert [tuple(r) for r in left_out.collect()] == [(0, "b")]
+    assert profiles.save_labels(spark, labels, "organization") == 5
     assert profiles.save_labels(spark, labels.limit(0), "organization") == 0
     bad = spark.createDataFrame([(0, '```json[{"organization":"x","category":"six"}]```', None)],
                                 "batch bigint, reply string, error string")

@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmart import vocab
-from ticketmart.checks.registry import check, table
+from ticketmart.checks.registry import TASKS, check, table
 from ticketmart.functions import numbers, text, times
 from ticketmart.operators import harmonise, payload, reshape
 from ticketmart.operators.pii import extract_sensitive as sensitive_of
 from ticketmart.operators.pii import hash_sensitive
 from ticketmart.plans import offline, surveys
-from ticketmart.sources.files import spread
 
 
 @check("""
@@ -120,7 +119,7 @@ def hash_and_extract_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 def _exports(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Order lines as an attendee export, orders as an order export."""
-    lines = spread(table(spark, folder, "lineitem"))
+    lines = table(spark, folder, "lineitem").repartition(TASKS)
     orders = table(spark, folder, "orders")
     attendees = lines.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("Id"),

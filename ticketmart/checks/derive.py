@@ -11,9 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmart.checks.registry import table
+from ticketmart.checks.registry import TASKS, table
 from ticketmart.operators.payload import to_payload_text
-from ticketmart.sources.files import spread
 
 COMPANY = "Company  / 服務單位 (For students or teachers, fill in the School + Department Name)"
 JOB = 'Job Title / 職稱 (If you are a student, fill in "student")'
@@ -77,7 +76,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 def _registrations(spark: SparkSession, folder: str) -> DataFrame:
     rows = (
-        spread(table(spark, folder, "orders"))
+        table(spark, folder, "orders").repartition(TASKS)
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmart import schemas
-from ticketmart.checks.registry import check, table
+from ticketmart.checks.registry import check, new_table_name, table
 from ticketmart.config import scratch
 from ticketmart.plans import notices, videos
 from ticketmart.plans import posts as plan
@@ -289,3 +289,46 @@ def outbox_validate(spark: SparkSession, folder: str) -> DataFrame:
     )
     outbox = table(spark, folder, "events").select("event_id", extra.alias("extra"))
     return notices.check_outbox(outbox).drop("extra")
+
+
+@check("""
+SELECT 'urn' || o_orderkey AS id, o_custkey AS favorite FROM orders WHERE o_orderkey % 3 = 0
+""")
+def undated_posts(spark: SparkSession, folder: str) -> DataFrame:
+    """Posts without a time, as the job stores them beside its own tables."""
+    post = F.struct(
+        F.concat(F.lit("urn"), F.col("o_orderkey").cast("string")).alias("urn"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.unix_millis(F.col("o_orderdate").cast("timestamp")))
+        .alias("postedDateTimestamp"),
+        F.col("o_orderpriority").alias("text"),
+        F.col("o_custkey").alias("totalReactionCount"),
+        F.col("o_custkey").alias("commentsCount"),
+        F.col("o_custkey").alias("repostsCount"),
+    )
+    replies = table(spark, folder, "orders").select(F.array(post).alias("data"))
+    network = plan.Network(new_table_name("company"), landed.company_posts)
+    plan.save(spark, network, landed.company_posts(replies), AS_OF)
+    return spark.table(f"{network.posts_table}_undated").select(
+        "id", F.get_json_object("post", "$.favorite").cast("long").alias("favorite")
+    )
+
+
+@check("""
+SELECT CAST(o_orderkey AS VARCHAR) AS "videoId", 'title 2' AS title, o_custkey + 9 AS "viewCount"
+FROM orders
+""")
+def video_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Videos listed under two titles, with details landed twice, two videos to a reply."""
+    key = F.col("o_orderkey").cast("string")
+    listed = table(spark, folder, "orders").select(
+        key.alias("videoId"), F.explode(F.array(F.lit("title 1"), F.lit("title 2"))).alias("title")
+    )
+
+    def item(views: F.Column) -> F.Column:
+        counts = [views.cast("string").alias(name) for name in video_sources.COUNTERS]
+        return F.struct(key.alias("id"), F.struct(*counts).alias("statistics"))
+
+    details = table(spark, folder, "orders").select(
+        F.array(item(F.col("o_custkey")), item(F.col("o_custkey") + 9)).alias("items")
+    )
+    return video_sources.video_statistics(listed, details).select("videoId", "title", "viewCount")

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# the given tables are few files; rows are spread over so many tasks before heavy work
+TASKS = 16
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 

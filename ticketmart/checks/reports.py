@@ -55,7 +55,7 @@ def expense_message(spark: SparkSession, folder: str) -> DataFrame:
 @check("SELECT CAST(0 AS BIGINT) AS part, 'no data' AS content FROM (SELECT count(*) FROM part)")
 def expense_message_of_nothing(spark: SparkSession, folder: str) -> DataFrame:
     sheet = _expenses(spark, folder)
-    return reports.expense_message(joins.left_only_rows(sheet, sheet))
+    return reports.expense_message(joins.left_only_rows(sheet, sheet), lines_per_message=50)
 
 
 @check(f"""{_STATISTICS},
@@ -68,12 +68,12 @@ totals AS (
   FROM counts LEFT JOIN prices USING (ticket_name)
 ),
 lines AS (
-  SELECT 0 AS section, '' AS name, 'Hi 這是今天 1997-09-01 的票種統計資料，售票期結束後，請 follow README 的 `gcloud` 指令進去把 Airflow Dag 關掉' || chr(10) AS line
+  SELECT 0 AS section, '' AS name, 'Tickets sold up to 1997-09-01' AS line
   UNION ALL
-  SELECT 1, name, '  * 票種：' || ticket_name || chr(9) || counts || '張' FROM counts
+  SELECT 1, name, '  ' || ticket_name || ': ' || counts FROM counts
   UNION ALL
-  SELECT 2, '', 'dashboard: https://dashboard.example.org/142?year=1997' || chr(10) || '總共賣出 '
-    || total || ' 張喔～ (總收入 TWD$' || format('{{:,}}', income) || ')' FROM totals
+  SELECT 2, '', 'https://dashboard.example.org/142?year=1997' || chr(10) || total
+    || ' tickets in all, worth TWD ' || format('{{:,}}', income) FROM totals
 )
 SELECT CAST(0 AS BIGINT) AS part, string_agg(line, chr(10) ORDER BY section, line, name) AS content
 FROM lines
@@ -81,7 +81,12 @@ FROM lines
 def sales_message(spark: SparkSession, folder: str) -> DataFrame:
     counts = statistics.registration_statistics(derive.order_rows(spark, folder), PREFIX)
     return reports.sales_message(
-        counts, 1997, "https://dashboard.example.org/142", "1997-09-01", PRICES
+        counts,
+        1997,
+        "https://dashboard.example.org/142",
+        "1997-09-01",
+        PRICES,
+        lines_per_message=100_000,
     )
 
 
@@ -136,7 +141,7 @@ SELECT p_name AS job_title, CAST({_CATEGORY.format("p_name")} AS BIGINT) AS cate
 FROM (SELECT DISTINCT p_name FROM part WHERE p_size > 10)
 """)
 def label_values(spark: SparkSession, folder: str) -> DataFrame:
-    labels, _ = profiles.label_values(
+    labels, _, _ = profiles.label_values(
         _profiles(spark, folder),
         "job_title",
         labelling.keyword_labeller("job_title", KEYWORDS),
@@ -163,12 +168,32 @@ def failed_label_batches(spark: SparkSession, folder: str) -> DataFrame:
             raise ConnectionError("no answer")
         return answer(prompt, items)
 
-    _, failed = profiles.label_values(
+    _, failed, _ = profiles.label_values(
         _profiles(spark, folder), "job_title", unsteady, batch_size=7, as_of="2024-02-01 00:00:00"
     )
     return failed.select("batch", "error")
 
 
+@check("""
+WITH numbered AS (
+  SELECT p_name, row_number() OVER (ORDER BY p_name) - 1 AS place
+  FROM (SELECT DISTINCT p_name FROM part WHERE p_size > 10)
+)
+SELECT place // 7 AS batch, p_name AS job_title FROM numbered WHERE contains(p_name, 'ring')
+""")
+def unlabelled_values(spark: SparkSession, folder: str) -> DataFrame:
+    """A labeller whose replies leave some values out."""
+    answer = labelling.keyword_labeller("job_title", KEYWORDS)
+
+    def forgetful(prompt: str, items: list[str]) -> str | None:
+        return answer(prompt, [item for item in items if "ring" not in item])
+
+    _, _, left_out = profiles.label_values(
+        _profiles(spark, folder), "job_title", forgetful, batch_size=7, as_of="2024-02-01 00:00:00"
+    )
+    return left_out
+
+
 @check("""
 SELECT p_partkey, CASE WHEN p_size % 5 <> 0 THEN p_name END AS organization,
   CASE WHEN p_size % 5 <> 0 THEN CAST(p_size AS VARCHAR) END AS category FROM part

@@ -14,7 +14,7 @@ from ticketmart.operators import filters, harmonise, joins, payload, pii, reshap
 from ticketmart.plans import tickets as plan
 from ticketmart.sinks import tables
 from ticketmart.sources import tickets as landed
-from ticketmart.streaming.ingest import copy_available
+from ticketmart.streaming.ingest import copy_available, ingest_tickets, read_output
 
 PREFIX = "Conf 1997 Registration"
 
@@ -352,3 +352,112 @@ def repeated_load_deduped(spark: SparkSession, folder: str) -> DataFrame:
         payload.json_value("attendee_info", "$.id", "long").alias("attendee_id"),
         payload.json_value("attendee_info", "$.price", "double").alias("price"),
     )
+
+
+
+
+
+def _odd_attendees(spark: SparkSession, folder: str) -> DataFrame:
+    """Attendees of which some have no event id, a cut payload, or no time."""
+    rows = derive.attendees(spark, folder)
+    key = F.get_json_object("attendee_info", "$.id").cast("long")
+    info = F.col("attendee_info")
+    return rows.select(
+        F.when(key % 11 != 1, F.col("event_id")).alias("event_id"),
+        F.when(key % 7 == 3, F.substr(info, F.lit(1), F.length(info) - 5))
+        .when(key % 13 == 2, F.regexp_replace(info, '"updated_at":[^,]*,', ""))
+        .otherwise(info)
+        .alias("attendee_info"),
+    )
+
+
+@check(f"""WITH {TICKETS_SQL},
+sorted AS (SELECT CASE WHEN id % 11 = 1 THEN 'no event id'
+  WHEN id % 7 = 3 THEN 'payload is no JSON object' WHEN id % 13 = 2 THEN 'no time of update'
+  WHEN event_id % 10 = 3 THEN 'waiting' ELSE 'loaded' END AS outcome FROM tickets)
+SELECT outcome, count(*) AS attendees FROM sorted GROUP BY outcome
+""")
+def ticket_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Every landed attendee is loaded, rejected with a reason, or waits for its event."""
+    rows = _odd_attendees(spark, folder)
+    events = derive.events(spark, folder).where("event_id % 10 <> 3")
+    rejected, waiting = plan.sort_out(events, rows)
+    good = rows.join(rejected, ["event_id", "attendee_info"], "left_anti")
+    outcome = (
+        rejected.select(F.col("reason").alias("outcome"))
+        .unionByName(waiting.select(F.lit("waiting").alias("outcome")))
+        .unionByName(
+            plan.order_rows(landed.tickets(events, good)).select(F.lit("loaded").alias("outcome"))
+        )
+    )
+    return outcome.groupBy("outcome").agg(F.count("*").alias("attendees"))
+
+
+@check(f"""WITH {TICKETS_SQL},
+given AS (
+  SELECT id, reg_no, price, updated_at, reg_no % 5 = 1 AS odd_number, id % 9 = 4 AS odd_price
+  FROM tickets WHERE contains(lower(name), 'reserved'))
+SELECT CAST(reg_no AS VARCHAR) AS ticket, price, NULL AS reason FROM given
+WHERE NOT odd_number AND NOT odd_price
+QUALIFY row_number() OVER (PARTITION BY reg_no ORDER BY updated_at DESC, id DESC) = 1
+UNION ALL
+SELECT 'A-' || reg_no, NULL, 'registration number is no number' FROM given WHERE odd_number
+UNION ALL
+SELECT CAST(reg_no AS VARCHAR), NULL, 'price is no number' FROM given WHERE odd_price AND NOT odd_number
+""")
+def wide_rows_text_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbers given as text are read; what is none is rejected, not lost."""
+    info = F.col("attendee_info")
+    key = F.get_json_object(info, "$.id").cast("long")
+    number = F.get_json_object(info, "$.reg_no").cast("long")
+    marked = F.when(number % 5 == 1, '"reg_no":"A-$1"').otherwise('"reg_no":"$1"')
+    texts = F.regexp_replace(info, F.lit('"reg_no":([0-9]+)'), marked)
+    texts = F.when(key % 9 == 4, F.regexp_replace(texts, '"price":[0-9.E]+', '"price":"free"')).otherwise(
+        F.regexp_replace(texts, '"price":([0-9.E]+)', '"price":" $1 "')
+    )
+    orders = derive.order_rows(spark, folder).where(F.contains(F.lower("name"), F.lit("reserved")))
+    orders = orders.withColumn("attendee_info", texts)
+    wide = plan.wide_rows(orders).select(
+        F.col("registration_no").cast("string").alias("ticket"),
+        "price",
+        F.lit(None).cast("string").alias("reason"),
+    )
+    rejects = plan.wide_rejects(orders).select(
+        F.get_json_object("attendee_info", "$.reg_no").alias("ticket"),
+        F.lit(None).cast("double").alias("price"),
+        "reason",
+    )
+    return wide.unionByName(rejects)
+
+
+@check(f"""WITH {TICKETS_SQL}
+SELECT id, reg_no FROM tickets
+WHERE event_id % 10 <> 3 AND year = 1997 AND is_paid AND updated_at > {START} AND updated_at < {END}
+""")
+def stream_tickets(spark: SparkSession, folder: str) -> DataFrame:
+    """Attendees that land before and after their events, through two runs of the stream."""
+    landing, out = scratch(spark, "landing"), scratch(spark, "tickets-out")
+    parts = derive.attendees(spark, folder).select(
+        F.to_json(F.struct("event_id", "attendee_info")).alias("value"),
+        (F.get_json_object("attendee_info", "$.id").cast("long") % 2).alias("part"),
+    )
+    events = derive.events(spark, folder).where("event_id % 10 <> 3")
+    names = events.select(
+        F.to_json(
+            F.struct(F.array(F.struct(F.col("event_id").alias("id"), "name")).alias("data"))
+        ).alias("value"),
+        (F.col("event_id") % 2).alias("part"),
+    )
+    for part in (0, 1):
+        names.where(F.col("part") == part).select("value").write.mode("append").text(
+            f"{landing}/events"
+        )
+        parts.where(F.col("part") == part).select("value").write.mode("append").text(
+            f"{landing}/attendees"
+        )
+        ingest_tickets(spark, landing, out, 1997, START, END)
+    orders = read_output(spark, out, "orders")
+    return orders.select(
+        F.get_json_object("attendee_info", "$.id").cast("long").alias("id"),
+        F.get_json_object("attendee_info", "$.reg_no").cast("long").alias("reg_no"),
+    )

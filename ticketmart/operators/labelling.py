@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticketmart.operators import joins
 from ticketmart.operators.numbering import number_in_order
 from ticketmart.operators.payload import parse_reply
 from ticketmart.vocab import INDUSTRIES, JOB_CLASSES
@@ -36,7 +37,7 @@ def task_text(task: str) -> str:
 def chunk(values: DataFrame, column: str, size: int) -> DataFrame:
     """Distinct values with the number of their batch; every batch is full but the last."""
     return number_in_order(values.select(column).distinct(), [column]).select(
-        F.floor(F.col("start") / size).cast("long").alias("batch"), column
+        F.expr(f"start div {int(size)}").alias("batch"), column
     )
 
 
@@ -94,15 +95,24 @@ def labels(replies: DataFrame, task: str) -> DataFrame:
 
 
 def failed_batches(replies: DataFrame, task: str) -> DataFrame:
-    """Batches that gave no labels: the call failed, or the reply cannot be read."""
-    unread = (F.length("reply") > 0) & parse_reply(F.col("reply"), task).isNull()
+    """Batches that gave no labels: the call failed, or the reply is empty or cannot be read."""
+    empty = F.coalesce(F.trim("reply"), F.lit("")) == ""
+    unread = parse_reply(F.col("reply"), task).isNull()
+    why = F.when(empty, F.lit("empty reply")).when(unread, F.lit("unreadable reply"))
     return replies.select(
         "batch",
-        F.coalesce("error", F.when(unread, F.lit("unreadable reply"))).alias("error"),
+        F.coalesce("error", why).alias("error"),
         "reply",
     ).where(F.col("error").isNotNull())
 
 
+def unlabelled(prompts: DataFrame, labelled: DataFrame, failed: DataFrame, task: str) -> DataFrame:
+    """(batch, value) of all values asked for that readable replies leave out."""
+    asked = prompts.select("batch", F.explode("items").alias(task))
+    answered = joins.join_on(asked, failed.select("batch"), ["batch"], "left_anti")
+    return joins.join_on(answered, labelled.select(task).distinct(), [task], "left_anti")
+
+
 def keyword_category(text: Column, keywords: Sequence[tuple[str, int]]) -> Column:
     """Category of the first keyword found in the text, 0 if none is."""
     category = F.lit(0)

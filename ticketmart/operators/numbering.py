@@ -20,22 +20,25 @@ def number_in_order(rows: DataFrame, order: Sequence[str], weight: str | None =
     is broadcast.
     """
     shared_folder(rows.sparkSession)
-    held = (
-        rows.repartitionByRange(*order)
-        .withColumn("_range", F.spark_partition_id())
-        .checkpoint()
-    )
-    amount = F.col(weight) if weight else F.lit(1)
-    sizes = held.groupBy("_range").agg(F.sum(amount).alias("_size"))
+    ordered = rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    if weight:
+        inside = (
+            Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        )
+        place = F.coalesce(F.sum(weight).over(inside), F.lit(0))
+        size = F.max(F.col("_place") + F.col(weight))
+    else:  # Spark numbers the rows of a task from the task's number, shifted by 33 bits
+        ordered = ordered.sortWithinPartitions(*order)
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        size = F.max(F.col("_place") + 1)
+    held = ordered.withColumn("_place", place).checkpoint()
+    sizes = held.groupBy("_range").agg(size.alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
-    inside = (
-        Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    )
     return (
         held.join(F.broadcast(offsets), "_range")
-        .withColumn("start", F.col("_offset") + F.coalesce(F.sum(amount).over(inside), F.lit(0)))
-        .drop("_range", "_offset")
+        .withColumn("start", F.col("_offset") + F.col("_place"))
+        .drop("_range", "_offset", "_place")
     )

@@ -51,18 +51,36 @@ def extract_sensitive(pairs: Column, markers: Sequence[str] = SENSITIVE_MARKERS)
 
 
 def _text_of(value: Column) -> Column:
-    """Text of a JSON value, with truth values capitalised as the hashes expect."""
+    """Text of a JSON value as the hashes expect it: True, False, and 2600.0 for a whole float."""
     text = F.try_variant_get(value, "$", "string")
-    is_truth = text.isin("true", "false") & (F.schema_of_variant(value) == "BOOLEAN")
-    return F.when(is_truth, F.initcap(text)).otherwise(text)
+    kind = F.schema_of_variant(value)
+    whole_float = kind.rlike("^(DECIMAL|DOUBLE|FLOAT)") & text.rlike("^-?[0-9]+$")
+    return (
+        F.when((kind == "BOOLEAN") & text.isin("true", "false"), F.initcap(text))
+        .when(whole_float, F.concat(text, F.lit(".0")))
+        .otherwise(text)
+    )
 
 
 def _hashed_pair_text(pair: Column, markers: Sequence[str]) -> Column:
-    question = F.try_variant_get(pair[0], "$", "string")
+    """Text of a pair with its answer hashed; what is no such pair stays as it is."""
+    parts = F.try_variant_get(pair, "$", "array<variant>")
+    question = F.try_variant_get(F.get(parts, F.lit(0)), "$", "string")
+    rest = F.transform(F.slice(parts, 3, F.greatest(F.size(parts), F.lit(3))), lambda part: F.to_json(part))
+    answer = sha256_text(_text_of(F.get(parts, F.lit(1))))
+    first = F.concat(F.to_json(F.get(parts, F.lit(0))), F.lit(',"'), answer, F.lit('"'))
     hashed = F.concat(
-        F.lit("["), F.to_json(pair[0]), F.lit(',"'), sha256_text(_text_of(pair[1])), F.lit('"]')
+        F.lit("["), F.array_join(F.concat(F.array(first), rest), ","), F.lit("]")
+    )
+    wanted = _is_sensitive(question, markers) & (F.size(parts) >= 2)
+    return F.when(F.coalesce(wanted, F.lit(False)), hashed).otherwise(
+        F.coalesce(F.to_json(pair), F.lit("null"))
     )
-    return F.when(_is_sensitive(question, markers), hashed).otherwise(F.to_json(pair))
+
+
+def readable(column: Column | str = "attendee_info") -> Column:
+    """Whether a payload is a JSON object."""
+    return F.coalesce(F.json_object_keys(column).isNotNull(), F.lit(False))
 
 
 def deidentify(
@@ -71,18 +89,26 @@ def deidentify(
     """Payloads as JSON text without the search text and with sensitive answers hashed.
 
     A payload is taken apart as variants, so fields that no schema knows, and the
-    types of all answers, come through unchanged. It is parsed once; the steps
-    are separate columns so that none is evaluated twice.
+    types of all answers, come through unchanged; so do pairs of another form and
+    a `data` that is no list. It is parsed once; the steps are separate columns so
+    that none is evaluated twice. Text that is no JSON object becomes null:
+    `readable` tells such payloads, which are to be put aside.
     """
     opened = tickets.withColumn("_fields", F.from_json(column, "map<string,variant>"))
     steps = opened.withColumns(
         {
-            "_rest": F.map_filter("_fields", lambda key, _: ~key.isin(SEARCH_TEXT, "data")),
-            "_pairs": F.try_variant_get(F.col("_fields")["data"], "$", "array<array<variant>>"),
+            "_pairs": F.try_variant_get(F.col("_fields")["data"], "$", "array<variant>"),
         }
     ).withColumns(
         {
-            "_rest": F.to_json("_rest", {"ignoreNullFields": "false"}),
+            "_rest": F.to_json(
+                F.map_filter(
+                    "_fields",
+                    lambda key, _: (key != SEARCH_TEXT)
+                    & ((key != "data") | F.col("_pairs").isNull()),
+                ),
+                {"ignoreNullFields": "false"},
+            ),
             "_pairs": F.array_join(
                 F.transform("_pairs", lambda pair: _hashed_pair_text(pair, markers)), ","
             ),

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from ticketmart.operators.harmonise import first_value
 from ticketmart.vocab import SURVEY_KEY, SURVEY_UNUSED_COLUMNS
 
-# what a warehouse table can hold; more names than this are no questionnaire
-MAX_COLUMNS = 10_000
-
-
 def with_answers(records: DataFrame, pairs: Column, name: str = "answers") -> DataFrame:
     """Adds a map of question to answer; of a repeated question the last answer counts.
 
@@ -77,18 +73,18 @@ def question_names(
     )
 
 
-def names_in_order(names: DataFrame, limit: int = MAX_COLUMNS) -> tuple[list[str], list[str]]:
+def names_in_order(names: DataFrame, columns: int) -> tuple[list[str], list[str], bool]:
     """Added fields, and questions, by first appearance, for planning a wide table's columns.
 
-    At most `limit` names reach the driver; more than that fail the job.
+    The first `columns` names become columns and reach the driver; the last value
+    says whether there are more, which then stay in the map of other answers.
     """
-    rows = names.orderBy("first_seen", "name").select("is_question", "name").limit(limit + 1)
+    rows = names.orderBy("first_seen", "name").select("is_question", "name").limit(columns + 1)
     found = rows.collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} different questions, too many columns")
     return (
-        [row.name for row in found if not row.is_question],
-        [row.name for row in found if row.is_question],
+        [row.name for row in found[:columns] if not row.is_question],
+        [row.name for row in found[:columns] if row.is_question],
+        len(found) > columns,
     )
 
 
@@ -97,9 +93,14 @@ def pairs_to_wide(
     pairs: Column,
     plan: Mapping[str, Sequence[str]],
     fields: Mapping[str, Column],
+    other: str | None = None,
+    unwanted: Sequence[str] = (),
 ) -> DataFrame:
     """One column per target name, next to the record's own fields.
 
+    `other` names a map of all answers that have no column, apart from the
+    unwanted ones; without it the plan has to hold every question.
+
     All pairs of a record are in its row, so this is a projection: no pivot and
     no shuffle. A field comes before the answers of the same target name.
     """
@@ -117,6 +118,13 @@ def pairs_to_wide(
         if answers:
             value = F.coalesce(value, first_value(answers).try_cast(kind))
         own.append(value.alias(name))
+    if other:
+        planned = [question for questions in plan.values() for question in questions]
+        known = F.array(*[F.lit(name) for name in dict.fromkeys([*planned, *unwanted])])
+        known = known.cast("array<string>")
+        columns.append(
+            F.map_filter("_answers", lambda name, _: ~F.array_contains(known, name)).alias(other)
+        )
     return held.select(*own, *columns)
 
 

@@ -9,7 +9,6 @@ from ticketmart.config import scratch
 from ticketmart.operators.joins import left_only_rows
 from ticketmart.plans.reports import expense_message
 from ticketmart.sinks import tables
-from ticketmart.sources.files import read_table
 
 TABLE = "ods.finance"
 
@@ -18,14 +17,14 @@ def new_expenses(sheet: DataFrame, known: DataFrame) -> DataFrame:
     return left_only_rows(sheet, known)
 
 
-def save(spark: SparkSession, sheet: DataFrame) -> DataFrame:
+def save(spark: SparkSession, sheet: DataFrame, lines_per_message: int) -> DataFrame:
     """Appends the new expenses and gives their report.
 
     They are held in the shared folder first, as after the load nothing is new.
     """
     tables.create_table(spark, TABLE, schemas.FINANCE)
     held = scratch(spark, "new-expenses")
-    new_expenses(sheet, read_table(spark, TABLE)).write.parquet(held)
+    new_expenses(sheet, spark.table(TABLE)).write.parquet(held)
     fresh = spark.read.parquet(held)
     tables.append(fresh, TABLE, schemas.FINANCE)
-    return expense_message(fresh)
+    return expense_message(fresh, lines_per_message)

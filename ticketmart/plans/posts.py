@@ -17,6 +17,9 @@ from ticketmart.sinks import tables
 from ticketmart.sources import posts as landed
 
 
+UNDATED = T.StructType().add("id", "string").add("query_time", "timestamp").add("post", "string")
+
+
 @dataclass(frozen=True)
 class Network:
     """How a network's posts are read, and what is kept of their counters."""
@@ -68,16 +71,25 @@ def insight_snapshot(
     )
 
 
+def undated_posts(aside: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
+    """Posts put aside, as JSON text with all their counters, and when they were seen."""
+    return aside.select(
+        "id", moment(as_of).alias("query_time"), F.to_json(F.struct("*")).alias("post")
+    )
+
+
 def save(
     spark: SparkSession,
     network: Network,
     posts: DataFrame,
     as_of: datetime | str | None = None,
 ) -> dict[str, int]:
-    """Appends to the network's own two tables; posts without a time are left out of both."""
+    """Appends to the network's own tables; posts that lack a required value have their own."""
     tables.create_table(spark, network.posts_table, schemas.POSTS)
     tables.create_table(spark, network.insights_table, network.insights)
-    dated, _ = tables.split_required(posts, schemas.POSTS)
+    undated = f"{network.posts_table}_undated"
+    tables.create_table(spark, undated, UNDATED)
+    dated, aside = tables.split_required(posts, schemas.POSTS)
     fresh = new_posts(dated, spark.table(network.posts_table))
     return {
         network.posts_table: tables.append(fresh, network.posts_table, schemas.POSTS),
@@ -86,4 +98,5 @@ def save(
             network.insights_table,
             network.insights,
         ),
+        undated: tables.append(undated_posts(aside, as_of), undated, UNDATED),
     }

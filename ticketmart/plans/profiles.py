@@ -62,11 +62,12 @@ def label_values(
     token_limit: int = 8192,
     as_of: datetime | str | None = None,
     parallel: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Labels of the recently updated values, and the batches that failed.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Labels of the recently updated values, the batches that failed, and values left out.
 
-    Replies are written to the shared folder before they are read, so that no
-    batch is asked for twice.
+    Every value asked for is labelled, in a failed batch, or left out by its
+    reply. Replies are written to the shared folder before they are read, so that
+    no batch is asked for twice.
     """
     recent = filters.recent_values(profiles, task, "update_time", as_of)
     prompts = labelling.batch_prompts(
@@ -75,7 +76,8 @@ def label_values(
     path = scratch(profiles.sparkSession, f"replies-{task}")
     labelling.ask(prompts, labeller, parallel).write.parquet(path)
     replies = profiles.sparkSession.read.parquet(path)
-    return labelling.labels(replies, task), labelling.failed_batches(replies, task)
+    labelled, failed = labelling.labels(replies, task), labelling.failed_batches(replies, task)
+    return labelled, failed, labelling.unlabelled(prompts, labelled, failed, task)
 
 
 def save_labels(spark: SparkSession, labels: DataFrame, task: str) -> int:

@@ -1,13 +1,14 @@
 """Reports as message rows.
 
 A message is one text, so it cannot grow with the data: lines are numbered in
-order over all partitions and joined into messages of a bounded number of
-lines. With no more lines than that, the report is one message.
+order over all partitions and joined into messages of a number of lines that
+the caller sets. With no more lines than that, the report is one message.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -74,7 +75,7 @@ def expense_lines(expenses: DataFrame) -> DataFrame:
     return expenses.select(*EXPENSE_COLUMNS, text.alias("line"))
 
 
-def expense_message(expenses: DataFrame, lines_per_message: int = 100) -> DataFrame:
+def expense_message(expenses: DataFrame, lines_per_message: int) -> DataFrame:
     """New expenses as messages, in the order of all columns; `no data` if there are none."""
     lines = expense_lines(expenses)
     none = (
@@ -86,24 +87,28 @@ def expense_message(expenses: DataFrame, lines_per_message: int = 100) -> DataFr
     return messages(lines, EXPENSE_COLUMNS, "line", lines_per_message).unionByName(none)
 
 
+@dataclass(frozen=True)
+class SalesWords:
+    """Wording of the sales message: header, a line per ticket, and totals."""
+
+    head: str = "Tickets sold up to "
+    ticket: str = "  %s: %d"
+    total: str = "%d tickets in all, worth TWD %s"
+
+
 def _sales_lines(
-    counts: DataFrame, day: Column, year: int, dashboard: str, prices: Mapping[str, int]
+    counts: DataFrame,
+    day: Column,
+    year: int,
+    dashboard: str,
+    prices: Mapping[str, int],
+    words: SalesWords,
 ) -> DataFrame:
     one = counts.sparkSession.range(1)
-    head = F.concat(
-        F.lit("Hi 這是今天 "),
-        F.date_format(day, "yyyy-MM-dd"),
-        F.lit(
-            " 的票種統計資料，售票期結束後，請 follow README 的 `gcloud` 指令進去把 Airflow Dag 關掉\n"
-        ),
-    )
-    ticket = F.format_string("  * 票種：%s\t%d張", "ticket_name", "counts")
-    foot = F.concat(
-        F.lit(f"dashboard: {dashboard}?year={year}\n總共賣出 "),
-        F.col("total").cast("string"),
-        F.lit(" 張喔～ (總收入 TWD$"),
-        thousands(F.col("total_income")),
-        F.lit(")"),
+    head = F.concat(F.lit(words.head), F.date_format(day, "yyyy-MM-dd"))
+    ticket = F.format_string(words.ticket, "ticket_name", "counts")
+    foot = F.format_string(
+        f"{dashboard}?year={year}\n{words.total}", "total", thousands(F.col("total_income"))
     )
 
     def lines(rows: DataFrame, section: int, name: Column, text: Column) -> DataFrame:
@@ -122,8 +127,10 @@ def sales_message(
     dashboard: str,
     as_of: datetime | str | None = None,
     prices: Mapping[str, int] = TICKET_PRICES,
-    lines_per_message: int = 100,
+    *,
+    lines_per_message: int,
+    words: SalesWords = SalesWords(),
 ) -> DataFrame:
     """Header, one line per ticket of each event, and totals."""
-    lines = _sales_lines(counts, moment(as_of), year, dashboard, prices)
+    lines = _sales_lines(counts, moment(as_of), year, dashboard, prices, words)
     return messages(lines, ["section", "line", "name"], "line", lines_per_message)

@@ -45,6 +45,8 @@ def save(
             .option("header", True)
             .option("multiLine", True)
             .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
             .csv(path)
         )
         loaded[table] = tables.append(exported, table, schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmart import schemas, vocab
@@ -19,7 +19,7 @@ from ticketmart.operators.payload import (
     unknown_fields,
     unknown_names,
 )
-from ticketmart.operators.pii import SEARCH_TEXT, deidentify, extract_sensitive
+from ticketmart.operators.pii import SEARCH_TEXT, deidentify, extract_sensitive, readable
 from ticketmart.sinks import tables
 from ticketmart.sources import tickets as landed
 
@@ -47,9 +47,34 @@ def selected_tickets(
     )
 
 
+def sort_out(event_rows: DataFrame, attendees: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Attendees that no load can take: (rejected with the reason, waiting for their event).
+
+    Rejected are those whose payload is no JSON object or has no time, and those
+    without an event id; as such a payload cannot be hashed, its table is for
+    those who may see personal data. All other attendees are either loaded or
+    left out by the selection's own conditions.
+    """
+    timed = F.get_json_object("attendee_info", "$.updated_at").try_cast("double").isNotNull()
+    reason = (
+        F.when(F.col("event_id").isNull(), "no event id")
+        .when(~readable(), "payload is no JSON object")
+        .when(~timed, "no time of update")
+    )
+    checked = attendees.withColumn("reason", reason)
+    rejected = checked.where(F.col("reason").isNotNull())
+    waiting = joins.join_on(
+        checked.where(F.col("reason").isNull()).drop("reason"), event_rows, ["event_id"], "left_anti"
+    )
+    return rejected, waiting
+
+
 def order_rows(tickets: DataFrame) -> DataFrame:
-    """Rows of the raw table: personal data hashed, nobody refunded yet."""
-    return deidentify(tickets).select(
+    """Rows of the raw table: personal data hashed, nobody refunded yet.
+
+    Payloads that are no JSON objects are left out; `sort_out` gives them.
+    """
+    return deidentify(tickets.where(readable())).select(
         F.col("id").cast("long"), "name", "attendee_info", F.lit(False).alias("refunded")
     )
 
@@ -71,25 +96,49 @@ def orders_of(orders: DataFrame, year: int | str, ticket_type: str) -> DataFrame
     return orders.where(filters.name_like(F.col("name"), year, ticket_type))
 
 
-# the payload's fields that become columns; the paid flag may be a truth value, a number or text
+# the payload's fields that become columns; the paid flag may be a truth value, a number or
+# text, and numbers may be given as text
+_TEXTS = {"is_paid boolean": "is_paid string", "reg_no bigint": "reg_no string", "price double": "price string"}
 _WIDE_FIELDS = [name for name in schemas.PAYLOAD_FIELDS if name not in vocab.UNUSED_PAYLOAD_FIELDS]
 _WIDE_SCHEMA = ", ".join(
     part
-    for part in schemas.PAYLOAD.replace("is_paid boolean", "is_paid string").split(", ")
+    for part in [_TEXTS.get(part, part) for part in schemas.PAYLOAD.split(", ")]
     if part.split()[0] in ("id", "data", *_WIDE_FIELDS)
 )
 
 
+def _not_a_number(reg_no: Column, price: Column) -> Column:
+    """Why a ticket cannot become a row of a wide table; null if it can."""
+    blank = F.trim(price) == ""
+    return F.when(
+        reg_no.isNotNull() & reg_no.try_cast("long").isNull(), "registration number is no number"
+    ).when(price.isNotNull() & ~blank & price.try_cast("double").isNull(), "price is no number")
+
+
+def wide_rejects(orders: DataFrame) -> DataFrame:
+    """Orders that `wide_rows` leaves out, with the reason."""
+    payload = F.from_json("attendee_info", "reg_no string, price string")
+    reason = _not_a_number(payload["reg_no"], payload["price"])
+    return orders.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def wide_rows(
     orders: DataFrame,
     update_after: float | None = None,
     rules: harmonise.NameRules = harmonise.CURRENT,
     questions: Sequence[str] | None = None,
+    columns: int = 2_000,
+    strict: bool = False,
 ) -> DataFrame:
     """One row per registration number, one column per harmonised question.
 
     The columns are planned from the distinct questions of all orders, which is
-    one aggregation over the data; pass the questions if a form lists them.
+    one aggregation over the data; pass the questions if a form lists them. The
+    first `columns` questions become columns; answers to any others, and to
+    questions that a given form does not list, are whole in the map
+    `other_answers`. Numbers may be given as text. A ticket whose registration
+    number or price is no number is left out (`wide_rejects` gives it) or, if
+    strict, fails the job.
     """
     known = [*schemas.PAYLOAD_FIELDS, SEARCH_TEXT]
     info = F.col("attendee_info")
@@ -98,17 +147,27 @@ def wide_rows(
         "attendee_info", *[f"payload.{name}" for name in ("id", "data", *_WIDE_FIELDS)]
     )
     records = filters.updated_since(records, F.col("updated_at"), update_after)
+    reason = _not_a_number(F.col("reg_no"), F.col("price"))
+    if strict:
+        fail = F.raise_error(F.concat(reason, F.lit(": "), info)).cast("boolean")
+        reason = F.when(reason.isNotNull(), fail)
+    records = records.where(reason.isNull()).withColumns(
+        {
+            "reg_no": F.col("reg_no").cast("long"),
+            "price": F.nullif(F.trim("price"), F.lit("")).cast("double"),
+        }
+    )
     pairs = F.coalesce("data", F.array().cast("array<array<string>>"))
-    added = []
+    added, more = [], questions is not None
     if questions is None:
         # fields that the ticket system adds are taken as questions too, before the others
         asked = F.transform(pairs, lambda pair: pair[0])
         names = reshape.question_names(
             records, unknown_names(info, known), asked, F.col("updated_at")
         )
-        added, questions = reshape.names_in_order(names)
+        added, questions, more = reshape.names_in_order(names, columns)
         questions = [*added, *questions]
-    if added:
+    if added or more:
         extra = F.map_entries(unknown_fields(info, known))
         pairs = F.concat(
             F.transform(extra, lambda entry: F.array(entry["key"], entry["value"])), pairs
@@ -123,7 +182,12 @@ def wide_rows(
         "_record": F.col("id"),
     }
     wide = reshape.pairs_to_wide(
-        records, F.col("pairs"), harmonise.plan_names(questions, rules), fields
+        records,
+        F.col("pairs"),
+        harmonise.plan_names(questions, rules),
+        fields,
+        "other_answers" if more else None,
+        rules.unwanted,
     )
     wide = harmonise.drop_private(harmonise.to_numbers(wide))
     return latest_per_key(
@@ -137,24 +201,29 @@ def load_orders(
     """Appends orders to the raw table and, per ticket group, to the wide tables.
 
     The orders are written to the shared folder once, and every step reads them
-    from there instead of hashing the payloads again. Orders that nothing can
-    date are put aside in a table of their own before either load.
+    from there, each group from its own folder, instead of hashing the payloads
+    again. Orders that nothing can date, and those whose numbers are none, are
+    put aside in tables of their own.
     """
-    if orders.isEmpty():
-        return {}
     held = scratch(spark, "orders")
-    orders.write.parquet(held)
-    orders, undated = split_timed(spark.read.parquet(held))
+    routed = joins.route(orders, F.col("name"), vocab.TICKET_GROUPS, forced=group)
+    routed.write.partitionBy("ticket_group").parquet(held)
+    # read with its schema, which an empty load would not have on disk
+    orders, undated = split_timed(spark.read.schema(routed.schema).parquet(held))
     loaded = {}
-    for table, rows in ((ods, orders), (f"{ods}_undated", undated)):
-        tables.create_table(spark, table, schemas.TICKET_ORDERS)
-        if count := tables.append(rows, table, schemas.TICKET_ORDERS):
+    for table, rows, schema in (
+        (ods, orders, schemas.TICKET_ORDERS),
+        (f"{ods}_undated", undated, schemas.TICKET_ORDERS),
+        (f"{ods}_rejected", wide_rejects(orders), schemas.REJECTED_ORDERS),
+    ):
+        tables.create_table(spark, table, schema)
+        if count := tables.append(rows, table, schema):
             loaded[table] = count
-    routed = joins.route(orders, F.col("name"), vocab.TICKET_GROUPS, forced=group)
+    present = {row.ticket_group for row in orders.select("ticket_group").distinct().collect()}
     for ticket_group in [group] if group else vocab.TICKET_GROUPS:
-        of_group = routed.where(F.col("ticket_group") == ticket_group)
-        if not of_group.isEmpty():
+        if ticket_group in present:  # one name of a few, a folder of the held copy each
             table = f"{dwd_prefix}_{ticket_group}"
+            of_group = orders.where(F.col("ticket_group") == ticket_group).drop("ticket_group")
             loaded[table] = tables.append_evolving(wide_rows(of_group), table)
     return loaded
 

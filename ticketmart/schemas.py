@@ -37,6 +37,13 @@ TICKET_ORDERS = _table(
     ("refunded", "boolean", True),
 )
 
+REJECTED_ORDERS = _table(
+    ("id", "long", False),
+    ("name", "string", False),
+    ("attendee_info", "string", False),
+    ("reason", "string", True),
+)
+
 USER_PROFILE = _table(
     ("year", "long", False),
     *_optional(

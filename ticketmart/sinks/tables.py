@@ -22,6 +22,15 @@ def table_name(
     return f"{layer}.{layer}_{domain}_{key}_{time}"
 
 
+def quoted(name: str) -> str:
+    """A name as it is written in SQL, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_table(
     spark: SparkSession,
     table: str,
@@ -31,16 +40,17 @@ def create_table(
 ) -> None:
     """Creates the table, and its database, unless it exists."""
     if "." in table:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{table.split('.')[0]}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(table.split('.')[0])}")
     columns = ", ".join(
-        f"`{field.name}` {field.dataType.simpleString()}" + ("" if field.nullable else " NOT NULL")
+        f"{quoted(field.name)} {field.dataType.simpleString()}"
+        + ("" if field.nullable else " NOT NULL")
         for field in schema
     )
     statement = f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet"
     if partition_by:
-        statement += f" PARTITIONED BY ({', '.join(partition_by)})"
+        statement += f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})"
     if location:
-        statement += f" LOCATION '{location}'"
+        statement += f" LOCATION {_literal(location)}"
     spark.sql(statement)
 
 
@@ -81,33 +91,27 @@ def _insert(rows: DataFrame, table: str) -> int:
 
 
 def append(rows: DataFrame, table: str, schema: T.StructType) -> int:
-    """Appends under a fixed schema; nothing to load is no load."""
-    if rows.isEmpty():
-        logger.info("Nothing to load into %s", table)
-        return 0
+    """Appends under a fixed schema, in one pass; without rows the table stays as it is."""
     columns = rows.sparkSession.table(table).columns
     return _insert(enforce(rows, schema).select(*columns), table)
 
 
 def append_evolving(rows: DataFrame, table: str, location: str | None = None) -> int:
-    """Appends by name; columns the table lacks are added to it."""
+    """Appends by name, in one pass; columns the table lacks are added to it."""
     spark = rows.sparkSession
-    if rows.isEmpty():
-        logger.info("Nothing to load into %s", table)
-        return 0
     if "vat_number" in rows.columns:
         rows = rows.withColumn("vat_number", F.col("vat_number").cast("string"))
     create_table(spark, table, T.StructType([_nullable(f) for f in rows.schema]), location)
     known = {field.name: field for field in spark.table(table).schema}
     added = [field for field in rows.schema if field.name not in known]
     if added:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     present = set(rows.columns)
     return _insert(
         rows.select(
             *[
-                (F.col(f"`{field.name}`") if field.name in present else F.lit(None))
+                (F.col(quoted(field.name)) if field.name in present else F.lit(None))
                 .cast(field.dataType)
                 .alias(field.name)
                 for field in spark.table(table).schema
@@ -128,14 +132,21 @@ def replace_table(spark: SparkSession, table: str, rows: DataFrame, folder: str)
     pointed to them, so a job that fails midway leaves the table as it was.
     """
     location = f"{folder}/{uuid.uuid4().hex}"
-    columns = [f"`{name}`" for name in spark.table(table).columns]
+    columns = [quoted(name) for name in spark.table(table).columns]
     rows.select(*columns).write.parquet(location)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(location)}")
     spark.catalog.refreshTable(table)
 
 
 def export_csv(rows: DataFrame, path: str) -> None:
-    rows.write.option("header", True).option("escape", '"').csv(path)
+    """CSV with a header row; blanks and line ends at the ends of cells are kept."""
+    (
+        rows.write.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def preview(rows: DataFrame, path: str, count: int = 5) -> DataFrame:

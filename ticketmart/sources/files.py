@@ -35,16 +35,6 @@ def read_cells(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
     )
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows of a scan over all cores, if the files give fewer splits than there are cores.
-
-    For files that cannot be split, or few small ones, before work that is heavy
-    per row. A scan of many splits stays as it is, without a shuffle.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def missing_to_null(table: DataFrame, texts: Sequence[str] = MISSING_TEXTS) -> DataFrame:
     return table.select(
         *[
@@ -54,9 +44,15 @@ def missing_to_null(table: DataFrame, texts: Sequence[str] = MISSING_TEXTS) -> D
     )
 
 
-def read_export(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Exported table as text, with missing cells as null. Casts are made where types matter."""
-    return missing_to_null(spread(read_cells(spark, path, multi_line)))
+def read_export(
+    spark: SparkSession, path: str, multi_line: bool = True, tasks: int | None = None
+) -> DataFrame:
+    """Exported table as text, with missing cells as null. Casts are made where types matter.
+
+    `tasks` spreads the rows of files that cannot be split, for heavy work after.
+    """
+    cells = read_cells(spark, path, multi_line)
+    return missing_to_null(cells.repartition(tasks) if tasks else cells)
 
 
 def read_survey(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -76,10 +72,6 @@ def expense_rows(sheet: DataFrame) -> DataFrame:
     return complete_rows(text.toDF(*EXPENSE_COLUMNS))
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
-
-
 def _whole_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first().value
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ticketmart.functions.text import missing_as
 from ticketmart.functions.times import millis_to_seconds, offset_time
+from ticketmart.operators.joins import join_on
 
 FEED = (
     "data array<struct<id:string,created_time:string,message:string,"
@@ -48,10 +49,17 @@ def feed_posts(replies: DataFrame) -> DataFrame:
 
 
 def media_posts(media_list: DataFrame, details: DataFrame) -> DataFrame:
-    """Listed media with their details; what the network does not tell is counted as 0."""
+    """Listed media with their details; what the network does not tell is counted as 0.
+
+    Of details landed several times the greatest is taken, by time and counters.
+    """
     listed = media_list.select(F.explode("data").alias("media")).select("media.id").distinct()
     nothing = F.lit(0).cast("long")
-    return listed.join(details, "id").select(
+    newest = F.max(
+        F.struct("timestamp", "like_count", "comments_count", "caption", "media_type")
+    ).alias("detail")
+    found = join_on(listed, details.groupBy("id").agg(newest), ["id"], "inner")
+    return found.select("id", "detail.*").select(
         "id",
         offset_time(F.col("timestamp")).alias("created_at"),
         missing_as(F.col("caption"), NO_CONTENT).alias("message"),

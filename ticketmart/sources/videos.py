@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ticketmart.config import moment
 from ticketmart.functions.text import video_url
 from ticketmart.functions.times import zulu_time
+from ticketmart.operators.joins import join_on
 
 SEARCH_PAGES = (
     "nextPageToken string, items array<struct<id:struct<videoId:string>,"
@@ -19,6 +20,7 @@ STATISTICS = (
     "items array<struct<id:string,statistics:struct<viewCount:string,likeCount:string,"
     "favoriteCount:string,commentCount:string>>>"
 )
+COUNTERS = ("viewCount", "likeCount", "favoriteCount", "commentCount")
 INFO = (
     "items array<struct<id:string,snippet:struct<publishedAt:string,description:string,"
     "thumbnails:struct<`default`:struct<url:string>>>>>"
@@ -39,8 +41,19 @@ def listed_videos(pages: DataFrame) -> DataFrame:
     )
 
 
-def _first_item(details: DataFrame) -> DataFrame:
-    return details.select(F.get("items", F.lit(0)).alias("item")).where("item IS NOT NULL")
+def _items(details: DataFrame) -> DataFrame:
+    """(videoId, item) of all items of all replies, one per video.
+
+    Replies do not say when they were made; of several the greatest is taken,
+    which for counters, as they grow, is the newest.
+    """
+    items = details.select(F.explode("items").alias("item")).where("item.id IS NOT NULL")
+    return items.groupBy(F.col("item.id").alias("videoId")).agg(F.max("item").alias("item"))
+
+
+def _titles(videos: DataFrame) -> DataFrame:
+    """One title per video, also if search pages show several."""
+    return videos.groupBy("videoId").agg(F.max("title").alias("title"))
 
 
 def video_statistics(
@@ -48,16 +61,27 @@ def video_statistics(
 ) -> DataFrame:
     """One typed row per listed video. The platform no longer tells the dislikes."""
     counts = F.col("item.statistics")
-    found = _first_item(details).select(F.col("item.id").alias("videoId"), "item")
-    return videos.join(found, "videoId").select(
+    details = details.select(
+        F.transform(
+            "items",
+            lambda item: F.struct(
+                item["id"].alias("id"),
+                F.struct(
+                    *[item["statistics"][name].cast("long").alias(name) for name in COUNTERS]
+                ).alias("statistics"),
+            ),
+        ).alias("items")
+    )
+    found = join_on(_titles(videos), _items(details), ["videoId"], "inner")
+    return found.select(
         moment(as_of).alias("created_at"),
         "videoId",
         "title",
-        counts["viewCount"].cast("long").alias("viewCount"),
-        counts["likeCount"].cast("long").alias("likeCount"),
+        counts["viewCount"].alias("viewCount"),
+        counts["likeCount"].alias("likeCount"),
         F.lit(0).cast("long").alias("dislikeCount"),
-        counts["favoriteCount"].cast("long").alias("favoriteCount"),
-        counts["commentCount"].cast("long").alias("commentCount"),
+        counts["favoriteCount"].alias("favoriteCount"),
+        counts["commentCount"].alias("commentCount"),
     )
 
 
@@ -65,8 +89,8 @@ def video_info(
     videos: DataFrame, details: DataFrame, as_of: datetime | str | None = None
 ) -> DataFrame:
     snippet = F.col("item.snippet")
-    found = _first_item(details).select(F.col("item.id").alias("videoId"), "item")
-    return videos.join(found, "videoId").select(
+    found = join_on(_titles(videos), _items(details), ["videoId"], "inner")
+    return found.select(
         moment(as_of).alias("created_at"),
         "videoId",
         "title",

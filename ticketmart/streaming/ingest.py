@@ -16,7 +16,7 @@ from ticketmart import schemas, vocab
 from ticketmart.operators.dedupe import latest_per_key
 from ticketmart.operators.joins import route
 from ticketmart.plans import tickets as ticket_plan
-from ticketmart.plans.posts import Network, insight_snapshot, new_posts
+from ticketmart.plans.posts import Network, insight_snapshot, new_posts, undated_posts
 from ticketmart.sinks.tables import split_required
 from ticketmart.sources import tickets as landed
 
@@ -62,10 +62,21 @@ def copy_available(stream: DataFrame, folder: str, name: str = "rows") -> DataFr
 def ingest_tickets(
     spark: SparkSession, landing: str, folder: str, year: int, start: float, end: float
 ) -> None:
-    """Raw orders, and wide rows per ticket group, from newly landed attendees."""
+    """Raw orders, and wide rows per ticket group, from newly landed attendees.
 
-    def job(batch: DataFrame, _: int, store: Store) -> None:
+    Attendees whose event has not landed wait, and every later batch tries them
+    again; those that no load can take are stored as rejected with the reason.
+    """
+
+    def job(batch: DataFrame, batch_id: int, store: Store) -> None:
         events = landed.read_events(spark, landing)
+        if batch_id:
+            earlier = read_output(spark, folder, "waiting")
+            earlier = earlier.where(F.col("batch_id") == batch_id - 1)
+            batch = batch.unionByName(earlier.select(*batch.columns))
+        rejected, waiting = ticket_plan.sort_out(events, batch)
+        store("rejected", rejected)
+        store("waiting", waiting)
         chosen = ticket_plan.selected_tickets(events, batch, year, start, end)
         orders = store("orders", ticket_plan.order_rows(chosen))
         routed = route(orders, F.col("name"), vocab.TICKET_GROUPS)
@@ -93,7 +104,8 @@ def ingest_posts(
     spark = replies.sparkSession
 
     def job(batch: DataFrame, batch_id: int, store: Store) -> None:
-        posts, _ = split_required((read or network.read)(batch), schemas.POSTS)
+        posts, aside = split_required((read or network.read)(batch), schemas.POSTS)
+        store("undated", undated_posts(aside, as_of))
         if batch_id == 0:
             known = spark.createDataFrame([], schemas.POSTS)
         else:

@@ -2,12 +2,14 @@
 
 Everything in this module is a fixed value. The texts have to equal what the
 ticket system and the existing warehouse tables hold, so they are written out
-as they are and in the order in which they came into use.
+as they are and in the order in which they came into use. The tables of column
+names are in `data/columns.json`.
 """
 
 from __future__ import annotations
 
-from itertools import islice
+import json
+from importlib import resources
 
 # --- fixed values: personal data -------------------------------------------
 
@@ -74,243 +76,25 @@ OFFLINE_META_FIELDS = {
     "order_no": "訂單編號",
 }
 
-# --- fixed values: column names over the years ------------------------------
+# --- fixed values: column names over the years, from the data file ----------
 
-NAME_MAPPING = {
-    # 2020
-    "years_of_using_python_python": "years_of_using_python",
-    "company_for_students_or_teachers_fill_in_the_school_department_name": "organization",
-    "invoiced_company_name_optional": "invoiced_company_name",
-    "unified_business_no_optional": "unified_business_no",
-    "job_title_if_you_are_a_student_fill_in_student": "job_title",
-    "come_from": "country_or_region",
-    "departure_from_regions": "departure_from_region",
-    "how_did_you_find_out_pycon_tw_pycon_tw": "how_did_you_know_pycon_tw",
-    "have_you_ever_attended_pycon_tw_pycon_tw": "have_you_ever_attended_pycon_tw",
-    "privacy_policy_of_pycon_tw_2020": "privacy_policy_of_pycon_tw",
-    "privacy_policy_of_pycon_tw_2020_pycon_tw_2020_bitly3eipaut": "privacy_policy_of_pycon_tw",
-    "ive_already_read_and_i_accept_the_privacy_policy_of_pycontw_2020_pycon_tw_2020": "ive_already_read_and_i_accept_the_privacy_policy_of_pycon_tw",
-    "ive_already_read_and_i_accept_the_privacy_policy_of_pycon_tw_2020_pycon_tw_2020": "ive_already_read_and_i_accept_the_privacy_policy_of_pycon_tw",
-    "ive_already_read_and_i_accept_the_epidemic_prevention_of_pycon_tw_2020_pycon_tw_2020_covid19": "ive_already_read_and_i_accept_the_epidemic_prevention_of_pycon_tw",
-    "do_you_know_we_have_financial_aid_this_year": "know_financial_aid",
-    "contact_email": "email",
-    # 2020, raw headers whose styled forms would collide
-    "PyNight 參加意願僅供統計人數，實際是否舉辦需由官方另行公告": "pynight_attendee_numbers",
-    "PyNight 參加意願": "pynight_attending_or_not",
-    "是否願意收到贊助商轉發 Email 訊息": "email_from_sponsor",
-    "是否願意提供 Email 給贊助商": "email_to_sponsor",
-    # 2018
-    "size_of_tshirt_t": "size_of_tshirt",
-    # 2021
-    "Ive_already_read and_I_accept_the_Privacy_Policy_of_PyCon_TW_2021": "ive_already_read_and_i_accept_the_privacy_policy_of_pycon_tw",
-    "privacy_policy_of_pycon_tw_2021_pycon_tw_2021_httpsbitly2qwl0am": "privacy_policy_of_pycon_tw",
-    "ive_already_read_and_i_accept_the_privacy_policy_of_pycon_tw_2021_pycon_tw_2021": "ive_already_read_and_i_accept_the_privacy_policy_of_pycon_tw",
-    # 2022
-    "how_did_you_know_pycon_apac_2022_pycon_apac_2022": "how_did_you_know_pycon_tw",
-    "Ive_already_read and_I_accept_the_Privacy_Policy_of_PyCon_TW_2022": "ive_already_read_and_i_accept_the_privacy_policy_of_pycon_tw",
-    "privacy_policy_of_pycon_apac_2022_pycon_apac_2022_httpsreurlcc1zxzxw": "privacy_policy_of_pycon_tw",
-    "ive_already_read_and_i_accept_the_privacy_policy_of_pycon_apac_2022_pycon_apac_2022": "ive_already_read_and_i_accept_the_privacy_policy_of_pycon_tw",
-    "would_you_like_to_receive_an_email_from_sponsors_email": "email_from_sponsor",
-    "would_you_like_to_receive_emails_from_the_sponsors_email": "email_from_sponsor",
-    "pyckage_address_size_of_tshirt_t_pyckage_pyckage": "address_size_of_tshirt_t",
-    "pyckage_address_size_of_tshirt_t": "address_size_of_tshirt_t",
-    "privacy_policy_of_pycon_apac_2022_pycon_apac_2022": "privacy_policy_of_pycon_tw",
-    "privacy_policy_of_pycon_apac_2022": "privacy_policy_of_pycon_tw",
-    # 2023
-    "attend_first_time_how_did_you_know_pycon_tw_2023_pycon_tw_2023": "how_did_you_know_pycon_tw",
-    "for_submitter_how_did_you_know_the_cfp_information_of_pycon_taiwan_pycon_taiwan_if_you_are_not_submitter_fill_in_nonsubmitter": "how_did_you_know_cfp_of_pycon_tw",
-    "ive_already_read_and_i_accept_the_privacy_policy_of_pycon_tw_2023_pycon_tw_2023": "privacy_policy_of_pycon_tw",
-    "size_of_tshirt_for_tickets_with_tshirt_should_fill_in_this_field": "size_of_tshirt",
-    "ticket_with_tshirt_size_of_tshirt": "size_of_tshirt",
-    "job_title_if_you_are_a_student_fill_in_student_student": "job_title",
-    "would_you_like_to_receive_an_email_from_sponsors": "email_from_sponsor",
-    "Size of T-shirt / 衣服尺寸 (For tickets with t-shirt should fill in this field / 票種有含紀念衣服需填寫)": "size_of_tshirt",
-    "Would you like to receive an email from sponsors? / 是否願意收到贊助商轉發的電子郵件？": "email_from_sponsor",
-    "Would you like to receive an email from sponsors？/ 是否願意收到贊助商轉發的電子郵件？": "email_from_sponsor",
-    "I would like to donate invoice to Open Culture Foundation / 我願意捐贈發票給開放文化基金會 (ref: https://reurl.cc/ZQ6VY6)": "i_would_like_to_donate_invoice_to_open_culture_foundation",
-    "I would like to donate invoice to Open Culture Foundation / 我願意捐贈發票給開放文化基金會 (Ref: https://reurl.cc/ZQ6VY6)": "i_would_like_to_donate_invoice_to_open_culture_foundation",
-    "Have you ever been a PyCon TW volunteer？ / 是否曾擔任過 PyCon TW 志工？": "have_you_ever_been_a_pycontw_volunteer_pycontw",
-    "Have you ever been a PyCon TW volunteer? / 是否曾擔任過 PyCon TW 志工？": "have_you_ever_been_a_pycontw_volunteer_pycontw",
-    "How did you know PyCon TW 2023？ / 如何得知 PyCon TW 2023？": "how_did_you_know_pycon_tw",
-    "(初次參與) How did you know PyCon TW 2023？ / (Attend first time) 如何得知 PyCon TW 2023？": "how_did_you_know_pycon_tw",
-    '(投稿者) 你是怎麼得知 PyCon Taiwan 投稿資訊？/ (For Submitter) How did you know the CfP information of PyCon Taiwan? (If you are NOT submitter, fill in "non-submitter"/ 如果您沒有投稿，請填寫「非投稿者」)': "how_did_you_know_cfp_of_pycon_tw",
-    # 2024
-    "來自國家、地區或縣市": "country_or_region",
-    "(Attend first time) How did you know PyCon TW 2024? / (初次參與) 如何得知 PyCon TW？": "how_did_you_know_pycon_tw",
-    "Dietary Preference / 飲食偏好": "dietary_habit",
-    # 2025
-    "Where are you from? / 來自國家、地區或縣市": "country_or_region",
-    "(Attend first time) How did you know PyCon TW 2025? / (初次參與) 如何得知 PyCon TW 2025？": "how_did_you_know_pycon_tw",
-}
+_COLUMNS = json.loads(resources.files("ticketmart").joinpath("data/columns.json").read_text("utf-8"))
 
-UNWANTED_COLUMNS = (
-    "Id",
-    "Order Number",
-    "Checkin Code",
-    "QR Code Serial No.",
-    "Nickname / 暱稱 (Shown on Badge)",
-    "Contact Name",
-    "Contact Mobile",
-    "Epidemic Prevention of PyCon TW 2020 / PyCon TW 2020 COVID-19 防疫守則 bit.ly/3fcnhu2",
-    "Epidemic Prevention of PyCon TW 2020",
-    "Privacy Policy of PyCon TW 2020 / PyCon TW 2020 個人資料保護聲明 bit.ly/3eipAut",
-    "Privacy Policy of PyCon TW 2020",
-    "If you buy the ticket with PySafe, remember to fill out correct address and size of t-shirt for us to send the parcel. if you fill the wrong information to cause missed delivery, we will not resend th",
-    "請務必填寫正確之「Address / 收件地址」和「Size of T-shirt / T恤尺寸 」（僅限台灣及離島區域）以避免 PySafe 無法送達，如因填寫錯誤致未收到 PySafe，報名人須自行負責，大會恕不再另行補寄",
-    "購買含 PySafe 票卷者，請務必填寫正確之「Address / 收件地址」和「Size of T-shirt / T恤尺寸 」（僅限台灣及離島區域），以避免 PySafe 無法送達，如因填寫錯誤致未收到 PySafe，報名人須自行負責，大會恕不再另行補寄",
-    "Address / 收件地址 EX: 115台北市南港區研究院路二段128號",
-    # 2022
-    "Address / 收件地址  Ex: No. 128, Sec. 2, Academia Rd., Nangang Dist., Taipei City 115201, Taiwan (R.O.C.) / 115台北市南港區研究院路二段128號",
-    "Address/ 收件地址 Ex: No. 128, Sec. 2, Academia Rd., Nangang Dist., Taipei City 115201, Taiwan (R.O.C.) / 115台北市南港區研究院路二段128號",
-    "聯絡人 姓名",
-    "Email",
-    "聯絡人 手機",
-    "標籤",
-    "姓名",
-    "手機",
-    # 2023
-    "提醒填寫正確的衣服尺寸",
-    "徵稿資訊管道",
-    "個人資料保護聲明",
-    "行為準則",
-    "注意事項",
-    "企業票種將提供報帳收據",
-    "衣服尺寸注意事項",
-    "PyCon TW 2023 個人資料保護聲明",
-    "PyCon TW 2023 行為準則",
-    "I'm willing to comply with the PyCon TW 2023 CoC / 我願意遵守 PyCon TW 2023 行為準則",
-    # 2024
-    "地址",
-    "聯絡人 地址",
-    "I would like to donate invoice to Open Culture Foundation / 我願意捐贈發票給開放文化基金會 (Ref: https://reurl.cc/ZQ6VY6)",
-    "I’ve already read and I accept the Privacy Policy of PyCon TW 2024 / 我已閱讀並同意 PyCon TW 2024 個人資料保護聲明",
-    "I'm willing to comply with the PyCon TW 2024 CoC / 我願意遵守 PyCon TW 2024 行為準則",
-    "我願意收到未來 PyCon TW 贊助機會相關信件",
-    "願意收到未來 PyCon TW 活動訊息",
-    # 2025
-    "I am willing to receive future updates and information about PyCon TW events / 願意收到未來 PyCon TW 活動訊息",
-    "I am willing to receive information regarding sponsorship opportunities / 我願意收到未來 PyCon TW 贊助機會相關信件",
-    "I'm willing to comply with the PyCon TW 2025 CoC / 我願意遵守 PyCon TW 2025 行為準則",
-    "I've already read and I accept the Privacy Policy of PyCon TW 2025 / 我已閱讀並同意 PyCon TW 2025 個人資料保護聲明",
-    "I’ve already read and I accept the Privacy Policy of PyCon TW 2025 / 我已閱讀並同意 PyCon TW 2025 個人資料保護聲明",
-    "我願意收到未來  PyCon TW 贊助機會相關信件",
-)
+NAME_MAPPING: dict[str, str] = _COLUMNS["name_mapping"]
+UNWANTED_COLUMNS = tuple(_COLUMNS["unwanted_columns"])
 
 # The CSV loader for the years up to 2021 knows only the entries of its time.
-NAME_MAPPING_2021 = dict(islice(NAME_MAPPING.items(), 24))
-UNWANTED_COLUMNS_2021 = UNWANTED_COLUMNS[:15]
-
-# --- fixed values: canonical columns per year and ticket group --------------
-
-CANONICAL_CORE = (
-    "paid_date",
-    "area_of_interest",
-    "payment_status",
-    "country_or_region",
-    "job_title",
-    "ticket_type",
-    "email",
-    "organization",
-    "price",
-    "dietary_habit",
-    "gender",
-    "years_of_using_python",
-    "registration_no",
-)
+NAME_MAPPING_2021: dict[str, str] = _COLUMNS["name_mapping_until_2021"]
+UNWANTED_COLUMNS_2021 = tuple(_COLUMNS["unwanted_columns_until_2021"])
 
+# Canonical columns per year and ticket group.
+CANONICAL_CORE = tuple(_COLUMNS["canonical_core"])
 CANONICAL_BY_YEAR = {
-    2020: (
-        "ticket_type",
-        "payment_status",
-        "tags",
-        "paid_date",
-        "price",
-        "dietary_habit",
-        "years_of_using_python",
-        "area_of_interest",
-        "organization",
-        "job_title",
-        "country_or_region",
-        "departure_from_region",
-        "gender",
-        "email_from_sponsor",
-        "email_to_sponsor",
-        "ive_already_read_and_i_accept_the_epidemic_prevention_of_pycon_tw",
-        "ive_already_read_and_i_accept_the_privacy_policy_of_pycon_tw",
-        "email",
-        "registration_no",
-        "attendance_book",
-    ),
-    2019: (
-        "ticket_type",
-        "payment_status",
-        "tags",
-        "paid_date",
-        "price",
-        "dietary_habit",
-        "need_shuttle_bus_service",
-        "size_of_tshirt",
-        "years_of_using_python",
-        "area_of_interest",
-        "organization",
-        "job_title",
-        "country_or_region",
-        "gender",
-        "email",
-        "registration_no",
-        "attendance_book",
-    ),
-    2018: (
-        "registration_no",
-        "ticket_type",
-        "payment_status",
-        "paid_date",
-        "price",
-        "invoice_policy",
-        "dietary_habit",
-        "need_shuttle_bus_service",
-        "size_of_tshirt",
-        "years_of_using_python",
-        "area_of_interest",
-        "organization",
-        "job_title",
-        "country_or_region",
-        "gender",
-        "email",
-        "tags",
-        "attendance_book",
-    ),
+    int(year): tuple(names) for year, names in _COLUMNS["canonical_by_year"].items()
 }
-
 CANONICAL_EXTRA = {
-    (2020, "corporate"): (
-        "invoice_policy",
-        "invoiced_company_name",
-        "unified_business_no",
-        "pynight_attendee_numbers",
-        "know_financial_aid",
-        "have_you_ever_attended_pycon_tw",
-        "pynight_attending_or_not",
-        "how_did_you_know_pycon_tw",
-    ),
-    (2020, "individual"): (
-        "pynight_attendee_numbers",
-        "know_financial_aid",
-        "have_you_ever_attended_pycon_tw",
-        "pynight_attending_or_not",
-        "how_did_you_know_pycon_tw",
-    ),
-    (2020, "reserved"): (),
-    (2019, "corporate"): (
-        "invoice_policy",
-        "invoiced_company_name",
-        "unified_business_no",
-    ),
-    (2019, "individual"): (),
-    (2019, "reserved"): ("invoice_policy",),
-    (2018, "corporate"): ("invoiced_company_name", "unified_business_no"),
-    (2018, "individual"): (),
-    (2018, "reserved"): ("invoiced_company_name", "unified_business_no"),
+    (int(place.split()[0]), place.split()[1]): tuple(names)
+    for place, names in _COLUMNS["canonical_extra"].items()
 }
 
 CROSS_YEAR_EXTRAS = ("tags", "attendance_book")
@@ -377,26 +161,26 @@ INDUSTRIES = {
 }
 
 JOB_CLASSES = {
-    0: "其他 (Others)",
-    1: "後端工程師 (Backend Engineer)",
-    2: "前端工程師 (Frontend Engineer)",
-    3: "全端工程師 (Full-Stack Engineer)",
-    4: "行動應用開發工程師 (Mobile App Developer)",
-    5: "資料工程師 (Data Engineer)",
-    6: "資料分析師/科學家 (Data Analyst/Scientist)",
-    7: "AI/機器學習工程師/研究員 (AI/ML Engineer/Researcher)",
-    8: "DevOps/SRE 工程師 (DevOps/SRE Engineer)",
-    9: "系統/網路工程師 (System/Network Engineer)",
-    10: "嵌入式/韌體工程師 (Embedded/Firmware Engineer)",
-    11: "測試/品質保證工程師 (QA/Test Engineer)",
-    12: "技術主管/經理 (Technical Lead/Manager)",
-    13: "專案經理/產品經理 (Project Manager/Product Manager)",
-    14: "資料庫管理員 (DBA)",
-    15: "顧問/架構師 (Consultant/Architect)",
-    16: "研究人員/學者 (Researcher/Academic)",
-    17: "業務/行銷/客戶成功 (Sales/Marketing/Customer Success)",
-    18: "行政/管理 (Administrative/Management)",
-    19: "設計師/藝術家 (Designer/Artist)",
-    20: "一般工程師",
-    21: "學生 (Intern)",
+    0: "其他 (Others): 一些較特殊的職位",
+    1: "後端工程師 (Backend Engineer): 專注於伺服器端邏輯, 資料庫和 API 開發",
+    2: "前端工程師 (Frontend Engineer): 專注於使用者介面和使用者體驗的開發",
+    3: "全端工程師 (Full-Stack Engineer): 同時具備後端和前端開發能力",
+    4: "行動應用開發工程師 (Mobile App Developer): 專注於 Android 和 iOS 平台的應用程式開發",
+    5: "資料工程師 (Data Engineer): 負責資料的收集, 儲存, 處理和管道建設",
+    6: "資料分析師/科學家 (Data Analyst/Scientist): 負責資料的分析, 洞察提取和模型建立",
+    7: "AI/機器學習工程師/研究員 (AI/ML Engineer/Researcher): 專注於人工智慧, 機器學習演算法的開發, 應用和研究",
+    8: "DevOps/SRE 工程師 (DevOps/SRE Engineer): 負責開發流程的自動化, 基礎設施的管理和系統的穩定性",
+    9: "系統/網路工程師 (System/Network Engineer): 負責系統架設, 維護和網路管理",
+    10: "嵌入式/韌體工程師 (Embedded/Firmware Engineer): 專注於硬體相關的軟體開發",
+    11: "測試/品質保證工程師 (QA/Test Engineer): 負責軟體的測試, 品質保證和自動化測試",
+    12: "技術主管/經理 (Technical Lead/Manager): 負責技術團隊的管理, 領導和技術方向的制定",
+    13: "專案經理/產品經理 (Project Manager/Product Manager): 負責專案的規劃, 執行和產品的定義, 開發",
+    14: "資料庫管理員 (DBA): 負責資料庫的設計, 維護和管理",
+    15: "顧問/架構師 (Consultant/Architect): 提供技術諮詢, 解決方案設計和系統架構規劃",
+    16: "研究人員/學者 (Researcher/Academic): 在學術界或研究機構進行研究工作",
+    17: "業務/行銷/客戶成功 (Sales/Marketing/Customer Success): 負責業務拓展, 行銷推廣和客戶關係維護",
+    18: "行政/管理 (Administrative/Management): 負責行政事務, 部門管理和組織運營",
+    19: "設計師/藝術家 (Designer/Artist): 負責視覺設計, 使用者介面設計和藝術創作",
+    20: "一般工程師: 難以歸類的工程師職位",
+    21: "學生 (Intern): 實習生或學生職位",
 }
