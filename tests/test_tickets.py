@@ -233,6 +233,36 @@ def test_load_dedupe_and_current(spark):
     assert spark.table("ods.orders_t1").count() == 2
     assert spark.table("dwd.wide_t1_individual").count() == 4
     assert plan.current_rows(spark.table("dwd.wide_t1_individual")).count() == 2
+    other = plan.order_rows(raw(spark, payload(id=7, reg_no=7), event=(9, "Conf 2023 Reserved individual")))
+    plan.load_orders(spark, other, "ods.orders_t1", "dwd.wide_t1")
+    current = plan.current_rows(spark.table("dwd.wide_t1_individual"))
+    assert sorted((r.event_id, r.registration_no) for r in current.collect()) == [
+        (9, 7),
+        (EVENT[0], 7),
+        (EVENT[0], 104),
+    ]
+    assert spark.table("dwd.wide_t1_reserved").count() == 1
+    raw_table = spark.table("ods.orders_t1")
+    assert {(r.year, r.ticket_groups) for r in raw_table.collect()} == {
+        (2022, "individual"),
+        (2023, "individual+reserved"),
+    }
+    kept = [name for name in raw_table.inputFiles() if "year=2022" in name]
+    plan.load_orders(spark, other, "ods.orders_t1", "dwd.wide_t5")
+    plan.dedupe_orders(spark, "ods.orders_t1", scratch(spark, "ods"), since=0.0)
+    books = spark.createDataFrame([(9, [(5, [])])], landed.BOOKS)
+    assert plan.reconcile_refunds(spark, "ods.orders_t1", books, "unused", by_event=True)
+    after = spark.table("ods.orders_t1")
+    assert sorted((r.id, r.attendee_id, r.refunded) for r in after.collect()) == [
+        (9, 7, True),
+        (EVENT[0], 7, False),
+        (EVENT[0], 84748358, False),
+    ]
+    assert sorted(name for name in after.inputFiles() if "year=2022" in name) == sorted(kept)
+    filtered = plan.wide_rows(after.where("year = 2022"), update_after=1.0, questions=["q"])
+    text = filtered._jdf.queryExecution().executedPlan().toString()
+    assert "(year#" in text.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "GreaterThan" in text.split("PushedFilters")[1]
     mixed = plan.order_rows(raw(spark, payload(updated_at=None), payload(id=8)))
     assert plan.load_orders(spark, mixed, "ods.orders_t4", "dwd.wide_t4") == {
         "ods.orders_t4": 1,

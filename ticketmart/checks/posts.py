@@ -313,6 +313,42 @@ def undated_posts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@check("""
+SELECT CAST(o_orderkey AS VARCHAR) AS "videoId", o_custkey AS "viewCount", o_orderstatus AS subtitle
+FROM orders WHERE o_orderdate >= TIMESTAMP '2000-03-15 00:00:00' - INTERVAL 365 DAY
+""")
+def video_load(spark: SparkSession, folder: str) -> DataFrame:
+    """The video job from landed JSON files to its two tables."""
+    orders, where = table(spark, folder, "orders"), scratch(spark, "videos")
+    key = F.col("o_orderkey").cast("string").alias("id")
+    counts = [F.col("o_custkey").cast("string").alias(name) for name in video_sources.COUNTERS]
+    image = F.struct(F.lit("u").alias("url"))
+    snippet = F.struct(
+        F.lit("2000-01-01T00:00:00Z").alias("publishedAt"),
+        F.col("o_orderstatus").alias("description"),
+        F.struct(image.alias("default")).alias("thumbnails"),
+    )
+    replies = {
+        "pages": _pages(spark, folder),
+        "statistics": orders.select(
+            F.array(F.struct(key, F.struct(*counts).alias("statistics"))).alias("items")
+        ),
+        "info": orders.select(F.array(F.struct(key, snippet.alias("snippet"))).alias("items")),
+    }
+    forms = (video_sources.SEARCH_PAGES, video_sources.STATISTICS, video_sources.INFO)
+    for name, rows in replies.items():
+        rows.write.json(f"{where}/{name}")
+    landed_files = [
+        spark.read.schema(form).json(f"{where}/{name}")
+        for name, form in zip(replies, forms, strict=True)
+    ]
+    layer = new_table_name("videos")
+    videos.save(spark, *landed_files, "2000-03-15 00:00:00", layer)
+    info = spark.table(f"{layer}.video_info").select("videoId", "subtitle")
+    counted = spark.table(f"{layer}.video_statistics").select("videoId", "viewCount")
+    return counted.join(info, "videoId")
+
+
 @check("""
 SELECT CAST(o_orderkey AS VARCHAR) AS "videoId", 'title 2' AS title, o_custkey + 9 AS "viewCount"
 FROM orders

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmart.checks import derive
-from ticketmart.checks.registry import check, table
+from ticketmart.checks.registry import check, new_table_name, table
+from ticketmart.config import scratch
 from ticketmart.checks.tickets import _STATISTICS, PREFIX, PRICES
 from ticketmart.operators import joins, labelling, payload, statistics
-from ticketmart.plans import profiles, reports
+from ticketmart.plans import expenses, profiles, reports, surveys
+from ticketmart.sources import files
 
 KEYWORDS = [("red", 3), ("ring", 6), ("bolt", 7), ("small", 2)]
 
@@ -206,3 +208,76 @@ def parse_reply(spark: SparkSession, folder: str) -> DataFrame:
         "p_partkey", F.get(payload.parse_reply(reply, "organization"), F.lit(0)).alias("row")
     )
     return rows.select("p_partkey", "row.organization", "row.category")
+
+
+@check("""
+SELECT p_name AS "Reason", CAST(p_size * 100 AS VARCHAR) AS "Price", count(*) AS rows
+FROM part GROUP BY ALL
+""")
+def expense_load(spark: SparkSession, folder: str) -> DataFrame:
+    """The expense job run over a part of the sheet and then over all of it."""
+    sheet, name = _expenses(spark, folder), new_table_name("finance")
+    for rows in (sheet.where("Price <> '100'"), sheet):
+        expenses.save(spark, rows, 50, name)
+    return spark.table(name).groupBy("Reason", "Price").agg(F.count("*").alias("rows"))
+
+
+@check("""
+SELECT year(o_orderdate) AS year, 'c' || o_custkey AS email,
+  max_by(o_orderstatus, (o_orderdate, o_orderkey)) AS organization
+FROM orders GROUP BY ALL
+""")
+def profile_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The profile job over a first and a second wide table."""
+    newest = F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey"))
+    orders = (
+        table(spark, folder, "orders")
+        .groupBy(F.year("o_orderdate").alias("year"), F.col("o_custkey").alias("key"))
+        .agg(newest.alias("organization"))
+    )
+    wide = orders.select(
+        F.concat(F.col("year").cast("string"), F.lit("-05-01")).alias("paid_date"),
+        F.concat(F.lit("c"), F.col("key").cast("string")).alias("email"),
+        "organization",
+        *[
+            F.lit(None).cast("string").alias(name)
+            for name in ("job_title", "country_or_region", "age_range", "gender")
+        ],
+    )
+    name, where = new_table_name("profiles"), scratch(spark, "profiles")
+    old = wide.where("paid_date < '1996'").withColumn("organization", F.lit("old"))
+    profiles.refresh(spark, [old], where, "2024-01-01 00:00:00", name)
+    profiles.refresh(spark, [wide], where, "2024-02-01 00:00:00", name)
+    return spark.table(name).select("year", "email", "organization")
+
+
+@check("""
+WITH answers AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS ip, unnest([
+    {'question': 'IP紀錄', 'answer': CAST(c_custkey AS VARCHAR)},
+    {'question': 'Why?', 'answer': '  ' || c_mktsegment || chr(10)},
+    {'question': 'Who, "you"?', 'answer': CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END}]) AS a
+  FROM customer)
+SELECT ip, a.question AS question, a.answer AS answer FROM answers
+""")
+def survey_load(spark: SparkSession, folder: str) -> DataFrame:
+    """The survey job from an exported file, with blanks and line ends at the ends of cells."""
+    path = scratch(spark, "survey")
+    sheet = table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("IP紀錄"),
+        F.concat(F.lit("  "), F.col("c_mktsegment"), F.lit("\n")).alias("Why?"),
+        F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_name")).alias('Who, "you"?'),
+        F.lit("x").alias("備註"),
+    )
+    (
+        sheet.write.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    domain = new_table_name("survey")
+    answers = files.read_survey(spark, path)
+    loaded = surveys.save(spark, answers, 2024, f"{path}-out", domain)
+    fact, questions = (spark.table(name) for name in loaded)
+    return fact.join(questions.drop("year"), "question_id").select("ip", "question", "answer")

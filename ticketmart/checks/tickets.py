@@ -461,3 +461,29 @@ def stream_tickets(spark: SparkSession, folder: str) -> DataFrame:
         F.get_json_object("attendee_info", "$.id").cast("long").alias("id"),
         F.get_json_object("attendee_info", "$.reg_no").cast("long").alias("reg_no"),
     )
+
+
+@check(f"""WITH {TICKETS_SQL}
+SELECT event_id AS id, id AS attendee_id, count(*) AS copies FROM tickets GROUP BY ALL
+""")
+def loaded_twice_deduped(spark: SparkSession, folder: str) -> DataFrame:
+    """The load job run twice over all tickets, then deduped by partition."""
+    ods, wide = new_table_name("orders"), new_table_name("wide")
+    tickets = landed.tickets(derive.events(spark, folder), derive.attendees(spark, folder))
+    orders = plan.order_rows(tickets)
+    for _ in range(2):
+        plan.load_orders(spark, orders, ods, wide)
+    plan.dedupe_orders(spark, ods, scratch(spark, "unused"), since=0.0)
+    return spark.table(ods).groupBy("id", "attendee_id").agg(F.count("*").alias("copies"))
+
+
+@check(f"""WITH {TICKETS_SQL}, {_LATEST_IDS}
+SELECT event_id AS id, id AS attendee_id, id NOT IN (SELECT id FROM latest) AS refunded FROM tickets
+""")
+def refund_reconciled(spark: SparkSession, folder: str) -> DataFrame:
+    """The refund job on the raw table: only its partitions with a refund are written again."""
+    ods, wide = new_table_name("orders"), new_table_name("wide")
+    tickets = landed.tickets(derive.events(spark, folder), derive.attendees(spark, folder))
+    plan.load_orders(spark, plan.order_rows(tickets), ods, wide)
+    plan.reconcile_refunds(spark, ods, _books(spark, folder), scratch(spark, "unused"), True)
+    return spark.table(ods).select("id", "attendee_id", "refunded")

@@ -50,6 +50,12 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/ticketmart/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes an intermediate table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def moment(as_of: datetime | str | None) -> Column:
     """The time a job takes as "now": a parameter, else the current time."""
     if as_of is None:

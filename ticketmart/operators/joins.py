@@ -172,6 +172,19 @@ def price_of(ticket: Column, prices: Mapping[str, int]) -> Column:
     return missing_as(table[ticket], 0)
 
 
+def groups_named(name: Column, groups: Sequence[str]) -> Column:
+    """The ticket groups a name mentions, joined by `+`; `none` if there are none."""
+    mentioned = F.filter(
+        F.array(*[F.lit(group) for group in groups]),
+        lambda group: F.contains(F.lower(name), group),
+    )
+    return F.when(F.size(mentioned) > 0, F.array_join(mentioned, "+")).otherwise("none")
+
+
+def in_group(ticket_groups: Column, group: str) -> Column:
+    return F.array_contains(F.split(ticket_groups, r"\+"), group)
+
+
 def route(rows: DataFrame, name: Column, groups: Sequence[str], forced: str | None = None) -> DataFrame:
     """One copy of a row for every ticket group its name mentions, or for a forced group."""
     if forced is not None:

@@ -17,14 +17,16 @@ def new_expenses(sheet: DataFrame, known: DataFrame) -> DataFrame:
     return left_only_rows(sheet, known)
 
 
-def save(spark: SparkSession, sheet: DataFrame, lines_per_message: int) -> DataFrame:
+def save(
+    spark: SparkSession, sheet: DataFrame, lines_per_message: int, table: str = TABLE
+) -> DataFrame:
     """Appends the new expenses and gives their report.
 
     They are held in the shared folder first, as after the load nothing is new.
     """
-    tables.create_table(spark, TABLE, schemas.FINANCE)
+    tables.create_table(spark, table, schemas.FINANCE)
     held = scratch(spark, "new-expenses")
-    new_expenses(sheet, spark.table(TABLE)).write.parquet(held)
+    new_expenses(sheet, spark.table(table)).write.parquet(held)
     fresh = spark.read.parquet(held)
-    tables.append(fresh, TABLE, schemas.FINANCE)
+    tables.append(fresh, table, schemas.FINANCE)
     return expense_message(fresh, lines_per_message)

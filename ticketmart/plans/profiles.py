@@ -48,10 +48,11 @@ def refresh(
     wide_tables: Sequence[DataFrame],
     folder: str,
     as_of: datetime | str | None = None,
+    table: str = TABLE,
 ) -> None:
-    tables.create_table(spark, TABLE, schemas.USER_PROFILE)
-    merged = upsert_profiles(spark.table(TABLE), profile_rows(wide_tables), as_of)
-    tables.replace_table(spark, TABLE, merged, folder)
+    tables.create_table(spark, table, schemas.USER_PROFILE)
+    merged = upsert_profiles(spark.table(table), profile_rows(wide_tables), as_of)
+    tables.replace_table(spark, table, merged, folder)
 
 
 def label_values(

@@ -47,6 +47,7 @@ def save(
             .option("escape", '"')
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
+            .option("nullValue", "\u0001")  # so that only an unquoted cell is missing
             .csv(path)
         )
         loaded[table] = tables.append(exported, table, schema)

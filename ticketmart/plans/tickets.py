@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmart import schemas, vocab
-from ticketmart.config import scratch
+from ticketmart.config import remove, scratch
 from ticketmart.functions.text import paid_flag
 from ticketmart.functions.times import epoch_to_date_text
 from ticketmart.operators import filters, harmonise, joins, reshape
@@ -129,6 +130,7 @@ def wide_rows(
     questions: Sequence[str] | None = None,
     columns: int = 2_000,
     strict: bool = False,
+    events: bool = False,
 ) -> DataFrame:
     """One row per registration number, one column per harmonised question.
 
@@ -138,13 +140,17 @@ def wide_rows(
     questions that a given form does not list, are whole in the map
     `other_answers`. Numbers may be given as text. A ticket whose registration
     number or price is no number is left out (`wide_rejects` gives it) or, if
-    strict, fails the job.
+    strict, fails the job. `events` adds the id of the event.
     """
+    if "updated_at" in orders.columns:  # reaches the scan, unlike a field of the payload
+        orders = filters.updated_since(orders, F.col("updated_at"), update_after)
     known = [*schemas.PAYLOAD_FIELDS, SEARCH_TEXT]
     info = F.col("attendee_info")
-    records = orders.select(info, F.from_json(info, _WIDE_SCHEMA).alias("payload"))
+    records = orders.select(
+        info, F.col("id").alias("_event"), F.from_json(info, _WIDE_SCHEMA).alias("payload")
+    )
     records = records.select(
-        "attendee_info", *[f"payload.{name}" for name in ("id", "data", *_WIDE_FIELDS)]
+        "attendee_info", "_event", *[f"payload.{name}" for name in ("id", "data", *_WIDE_FIELDS)]
     )
     records = filters.updated_since(records, F.col("updated_at"), update_after)
     reason = _not_a_number(F.col("reg_no"), F.col("price"))
@@ -180,6 +186,7 @@ def wide_rows(
         "payment_status": paid_flag(F.col("is_paid"), vocab.PAID_TEXTS),
         "paid_date": epoch_to_date_text(F.col("updated_at")),
         "_record": F.col("id"),
+        **({"event_id": F.col("_event")} if events else {}),
     }
     wide = reshape.pairs_to_wide(
         records,
@@ -206,45 +213,94 @@ def load_orders(
     put aside in tables of their own.
     """
     held = scratch(spark, "orders")
-    routed = joins.route(orders, F.col("name"), vocab.TICKET_GROUPS, forced=group)
-    routed.write.partitionBy("ticket_group").parquet(held)
+    stored = raw_rows(orders, group)
+    stored.write.partitionBy(*schemas.RAW_PARTITIONS).parquet(held)
     # read with its schema, which an empty load would not have on disk
-    orders, undated = split_timed(spark.read.schema(routed.schema).parquet(held))
+    stored, undated = split_timed(spark.read.schema(stored.schema).parquet(held))
     loaded = {}
-    for table, rows, schema in (
-        (ods, orders, schemas.TICKET_ORDERS),
-        (f"{ods}_undated", undated, schemas.TICKET_ORDERS),
-        (f"{ods}_rejected", wide_rejects(orders), schemas.REJECTED_ORDERS),
+    for table, rows, schema, folders in (
+        (ods, stored, schemas.RAW_ORDERS, schemas.RAW_PARTITIONS),
+        (f"{ods}_undated", undated, schemas.TICKET_ORDERS, ()),
+        (f"{ods}_rejected", wide_rejects(stored), schemas.REJECTED_ORDERS, ()),
     ):
-        tables.create_table(spark, table, schema)
+        tables.create_table(spark, table, schema, partition_by=folders)
         if count := tables.append(rows, table, schema):
             loaded[table] = count
-    present = {row.ticket_group for row in orders.select("ticket_group").distinct().collect()}
-    for ticket_group in [group] if group else vocab.TICKET_GROUPS:
-        if ticket_group in present:  # one name of a few, a folder of the held copy each
+    # a few names of folders, whatever the size of the load
+    present = [row[0] for row in stored.select("ticket_groups").distinct().collect()]
+    for ticket_group in vocab.TICKET_GROUPS:
+        if any(ticket_group in names.split("+") for names in present):
             table = f"{dwd_prefix}_{ticket_group}"
-            of_group = orders.where(F.col("ticket_group") == ticket_group).drop("ticket_group")
-            loaded[table] = tables.append_evolving(wide_rows(of_group), table)
+            of_group = stored.where(joins.in_group(F.col("ticket_groups"), ticket_group))
+            loaded[table] = tables.append_evolving(wide_rows(of_group, events=True), table)
+    remove(spark, held)
     return loaded
 
 
+def raw_rows(orders: DataFrame, group: str | None = None) -> DataFrame:
+    """Orders as the raw table stores them, its columns of the payload read once.
+
+    The year is the first one in the event's name, 0 without any; the ticket groups
+    are those the name mentions, or the forced one.
+    """
+    year = F.regexp_extract("name", "(?:19|20)[0-9]{2}", 0).try_cast("int")
+    groups = F.lit(group) if group else joins.groups_named(F.col("name"), vocab.TICKET_GROUPS)
+    return orders.select(
+        *schemas.TICKET_ORDERS.fieldNames(),
+        F.get_json_object("attendee_info", "$.id").try_cast("long").alias("attendee_id"),
+        F.get_json_object("attendee_info", "$.updated_at").try_cast("double").alias("updated_at"),
+        F.coalesce(year, F.lit(0)).alias("year"),
+        groups.alias("ticket_groups"),
+    )
+
+
 def current_rows(wide: DataFrame) -> DataFrame:
-    """Latest row per registration number over all loads of a wide table."""
-    others = [
-        F.desc(name) for name in wide.columns if name not in ("registration_no", "updated_at")
-    ]
-    return latest_per_key(wide, ["registration_no"], [F.desc("updated_at"), *others])
+    """Latest row per event and registration number over all loads of a wide table."""
+    keys = [name for name in ("event_id", "registration_no") if name in wide.columns]
+    others = [F.desc(name) for name in wide.columns if name not in (*keys, "updated_at")]
+    return latest_per_key(wide, keys, [F.desc("updated_at"), *others])
+
+
+def _of_partitions(rows: DataFrame, touched: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows of the touched partitions, whose names (a few) become a filter of the scan."""
+    found = [tuple(row) for row in touched.select(*names).distinct().collect()]
+    wanted = F.lit(False)
+    for values in found:
+        same = [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(names, values, strict=True)]
+        wanted = wanted | reduce(Column.__and__, same)
+    return rows.where(wanted)
+
+
+def dedupe_orders(spark: SparkSession, ods: str, folder: str, since: float | None = None) -> None:
+    """Full-row dedupe, which makes repeated loads of one interval harmless.
+
+    Only partitions that hold a row twice are written again; which ones these are
+    is found from hashes of the rows, of those updated since the given time. A
+    table without partitions is written again whole.
+    """
+    orders = spark.table(ods)
+    names = tables.partition_columns(spark, ods)
+    if not names:
+        tables.replace_table(spark, ods, distinct_rows(orders), folder)
+        return
+    columns = [F.col(name) for name in orders.columns]
+    digests = filters.updated_since(orders, F.col("updated_at"), since).select(
+        *names, F.xxhash64(*columns).alias("one"), F.xxhash64(F.lit(1), *columns).alias("two")
+    )
+    twice = digests.groupBy(*names, "one", "two").agg(F.count("*").alias("n")).where("n > 1")
+    tables.replace_partitions(spark, ods, distinct_rows(_of_partitions(orders, twice, names)))
 
 
-def dedupe_orders(spark: SparkSession, ods: str, folder: str) -> None:
-    """Full-row dedupe, which makes repeated loads of one interval harmless."""
-    tables.replace_table(spark, ods, distinct_rows(spark.table(ods)), folder)
+def _attendee_id(orders: DataFrame) -> Column:
+    """The column, where the table has one, else the payload's id."""
+    if "attendee_id" in orders.columns:
+        return F.col("attendee_id")
+    return json_value("attendee_info", "$.id", "long")
 
 
 def live_attendees(orders: DataFrame) -> DataFrame:
     return orders.where(filters.is_live(F.col("refunded"))).select(
-        F.col("id").alias("event_id"),
-        json_value("attendee_info", "$.id", "long").alias("attendee_id"),
+        F.col("id").alias("event_id"), _attendee_id(orders).alias("attendee_id")
     )
 
 
@@ -257,19 +313,28 @@ def refunded(orders: DataFrame, books: DataFrame) -> DataFrame:
 
 def mark(orders: DataFrame, gone: DataFrame, by_event: bool = False) -> DataFrame:
     """Orders with `refunded` set for these attendees, of any event unless told."""
-    attendee_id = json_value("attendee_info", "$.id", "long")
+    attendee_id = _attendee_id(orders)
     return joins.mark_refunded(orders, gone, attendee_id, F.col("id") if by_event else None)
 
 
 def reconcile_refunds(
     spark: SparkSession, ods: str, books: DataFrame, folder: str, by_event: bool = False
 ) -> bool:
-    """Updates the raw table; without a refund it is not written again."""
+    """Updates the raw table; only partitions with a refund are written again."""
     orders = spark.table(ods)
     held = scratch(spark, "refunded")
     refunded(orders, books).write.parquet(held)
     gone = spark.read.parquet(held)
-    if gone.isEmpty():
+    if not gone.limit(1).count():
         return False
-    tables.replace_table(spark, ods, mark(orders, gone, by_event), folder)
+    names = tables.partition_columns(spark, ods)
+    if names:
+        keys = ["attendee_id", *(["id"] if by_event else [])]
+        hits = gone.select("attendee_id", F.col("event_id").alias("id")).select(*keys).distinct()
+        touched = joins.join_on(orders, hits, keys, "left_semi")
+        marked = mark(_of_partitions(orders, touched, names), gone, by_event)
+        tables.replace_partitions(spark, ods, marked)
+    else:
+        tables.replace_table(spark, ods, mark(orders, gone, by_event), folder)
+    remove(spark, held)
     return True

@@ -29,14 +29,15 @@ def save(
     statistics: DataFrame,
     info: DataFrame,
     as_of: datetime | str | None = None,
+    layer: str = "ods",
 ) -> dict[str, int]:
     videos = videos_of_last_year(pages, as_of)
     outputs = {
-        "ods.video_statistics": (
+        f"{layer}.video_statistics": (
             landed.video_statistics(videos, statistics, as_of),
             schemas.VIDEO_STATISTICS,
         ),
-        "ods.video_info": (landed.video_info(videos, info, as_of), schemas.VIDEO_INFO),
+        f"{layer}.video_info": (landed.video_info(videos, info, as_of), schemas.VIDEO_INFO),
     }
     loaded = {}
     for table, (rows, schema) in outputs.items():

@@ -37,6 +37,19 @@ TICKET_ORDERS = _table(
     ("refunded", "boolean", True),
 )
 
+# the raw table as it is stored: times and ids as columns, folders by year and ticket groups
+RAW_ORDERS = _table(
+    ("id", "long", True),
+    ("name", "string", True),
+    ("attendee_info", "string", True),
+    ("refunded", "boolean", True),
+    ("attendee_id", "long", False),
+    ("updated_at", "double", False),
+    ("year", "integer", True),
+    ("ticket_groups", "string", True),
+)
+RAW_PARTITIONS = ("year", "ticket_groups")
+
 REJECTED_ORDERS = _table(
     ("id", "long", False),
     ("name", "string", False),

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticketmart.config import remove, scratch
+
 logger = logging.getLogger(__name__)
 
 
@@ -138,6 +140,31 @@ def replace_table(spark: SparkSession, table: str, rows: DataFrame, folder: str)
     spark.catalog.refreshTable(table)
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
+
+
+def replace_partitions(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """Replaces the partitions that the rows are in; all others keep their files.
+
+    The rows may be made from the table itself: they are written to the shared
+    folder before the table is touched.
+    """
+    held = scratch(spark, "partitions")
+    fresh = rows.select(*[quoted(name) for name in spark.table(table).columns])
+    fresh.write.parquet(held)
+    mode = "spark.sql.sources.partitionOverwriteMode"  # an option of the write is not heeded here
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        written = spark.read.schema(fresh.schema).parquet(held)
+        written.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)
+    spark.catalog.refreshTable(table)
+    remove(spark, held)
+
+
 def export_csv(rows: DataFrame, path: str) -> None:
     """CSV with a header row; blanks and line ends at the ends of cells are kept."""
     (
