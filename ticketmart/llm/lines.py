@@ -172,24 +172,25 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def _later_copies(passages: DataFrame, levels: list[DataFrame]) -> DataFrame:
     """Lines of the passages that also occur earlier, gathered per document."""
-    named = [
-        passages.filter("length = 1").select(
-            *_KEY, "place", "length", F.col("rank0").alias("head"), F.col("rank0").alias("tail")
-        )
+    doubled = [
+        ranks.select(*_KEY, "place", F.lit(level).alias("level"), "rank")
+        for level, ranks in enumerate(levels)
+        if level
     ]
-    for level, ranks in enumerate(levels[1:], start=1):
-        size = 1 << level
-        ranks = ranks.select(*_KEY, "place", "rank")
-        named.append(
-            passages.filter(F.col("length").between(size, 2 * size - 1))
-            .withColumn("tail_at", F.col("place") + F.col("length") - size)
-            .join(ranks.withColumnRenamed("rank", "head"), [*_KEY, "place"])
-            .join(
-                ranks.withColumnsRenamed({"rank": "tail", "place": "tail_at"}), [*_KEY, "tail_at"]
-            )
-            .select(*_KEY, "place", "length", "head", "tail")
-        )
-    names = reduce(DataFrame.unionByName, named)
+    single = passages.filter("length = 1").select(
+        *_KEY, "place", "length", F.col("rank0").alias("head"), F.col("rank0").alias("tail")
+    )
+    names = single
+    if doubled:
+        ranks = reduce(DataFrame.unionByName, doubled)
+        level = F.length(F.bin("length")) - 1
+        covered = passages.filter("length > 1").withColumn("level", level)
+        covered = covered.withColumn("tail_at", F.expr("place + length - shiftleft(1, level)"))
+        tails = ranks.withColumnsRenamed({"rank": "tail", "place": "tail_at"})
+        heads = ranks.withColumnRenamed("rank", "head")
+        covered = join_on(covered, heads, [*_KEY, "place", "level"], "inner")
+        covered = join_on(covered, tails, [*_KEY, "tail_at", "level"], "inner")
+        names = single.unionByName(covered.select(*_KEY, "place", "length", "head", "tail"))
     first = (
         names.groupBy("length", "head", "tail")
         .agg(F.min(F.struct(*_KEY, "place")).alias("at"))
@@ -211,6 +212,8 @@ def with_deduped_text(
 ) -> DataFrame:
     """Removes from `text` the lines of later copies; adds the counts of lines and removals.
 
+    Columns that already have the names of the counts are replaced.
+
     A document that loses nothing keeps its text as it is, null included; null
     counts as no lines. One that loses lines keeps its other non-blank lines, cut
     of blanks at their ends, joined by line ends; it may become empty. Rows with
@@ -237,7 +240,11 @@ def with_deduped_text(
     )
     text = F.when(column(gone).isNull(), column("text")).otherwise(F.concat_ws("\n", kept))
     return joined.select(
-        *[(text if c == "text" else column(c)).alias(c) for c in docs.columns],
+        *[
+            (text if c == "text" else column(c)).alias(c)
+            for c in docs.columns
+            if c.lower() not in [name.lower() for name in names]
+        ],
         total.cast("long").alias(names[0]),
         F.coalesce(F.size(column(gone)), F.lit(0)).cast("long").alias(names[1]),
     )
