@@ -83,21 +83,18 @@ def test_wide_row_of_the_sample_payload(spark):
         "organization",
         "years_of_using_python",
         "area_of_interest",
-        "have_you_ever_attended_pycon_tw",
         "email_from_sponsor",
-        "i_would_like_to_donate_invoice_to_open_culture_foundation",
-        "privacy_policy_of_pycon_tw",
-        "ive_already_read_and_i_accept_the_privacy_policy_of_pycon_tw",
-        "i_am_fully_aware_of_the_gather_privacy_policy_only_participants_that_are_over_the_age_of_18_can_access_to_the_venue_gather_18",
+        "which_hall_do_you_like_best",
+        "do_you_bring_a_friend",
         "email",
     }
     row = wide.first()
-    assert row.registration_no == 104
-    assert row.paid_date == "2022-07-04"
+    assert row.registration_no == 321
+    assert row.paid_date == "2022-08-08"
     assert row.payment_status == "paid"
-    assert row.organization == "範例資訊有限公司"
-    assert row.country_or_region == "Taiwan 台灣"
-    assert row.price == 2600.0
+    assert row.organization == "Example Ltd"
+    assert row.country_or_region == "Utopia"
+    assert row.price == 1800.0
 
 
 def test_wide_rows_merge_drifting_questions_and_keep_the_latest(spark):
@@ -239,7 +236,7 @@ def test_load_dedupe_and_current(spark):
     assert sorted((r.event_id, r.registration_no) for r in current.collect()) == [
         (9, 7),
         (EVENT[0], 7),
-        (EVENT[0], 104),
+        (EVENT[0], 321),
     ]
     assert spark.table("dwd.wide_t1_reserved").count() == 1
     raw_table = spark.table("ods.orders_t1")
@@ -256,7 +253,7 @@ def test_load_dedupe_and_current(spark):
     assert sorted((r.id, r.attendee_id, r.refunded) for r in after.collect()) == [
         (9, 7, True),
         (EVENT[0], 7, False),
-        (EVENT[0], 84748358, False),
+        (EVENT[0], 5001, False),
     ]
     assert sorted(name for name in after.inputFiles() if "year=2022" in name) == sorted(kept)
     filtered = plan.wide_rows(after.where("year = 2022"), update_after=1.0, questions=["q"])
@@ -280,7 +277,7 @@ def test_refunds_follow_the_attendance_book(spark):
         raw(spark, payload(id=2), payload(id=3), event=(9, "Other 2022 registration"))
     )
     orders = orders.withColumn("refunded", F.lit(None).cast("boolean"))
-    book = {"id": 5, "signin_status": [[1, True, "2022-07-04"], ["1", None]]}
+    book = {"id": 5, "signin_status": [[1, True, "2022-08-08"], ["1", None]]}
     reply = {"event_id": EVENT[0], "books": [book, {"id": 6, "signin_status": [[2, True]]}]}
     folder = scratch(spark, "landing")
     spark.createDataFrame([(json.dumps(reply),)], "value string").write.text(
@@ -297,8 +294,8 @@ def test_refunds_follow_the_attendance_book(spark):
         )
 
     # attendee 2 left the first event; the other event has no landed book
-    assert refunded(by_event=False) == [(9, 2, True), (9, 3, None), (84296, 1, None), (84296, 2, True)]
-    assert refunded(by_event=True) == [(9, 2, None), (9, 3, None), (84296, 1, None), (84296, 2, True)]
+    assert refunded(by_event=False) == [(9, 2, True), (9, 3, None), (5150, 1, None), (5150, 2, True)]
+    assert refunded(by_event=True) == [(9, 2, None), (9, 3, None), (5150, 1, None), (5150, 2, True)]
 
 
 def test_empty_book_refunds_everyone(spark):

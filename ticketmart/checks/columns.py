@@ -18,7 +18,7 @@ from ticketmart.plans import offline, surveys
 SELECT p_partkey AS registration_no, p_name AS organization,
        coalesce(nullif(p_brand, 'Brand#7'), p_type) AS email_from_sponsor,
        p_retailprice AS price, p_size AS years_of_using_python,
-       p_type AS how_did_you_know_pycon_tw
+       p_type AS dietary_habit
 FROM part
 """)
 def harmonise_names(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,7 +38,7 @@ def harmonise_names(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_name").alias("Contact Name"),
         F.col("p_brand").alias("Nickname / 暱稱"),
         F.col("p_brand").alias("標籤"),
-        F.col("p_type").alias("How did you find out PyCon TW？ / 如何得知 PyCon TW？"),
+        F.col("p_type").alias("Dietary Preference / 飲食偏好"),
     )
     return harmonise.drop_private(harmonise.to_numbers(harmonise.harmonise(messy)))
 
