@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmart import schemas
-from ticketmart.config import scratch
+from ticketmart.config import remove, scratch
 from ticketmart.functions.times import year_of_date_text
 from ticketmart.operators import filters, joins, labelling
 from ticketmart.operators.harmonise import union_by_name
@@ -50,9 +50,13 @@ def refresh(
     as_of: datetime | str | None = None,
     table: str = TABLE,
 ) -> None:
+    """Upserts the rows of the wide tables, which are read once and held for the upsert."""
     tables.create_table(spark, table, schemas.USER_PROFILE)
-    merged = upsert_profiles(spark.table(table), profile_rows(wide_tables), as_of)
+    held = scratch(spark, "profiles")
+    profile_rows(wide_tables).write.parquet(held)
+    merged = upsert_profiles(spark.table(table), spark.read.parquet(held), as_of)
     tables.replace_table(spark, table, merged, folder)
+    remove(spark, held)
 
 
 def label_values(
