@@ -98,11 +98,13 @@ def test_article_without_its_frame(spark):
 def test_shared_lines_of_pages_without_an_article_go(spark):
     rows = [(i, f"https://site.org/story/{i}?x=1", OPEN.format(i)) for i in range(12)]
     rows += [(50, "https://lone.org/1", OPEN.format(50))]
+    rows += [(60 + i, "https://copy.org/1", OPEN.format(60)) for i in range(2)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = {r.page_id: r for r in pages.main_texts(frame).collect()}
     assert all(found[i].text == f"Story {i} begins.\nAnd ends {i}." for i in range(12))
     assert all(found[i].n_shared == 2 for i in range(12))
     assert found[50].text.startswith("Top of the site") and found[50].n_shared == 0
+    assert all(found[i].text.count("\n") == 3 for i in (60, 61))  # a copy keeps its lines
 
 
 @pytest.mark.parametrize("seed", range(20))
