@@ -149,15 +149,19 @@ def wide_rows(
     records = orders.select(
         info, F.col("id").alias("_event"), F.from_json(info, _WIDE_SCHEMA).alias("payload")
     )
+    # one condition over one parse; on the single fields Spark would parse for each of them
+    number = lambda p: _not_a_number(p["reg_no"], p["price"]).isNull()
+    if not strict:
+        records = records.where(F.exists(F.array("payload"), number))
     records = records.select(
         "attendee_info", "_event", *[f"payload.{name}" for name in ("id", "data", *_WIDE_FIELDS)]
     )
     records = filters.updated_since(records, F.col("updated_at"), update_after)
-    reason = _not_a_number(F.col("reg_no"), F.col("price"))
     if strict:
+        reason = _not_a_number(F.col("reg_no"), F.col("price"))
         fail = F.raise_error(F.concat(reason, F.lit(": "), info)).cast("boolean")
-        reason = F.when(reason.isNotNull(), fail)
-    records = records.where(reason.isNull()).withColumns(
+        records = records.where(F.when(reason.isNotNull(), fail).isNull())
+    records = records.withColumns(
         {
             "reg_no": F.col("reg_no").cast("long"),
             "price": F.nullif(F.trim("price"), F.lit("")).cast("double"),
