@@ -95,6 +95,32 @@ def test_article_without_its_frame(spark):
     assert pages.main_texts(frame.limit(0)).collect() == []
 
 
+FRAMED = [
+    ('<form id="f"><nav>m</nav><article><p>T</p></article></form>', "T"),
+    ('<div class="page-with-sidebar"><main class="no-sidebar"><p>T</p></main></div>', "T"),
+    ('<article class="post comment-open"><p>T</p></article>', "T"),
+    ('<article class="notice"><p>T</p></article><div>site</div>', "T"),
+    ('<nav><a>m</a><article><p>T</p></article>', "T"),
+    ('<div><div class="ad">Buy<article>T</article></div><article>U</article>', "T\nU"),
+    ('<article><h2 id="related-work">T</h2><h2 id="search">U</h2></article>', "T\nU"),
+    ('<article><section id="search-results">T</section><p id="notice-period">U</p></article>', "T\nU"),
+    ("<article><p>T <math><mi>x</mi></math></p></article>", "T x"),
+    ("<article><form><p>T</p></form></article><div>site</div>", "T"),
+    ("<form><p>T</p></form>", "T"),
+    ('<article><ul><li class="ad">a<li>T</ul></article>', "T"),
+    ('<article>T<div class="comments"><article>c</article></div></article><aside>a</aside>', "T"),
+    ("<nav>m</nav><article>T</article><aside><article>teaser</article></aside>", "T"),
+    ("<nav>m</nav><footer>f</footer>", ""),
+]
+
+
+def test_articles_inside_frames_are_whole(spark):
+    rows = [(i, f"http://h{i}.org/", html) for i, (html, _) in enumerate(FRAMED)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in pages.main_texts(frame).collect()}
+    assert found == {i: text for i, (_, text) in enumerate(FRAMED)}
+
+
 def test_shared_lines_of_pages_without_an_article_go(spark):
     rows = [(i, f"https://site.org/story/{i}?x=1", OPEN.format(i)) for i in range(12)]
     rows += [(50, "https://lone.org/1", OPEN.format(50))]
