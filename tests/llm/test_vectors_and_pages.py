@@ -133,6 +133,18 @@ def test_shared_lines_of_pages_without_an_article_go(spark):
     assert all(found[i].text.count("\n") == 3 for i in (60, 61))  # a copy keeps its lines
 
 
+def test_pages_of_one_path_are_no_evidence_of_site_lines(spark):
+    rows = [(i, f"https://site.org/story/{i // 3}?page={i % 3}", OPEN.format(i // 3)) for i in range(12)]
+    changed = OPEN.format(0).replace("And", "Or")
+    rows += [(20, "https://site.org/story/0/#again", changed), (21, "https://site.org/story/0", None)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r for r in pages.main_texts(frame).collect()}
+    text = "Story {0} begins.\nAnd ends {0}."
+    assert all(found[i].text == text.format(i // 3) for i in range(12))
+    assert found[20].text == text.format(0).replace("And", "Or")
+    assert all(found[i].n_shared == 2 for i in (*range(12), 20)) and found[21].text == ""
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_shared_lines_are_a_longest_common_subsequence(seed):
     random = np.random.default_rng(seed)
