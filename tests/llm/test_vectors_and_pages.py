@@ -133,6 +133,18 @@ def test_shared_lines_of_pages_without_an_article_go(spark):
     assert all(found[i].text.count("\n") == 3 for i in (60, 61))  # a copy keeps its lines
 
 
+def test_shared_lines_beside_the_article_of_a_main_element_go(spark):
+    main = "<main><p>Site line</p><h1>Head {0}</h1><article><p>Quoted</p><p>Own {0}</p></article><p>End</p></main>"
+    rows = [(i, f"https://site.org/{i}", main.format(i)) for i in range(4)]
+    rows += [(9, "https://lone.org/", main.format(9)), (8, "https://alone.org/8", "<main>Quoted</main>")]
+    rows += [(7, "https://plain.org/", "<main>Story</main><article>Other</article>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in pages.main_texts(frame).collect()}
+    assert all(found[i] == f"Head {i}\nQuoted\nOwn {i}" for i in range(4))
+    assert found[9] == "Site line\nHead 9\nQuoted\nOwn 9\nEnd"
+    assert (found[8], found[7]) == ("Quoted", "Story\nOther")
+
+
 def test_pages_of_one_path_are_no_evidence_of_site_lines(spark):
     rows = [(i, f"https://site.org/story/{i // 3}?page={i % 3}", OPEN.format(i // 3)) for i in range(12)]
     changed = OPEN.format(0).replace("And", "Or")
