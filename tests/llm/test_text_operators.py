@@ -374,6 +374,26 @@ def test_quotes_wrapped_anew_and_of_other_scopes_are_linked(spark):
     assert found[2, 2].root_scope == 1 and found[9, 9].depth == 0
 
 
+def test_quotes_of_repeated_messages_link_to_the_last_before(spark):
+    said = ["Hello", "Hi.", "Go on", "yes", "And then?", "yes", "Thank you", "Go on", "yes", "Stop"]
+    turns = [(scope, i, text) for scope in ("a", "b", None) for i, text in enumerate(said)]
+    turns += [("many", i, ["yes", "no", "continue"][i % 3]) for i in range(400)]
+    turns += [("same", i, "yes") for i in range(300)]
+    frame = spark.createDataFrame(turns, "conv_id string, turn long, text string")
+    out = quotes.conversations(quotes.as_mail(frame), "conv_id", "turn")
+    for r in out.collect():
+        assert r.depth == r.turn and r.root_place == 0, r
+        assert r.parent_place == (r.turn - 1 if r.turn else None)
+        assert r.parent_scope == (r.conv_id if r.turn else None)
+    rows = [("x", 1, "yes"), ("x", 1, "> yes\nno"), ("y", 3, "> yes\nno"), ("x", 9, "> yes\nwell")]
+    rows += [("x", 5, "yes"), ("x", 9, "yes"), ("x", None, "> yes\nlost")]
+    frame = spark.createDataFrame(rows, "conv_id string, turn long, text string")
+    out = quotes.conversations(frame, "conv_id", "turn").collect()
+    found = {(r.conv_id, r.turn, r.text): (r.parent_scope, r.parent_place) for r in out}
+    assert found["x", 1, "no"] == found["x", None, "lost"] == (None, None)
+    assert (found["y", 3, "no"], found["x", 9, "well"]) == (("x", 1), ("x", 5))
+
+
 # -- SimHash
 
 

@@ -8,9 +8,11 @@ messages that hold them as their own text. A message answers the owner of its
 least deep quotes, and the conversation is the tree of answers; own text is left,
 without quotes and without the lines that introduce them.
 
-A passage that very many messages hold has one owner: the earliest in the same
-scope, else the earliest of all. So a join gives each quote one row at most,
-whatever the passage, and the owner table is combined before its shuffle.
+A quote has one owner: of the messages before it that hold the passage, the last
+in the same scope, else the earliest of all. Owners and quotes are put in one order
+that is cut into ranges, and every quote takes the last owner before it; so each
+quote gives one row, and a passage that very many messages hold is spread over
+ranges.
 """
 
 from __future__ import annotations
@@ -87,20 +89,55 @@ def _hashed(found: DataFrame) -> DataFrame:
     ).drop("plain")
 
 
+#: Owners and quotes in order; an owner comes after the quotes of its place, which it cannot answer.
+_ORDER = ["scope", "one", "two", "place", "owns", "id", "run"]
+
+
+def _with_last_owner(quotes: DataFrame, own: DataFrame) -> DataFrame:
+    """Adds to quotes `near`: the last message of the scope before them that holds the passage.
+
+    Of messages at one place it is that of the least id. Inside a range a window
+    finds it; the first passage of a range may have its owner in an earlier one,
+    whose last owner is then that of this passage. The last owners are one row
+    per range, no more than there are shuffle partitions.
+    """
+    passage = ["scope", "one", "two"]
+    owners = own.groupBy(*passage, "place").agg(F.min("id").alias("id"))
+    rows = quotes.withColumn("owns", F.lit(False)).unionByName(
+        owners.withColumn("owns", F.lit(True)), allowMissingColumns=True
+    )
+    ranged = rows.repartitionByRange(*_ORDER).withColumn("_range", F.spark_partition_id())
+    held = materialise(ranged, "owners")
+    owner = F.when(F.col("owns"), F.struct("place", "scope", "id"))
+    so_far = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ends = held.groupBy("_range").agg(
+        F.max(F.when(F.col("owns"), F.struct(*passage, "place", "id"))).alias("end")
+    )
+    earlier = ends.select("_range", F.last("end", ignorenulls=True).over(so_far).alias("end"))
+    inside = (
+        Window.partitionBy("_range", *passage)
+        .orderBy("place", "owns", "id", "run")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    placed = held.withColumn("near", F.last(owner, ignorenulls=True).over(inside)).filter("NOT owns")
+    same = F.col("end").isNotNull()
+    for name in passage:
+        same &= F.col(f"end.{name}").eqNullSafe(F.col(name))
+    carried = F.when(same, F.struct("end.place", "end.scope", "end.id"))
+    return placed.join(F.broadcast(earlier), "_range").withColumn("near", F.coalesce("near", carried))
+
+
 def _links(messages: DataFrame, hashed: DataFrame) -> DataFrame:
     """(id, parent): the earlier message that each message answers, if it quotes one."""
     who = messages.select("id", "scope", "place")
-    located = hashed.join(who, "id")
-    own = located.filter("level = 0 AND place IS NOT NULL")
+    located = hashed.join(who, "id").filter("place IS NOT NULL")
+    own = located.filter("level = 0")
     earliest = F.min(F.struct("place", "scope", "id"))
-    near = own.groupBy("scope", "one", "two").agg(earliest.alias("near"))
     anywhere = own.groupBy("one", "two").agg(earliest.alias("far"))
-    quotes = located.filter("level > 0").select("id", "scope", "place", "level", "one", "two", "words")
-    found = join_on(
-        join_on(quotes, near, ["scope", "one", "two"], "left"), anywhere, ["one", "two"], "left"
-    )
-    before = lambda owner: F.col(f"{owner}.place") < F.col("place")
-    owner = F.when(before("near"), F.col("near")).when(before("far"), F.col("far"))
+    quotes = located.filter("level > 0").select(*_ORDER[:4], "id", "run", "level", "words")
+    found = join_on(_with_last_owner(quotes, own), anywhere, ["one", "two"], "left")
+    earlier = F.when(F.col("far.place") < F.col("place"), F.col("far"))
+    owner = F.coalesce("near", earlier)
     weighed = (
         found.select("id", "level", "words", owner.alias("owner"))
         .filter(F.col("owner").isNotNull())
@@ -149,8 +186,8 @@ def conversations(
     passages parted by blank lines. A parent always has a smaller depth, so
     sorting a conversation by depth and place gives the order of replies.
 
-    A message answers only what has a smaller place; ties of owners go to the
-    least place, then scope. Rows without a place answer nothing and are not
+    A message answers only what has a smaller place, of repeated messages of its
+    scope the last before it; ties of owners go to the least place, then scope. Rows without a place answer nothing and are not
     answered. A null or blank text has no passages and an empty text. Repeated
     rows are messages of their own with the same result. Extra columns are
     ignored unless kept.
