@@ -122,6 +122,32 @@ def test_repeated_question_keeps_the_last_answer(spark):
     assert wide.first().country_or_region == "last"
 
 
+def test_questions_beyond_the_columns_follow_the_rules_of_names(spark):
+    def one(reg_no, *data, **more):
+        return payload(id=reg_no, reg_no=reg_no, updated_at=float(reg_no), data=[*data], **more)
+
+    records = [
+        one(1, ["Q one", "a"], ["Q two", "b"], ["Dietary Habit / 餐點偏好", "meat"]),
+        one(2, ["Dietary Preference / 飲食偏好", "fish"], ["q  ONE?", "c"], ["Nickname / 暱稱", "Robin"]),
+        one(3, ["Come From / 國家或地區", "null"], ["來自國家、地區或縣市", "KR"], ["Invoice Policy", " 5 "]),
+        one(4, ["New here?", "null"], ["new HERE", "yes"], ["Rare", None], ["Nickname", "Ann"]),
+    ]
+    whole = {r.registration_no: r for r in plan.wide_rows(raw(spark, *records)).collect()}
+    capped = plan.wide_rows(raw(spark, *records), columns=2)
+    rows = {r.registration_no: r.asDict() for r in capped.collect()}
+    assert "nickname" not in capped.columns and "q_two" in capped.columns
+    assert (rows[2]["dietary_habit"], rows[2]["q_one"]) == ("fish", "c")
+    assert (rows[3]["country_or_region"], rows[3]["invoice_policy"]) == ("KR", 5.0)
+    assert rows[4]["other_answers"] == {"new_here": "yes", "rare": None}
+    for number, row in rows.items():
+        other = row.pop("other_answers")
+        expected = {k: v for k, v in whole[number].asDict().items()}
+        assert {**{k: None for k in expected}, **row, **other} == expected
+    given = plan.wide_rows(raw(spark, *records), questions=["Q one"])
+    rows = {r.registration_no: r for r in given.collect()}
+    assert rows[2].q_one == "c" and rows[2].other_answers == {"dietary_habit": "fish"}
+
+
 def test_unknown_payload_fields_become_columns(spark):
     wide = plan.wide_rows(raw(spark, payload(data=[["q", "a"]], campaign="spring")))
     assert wide.first().campaign == "spring"

@@ -54,6 +54,14 @@ def plan_names(columns: Sequence[str], rules: NameRules = CURRENT) -> dict[str,
     return plan
 
 
+def vocabulary(rules: NameRules = CURRENT) -> list[str]:
+    """All target names that have a meaning of their own."""
+    by_year = [*vocab.CANONICAL_BY_YEAR.values(), *vocab.CANONICAL_EXTRA.values()]
+    names = [name for names in (vocab.CANONICAL_CORE, *by_year) for name in names]
+    fixed = [*vocab.CROSS_YEAR_EXTRAS, *vocab.NUMERIC_COLUMNS, *vocab.PRIVATE_COLUMNS]
+    return list(dict.fromkeys([*rules.mapping.values(), *names, *fixed]))
+
+
 def first_value(values: Sequence[Column]) -> Column:
     """First value that is there, taking the text "null" as missing and "" as a value."""
     return F.coalesce(*[F.nullif(value, F.lit("null")) for value in values])

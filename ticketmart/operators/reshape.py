@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,21 +73,58 @@ def question_names(
     )
 
 
-def names_in_order(names: DataFrame, columns: int) -> tuple[list[str], list[str], bool]:
+def names_in_order(
+    names: DataFrame, columns: int, wanted: Callable[[Sequence[str]], Column]
+) -> tuple[list[str], list[str], bool]:
     """Added fields, and questions, by first appearance, for planning a wide table's columns.
 
-    The first `columns` names become columns and reach the driver; the last value
+    The first `columns` names become columns and reach the driver, and of the others
+    those that `wanted`, given the first, says to fill a column too. The last value
     says whether there are more, which then stay in the map of other answers.
     """
-    rows = names.orderBy("first_seen", "name").select("is_question", "name").limit(columns + 1)
-    found = rows.collect()
+    order = lambda rows: rows.orderBy("first_seen", "name").select("is_question", "name")
+    found = order(names).limit(columns + 1).collect()
+    more = len(found) > columns
+    found = found[:columns]
+    if more:
+        late = order(names.where(wanted([row.name for row in found]))).collect()
+        found = list(dict.fromkeys([*found, *late]))
     return (
-        [row.name for row in found[:columns] if not row.is_question],
-        [row.name for row in found[:columns] if row.is_question],
-        len(found) > columns,
+        [row.name for row in found if not row.is_question],
+        [row.name for row in found if row.is_question],
+        more,
     )
 
 
+def _without(answers: Column, names: Sequence[str]) -> Column:
+    known = F.array(*[F.lit(name) for name in dict.fromkeys(names)]).cast("array<string>")
+    return F.map_filter(answers, lambda name, _: ~F.array_contains(known, name))
+
+
+def _renamed(records: DataFrame, name: str, rename: Callable[[Column], Column]) -> DataFrame:
+    """A map of answers under their target names, of which the first value that is there counts."""
+    steps = (
+        records.withColumn("_values", F.transform(F.map_values(name), lambda v: first_value([v])))
+        .withColumn("_targets", F.transform(F.map_keys(name), rename))
+        .withColumn("_named", F.arrays_zip("_targets", "_values"))
+        .withColumn("_distinct", F.array_distinct("_targets"))
+    )
+    first = F.transform(
+        "_distinct",
+        lambda target: F.get(
+            F.filter(
+                "_named", lambda one: (one["_targets"] == target) & one["_values"].isNotNull()
+            ),
+            F.lit(0),
+        )["_values"],
+    )
+    no_repeat = F.size("_distinct") == F.size("_targets")
+    merged = F.when(no_repeat, F.map_from_arrays("_targets", "_values")).otherwise(
+        F.map_from_arrays("_distinct", first)
+    )
+    return steps.withColumn(name, merged).drop("_values", "_targets", "_named", "_distinct")
+
+
 def pairs_to_wide(
     records: DataFrame,
     pairs: Column,
@@ -95,36 +132,44 @@ def pairs_to_wide(
     fields: Mapping[str, Column],
     other: str | None = None,
     unwanted: Sequence[str] = (),
+    rename: Callable[[Column], Column] | None = None,
+    private: Sequence[str] = (),
 ) -> DataFrame:
     """One column per target name, next to the record's own fields.
 
     `other` names a map of all answers that have no column, apart from the
-    unwanted ones; without it the plan has to hold every question.
+    unwanted ones; without it the plan has to hold every question. `rename` gives
+    the target names of questions outside the plan: their answers fill the column
+    of that name after the planned ones, or are in the map under that name, the
+    first in the record's order, unless it is a private one.
 
     All pairs of a record are in its row, so this is a projection: no pivot and
     no shuffle. A field comes before the answers of the same target name.
     """
     held = with_answers(records, pairs, "_answers")
+    late = lambda target: []
+    if other:
+        planned = [question for questions in plan.values() for question in questions]
+        held = held.withColumn("_other", _without(F.col("_answers"), [*planned, *unwanted]))
+    if other and rename:
+        held = _renamed(held, "_other", rename)
+        late = lambda target: [F.col("_other")[target]]
     columns = []
     for target, questions in plan.items():
         answers = [F.col("_answers")[question] for question in questions]
         if target in fields:
             continue
-        columns.append(first_value(answers).alias(target))
+        columns.append(first_value([*answers, *late(target)]).alias(target))
     own = []
     for name, value in fields.items():
         kind = records.select(value.alias("v")).schema["v"].dataType
-        answers = [F.col("_answers")[question] for question in plan.get(name, ())]
+        answers = [F.col("_answers")[question] for question in plan.get(name, ())] + late(name)
         if answers:
             value = F.coalesce(value, first_value(answers).try_cast(kind))
         own.append(value.alias(name))
     if other:
-        planned = [question for questions in plan.values() for question in questions]
-        known = F.array(*[F.lit(name) for name in dict.fromkeys([*planned, *unwanted])])
-        known = known.cast("array<string>")
-        columns.append(
-            F.map_filter("_answers", lambda name, _: ~F.array_contains(known, name)).alias(other)
-        )
+        gone = [*plan, *fields, *private] if rename else []
+        columns.append(_without(F.col("_other"), gone).alias(other))
     return held.select(*own, *columns)
 
 

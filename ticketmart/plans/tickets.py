@@ -136,9 +136,10 @@ def wide_rows(
 
     The columns are planned from the distinct questions of all orders, which is
     one aggregation over the data; pass the questions if a form lists them. The
-    first `columns` questions become columns; answers to any others, and to
-    questions that a given form does not list, are whole in the map
-    `other_answers`. Numbers may be given as text. A ticket whose registration
+    first `columns` questions become columns, and later ones that have the target
+    name of a column or of the vocabulary; answers to any others, and to questions
+    that a given form does not list, fill the column of their target name or are
+    whole under it in the map `other_answers`, private ones left out. Numbers may be given as text. A ticket whose registration
     number or price is no number is left out (`wide_rejects` gives it) or, if
     strict, fails the job. `events` adds the id of the event.
     """
@@ -167,6 +168,14 @@ def wide_rows(
             "price": F.nullif(F.trim("price"), F.lit("")).cast("double"),
         }
     )
+    fields = {
+        "registration_no": F.col("reg_no"),
+        **{vocab.PAYLOAD_RENAMES.get(name, name): F.col(name) for name in _WIDE_FIELDS},
+        "payment_status": paid_flag(F.col("is_paid"), vocab.PAID_TEXTS),
+        "paid_date": epoch_to_date_text(F.col("updated_at")),
+        "_record": F.col("id"),
+        **({"event_id": F.col("_event")} if events else {}),
+    }
     pairs = F.coalesce("data", F.array().cast("array<array<string>>"))
     added, more = [], questions is not None
     if questions is None:
@@ -175,7 +184,12 @@ def wide_rows(
         names = reshape.question_names(
             records, unknown_names(info, known), asked, F.col("updated_at")
         )
-        added, questions, more = reshape.names_in_order(names, columns)
+
+        def fills_a_column(first: Sequence[str]) -> Column:
+            targets = [*harmonise.plan_names(first, rules), *fields, *harmonise.vocabulary(rules)]
+            return harmonise.target_name(F.col("name"), rules).isin(*dict.fromkeys(targets))
+
+        added, questions, more = reshape.names_in_order(names, columns, fills_a_column)
         questions = [*added, *questions]
     if added or more:
         extra = F.map_entries(unknown_fields(info, known))
@@ -184,14 +198,6 @@ def wide_rows(
         )
     records = records.withColumn("pairs", pairs)
 
-    fields = {
-        "registration_no": F.col("reg_no"),
-        **{vocab.PAYLOAD_RENAMES.get(name, name): F.col(name) for name in _WIDE_FIELDS},
-        "payment_status": paid_flag(F.col("is_paid"), vocab.PAID_TEXTS),
-        "paid_date": epoch_to_date_text(F.col("updated_at")),
-        "_record": F.col("id"),
-        **({"event_id": F.col("_event")} if events else {}),
-    }
     wide = reshape.pairs_to_wide(
         records,
         F.col("pairs"),
@@ -199,6 +205,8 @@ def wide_rows(
         fields,
         "other_answers" if more else None,
         rules.unwanted,
+        lambda name: harmonise.target_name(name, rules),
+        vocab.PRIVATE_COLUMNS,
     )
     wide = harmonise.drop_private(harmonise.to_numbers(wide))
     return latest_per_key(
