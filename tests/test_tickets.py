@@ -229,6 +229,37 @@ def test_stream_gives_what_the_batch_gives_and_nothing_twice(spark):
     assert sorted(r.registration_no for r in wide.collect()) == [1, 6]
 
 
+def test_stream_loses_no_ticket_whose_event_comes_last_or_whose_number_is_none(spark):
+    folder, out = scratch(spark, "landing"), scratch(spark, "out")
+
+    def put(kind, *replies):
+        rows = [(json.dumps(reply),) for reply in replies]
+        spark.createDataFrame(rows, "value string").write.mode("append").text(f"{folder}/{kind}")
+
+    def one(number, **changes):
+        info = payload(id=number, reg_no=number, updated_at=150.0, **changes)
+        return {"event_id": EVENT[0] if number < 9 else 77, "attendee_info": info}
+
+    put("events", {"data": [{"id": 1, "name": "Meetup 2022"}]})
+    put("attendees", one(1), one(2, price="free"), one(9))
+    # progress of an earlier version, which read attendees alone, is carried on
+    only = spark.readStream.schema(landed.ATTENDEES).json(f"{folder}/attendees")
+    ingest.run_available(only, lambda rows, _, store: store("waiting", rows), out)
+    put("events", {"data": [{"id": EVENT[0], "name": EVENT[1]}]})
+    for _ in range(2):
+        ingest.ingest_tickets(spark, folder, out, 2022, 100.0, 200.0)
+    assert ids(ingest.read_output(spark, out, "orders")) == [1, 2]
+    put("events", {"data": [{"id": 77, "name": EVENT[1]}]})
+    for _ in range(2):
+        ingest.ingest_tickets(spark, folder, out, 2022, 100.0, 200.0)
+    assert ids(ingest.read_output(spark, out, "orders")) == [1, 2, 9]
+    wide = ingest.read_output(spark, out, "wide_individual", evolving=True)
+    assert sorted(r.registration_no for r in wide.collect()) == [1, 9]
+    rejects = ingest.read_output(spark, out, "wide_rejected")
+    assert [r.reason for r in rejects.collect()] == ["price is no number"] and ids(rejects) == [2]
+    assert ingest.read_output(spark, out, "rejected").count() == 0
+
+
 def test_a_repeated_batch_has_its_effect_once(spark):
     folder, out = scratch(spark, "landing"), scratch(spark, "out")
     land(spark, folder, LANDED)

@@ -65,10 +65,13 @@ def ingest_tickets(
     """Raw orders, and wide rows per ticket group, from newly landed attendees.
 
     Attendees whose event has not landed wait, and every later batch tries them
-    again; those that no load can take are stored as rejected with the reason.
+    again, also one that only events have started; those that no load can take are
+    stored as rejected with the reason, and orders that no wide table can take as
+    wide_rejected.
     """
 
-    def job(batch: DataFrame, batch_id: int, store: Store) -> None:
+    def job(replies: DataFrame, batch_id: int, store: Store) -> None:
+        batch = replies.where("kind = 'attendees'").drop("kind")
         events = landed.read_events(spark, landing)
         if batch_id:
             earlier = read_output(spark, folder, "waiting")
@@ -79,14 +82,17 @@ def ingest_tickets(
         store("waiting", waiting)
         chosen = ticket_plan.selected_tickets(events, batch, year, start, end)
         orders = store("orders", ticket_plan.order_rows(chosen))
+        store("wide_rejected", ticket_plan.wide_rejects(orders))
         routed = route(orders, F.col("name"), vocab.TICKET_GROUPS)
         for group in vocab.TICKET_GROUPS:
             of_group = routed.where(F.col("ticket_group") == group)
             if not of_group.isEmpty():
                 store(f"wide_{group}", ticket_plan.wide_rows(of_group))
 
-    attendees = spark.readStream.schema(landed.ATTENDEES).json(f"{landing}/attendees")
-    run_available(attendees, job, folder)
+    # one source for both, so that progress of runs that read attendees alone stays valid
+    replies = spark.readStream.schema(landed.ATTENDEES).json(f"{landing}/{{attendees,events}}")
+    kind = F.regexp_extract("_metadata.file_path", ".*/(attendees|events)/", 1)
+    run_available(replies.withColumn("kind", kind), job, folder)
 
 
 def ingest_posts(
