@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from ticketmart.llm import (
     decontamination,
     lines,
+    mixing,
+    negatives,
     pages,
     personal_data,
     quality,
     quotes,
     sentencepiece,
     simhash,
+    spelling,
     toxicity,
     vectors,
 )
@@ -193,3 +196,84 @@ def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 @check()
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.find(table(spark, folder, "documents"))
+
+
+@check("""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+    CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM e AS a JOIN e AS r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 5
+""")
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    rows = negatives.whole_rows(
+        table(spark, folder, "embeddings"),
+        label=F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label),
+        is_anchor=vec_id % 100 == 0,
+    )
+    return negatives.hard_negatives(rows)
+
+
+@check()
+def op12_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+@check("""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+run AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents),
+once AS (
+  SELECT run, count(*) AS times, encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run) AS bytes
+  FROM run WHERE length(run) >= 6 GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, times, xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(bytes)),
+    lambda j: CAST('0x' || substring(hex(bytes), 2 * j + 1, 2) AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM once, crc),
+word AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substring(run, h % length(run) + 2)
+    ELSE run END AS word, CAST(sum(times) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING sum(times) >= 5 AND length(word) >= 6),
+cut AS (
+  SELECT word, n, p, left(word, p - 1) || substring(word, p + 1) AS rest
+  FROM word, unnest(range(1, length(word) + 1)) AS t(p)),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut AS a JOIN cut AS b USING (rest, p) WHERE a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut AS c JOIN word AS w ON c.rest = w.word
+  UNION SELECT w.word, c.word, c.n FROM cut AS c JOIN word AS w ON c.rest = w.word),
+best AS (
+  SELECT word, count(*) AS n_near, min((-near_n, near)) AS best FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN -best[1] >= 5 * w.n THEN best[2] END AS form, CASE WHEN -best[1] >= 5 * w.n THEN -best[1] END AS form_n
+  FROM word AS w LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS here, 0 AS steps FROM formed
+  UNION ALL SELECT c.word, f.form, steps + 1 FROM chain AS c JOIN formed AS f ON f.word = c.here WHERE f.form IS NOT NULL),
+root AS (SELECT word, arg_max(here, steps) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM formed JOIN root USING (word)
+""")
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))

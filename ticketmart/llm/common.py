@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,3 +104,23 @@ def labelled_sample(
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def stretches(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of equal whole-number keys together, from batches that are sorted by them."""
+    held: list[pa.RecordBatch] = []
+    name = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys])
+        edges = np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1
+        for start, end in zip([0, *edges], [*edges, batch.num_rows], strict=True):
+            here = tuple(values[:, start])
+            if held and here != name:
+                yield pa.concat_batches(held) if len(held) > 1 else held[0]
+                held = []
+            name = here
+            held.append(batch.slice(int(start), int(end - start)))
+    if held:
+        yield pa.concat_batches(held) if len(held) > 1 else held[0]
