@@ -1,4 +1,5 @@
 import json
+import random
 from pathlib import Path
 
 import pytest
@@ -171,3 +172,42 @@ def test_survey_tables_reuse_ids_at_the_next_load(spark):
     assert again == {"test.test_me_q1_ip_datetime": 15, "test.test_me_q1_questionId_year": 1}
     ids = spark.table("test.test_me_q1_questionId_year")
     assert ids.count() == ids.select("question_id").distinct().count() == 5
+
+
+CELLS = ["a", "", '"x"', '"x,y"', '"l1{0}l2"', '"q""q"', '5" disk', '"a"b', '"{0}{0}"', '"""{0}"""', ' "s', '""', "z" * 70]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_split_reading_equals_plain_reading(spark, seed):
+    """Files of many blocks, cut inside of cells, with quotes also where none belong."""
+    choose = random.Random(seed)
+    folder = Path(scratch(spark, "cells"))
+    folder.mkdir(parents=True)
+    for place in range(2):
+        end = choose.choice(["\n", "\r\n"])
+        cell = lambda: choose.choice(CELLS).format(end)  # noqa: B023, E731
+        rows = [",".join(cell() for _ in range(choose.choice([3, 3, 2, 4]))) for _ in range(30)]
+        rows.insert(choose.randint(0, 30), "")
+        last = end + 'x,"open' + end + "end,," if seed == 3 else choose.choice(["", end])
+        text = end.join([f'h1,"h{end}2",h3', *rows]) + last
+        (folder / f"{place}.csv").write_text(text, newline="")
+    sizes = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "1"}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        plain = files.read_cells(spark, str(folder))
+        split = files.read_split_cells(spark, str(folder))
+        assert split.columns == plain.columns
+        assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+        lines = files._records(spark, str(folder))
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 10 and lines.count() > 40
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+
+
+def test_split_reading_of_empty_files(spark):
+    folder = write(spark, "empty", "a,b\n")
+    assert files.read_split_cells(spark, folder).columns == ["a", "b"]
+    assert files.read_split_cells(spark, folder).count() == 0
+    assert files.read_split_cells(spark, write(spark, "nothing", "")).columns == []

@@ -319,3 +319,62 @@ def set_operations(spark: SparkSession, folder: str) -> DataFrame:
         .intersect(orders.where("o_orderstatus = 'O'").select("value"))
         .subtract(orders.where("value = '5-LOW'").select("value"))
     )
+
+
+@check("""
+SELECT event_id, event_type || chr(10) || '"' || chr(10) || ', ' || props AS told, event_type AS kind FROM events
+""")
+def split_csv_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """One exported file with quotes, commas and line breaks in its cells, read in blocks."""
+    path = scratch(spark, "export")
+    told = F.concat("event_type", F.lit('\n"\n, '), "props")
+    rows = table(spark, folder, "events").select("event_id", told.alias("told"), "event_type")
+    tables.export_csv(rows.coalesce(1), path)
+    back = files.read_split_cells(spark, path)
+    return back.select(
+        F.col("event_id").cast("long").alias("event_id"), "told", F.col("event_type").alias("kind")
+    )
+
+
+@check("""
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS segment,
+  'c_custkey, c_name, segment' AS as_is, 'registration_no, full_name, segment' AS to_be
+FROM customer
+""")
+def dry_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole payload of a trial load as JSON files, missing values too, and its columns."""
+    path = scratch(spark, "trial")
+    rows = table(spark, folder, "customer").select(
+        "c_custkey",
+        "c_name",
+        F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("segment"),
+    )
+    shown = tables.preview(rows, path)
+    changes = tables.column_changes(shown.columns, ["registration_no", "full_name", "segment"])
+    named = [F.lit(", ".join(names)).alias(label) for label, names in changes.items()]
+    return spark.read.schema(rows.schema).json(path).select("*", *named)
+
+
+@check("""
+WITH listed AS (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS place FROM nation)
+SELECT n_name AS nation, place, 'column ' || r_regionkey AS "column"
+FROM listed JOIN nation USING (n_name) JOIN region ON n_regionkey = r_regionkey
+""")
+def mapping_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A JSON file of fields and columns and a file of names, one a line, some lines blank."""
+    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
+    names, fields = scratch(spark, "names"), scratch(spark, "fields")
+    blank = F.when(F.col("n_nationkey") % 4 == 0, "\n  ").otherwise("")
+    listed = nation.coalesce(1).sortWithinPartitions("n_nationkey")
+    listed.select(F.concat(F.lit(" "), "n_name", blank).alias("value")).write.text(names)
+    pair = F.struct("r_name", F.concat(F.lit("column "), F.col("r_regionkey").cast("string")))
+    region.agg(F.to_json(F.map_from_entries(F.collect_list(pair))).alias("value")).write.text(fields)
+    mapping = files.read_meta_fields(spark, fields)
+    order = files.read_field_names(spark, names)
+    places = F.create_map(*[F.lit(x) for place, name in enumerate(order) for x in (name, place)])
+    columns = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_name").alias("nation"),
+        places[F.col("n_name")].cast("long").alias("place"),
+        columns[F.col("r_name")].alias("column"),
+    )
