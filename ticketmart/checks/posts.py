@@ -368,3 +368,55 @@ def video_duplicates(spark: SparkSession, folder: str) -> DataFrame:
         F.array(item(F.col("o_custkey")), item(F.col("o_custkey") + 9)).alias("items")
     )
     return video_sources.video_statistics(listed, details).select("videoId", "title", "viewCount")
+
+
+@check("""
+WITH video AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, o_custkey % 7 = 0 AS undated, o_custkey % 5 = 0 AS uncounted,
+    o_custkey % 3 = 0 AS hidden, o_custkey % 11 = 0 AS undescribed
+  FROM orders WHERE o_orderdate >= TIMESTAMP '2000-03-15 00:00:00' - INTERVAL 365 DAY OR o_custkey % 7 = 0)
+SELECT id AS "videoId", 'counted' AS outcome FROM video WHERE NOT undated AND NOT uncounted AND NOT hidden
+UNION ALL SELECT id, 'described' FROM video WHERE NOT undated AND NOT undescribed
+UNION ALL SELECT id, 'no time of publication' FROM video WHERE undated
+UNION ALL SELECT id, 'no statistics have landed' FROM video WHERE NOT undated AND uncounted
+UNION ALL SELECT id, 'missing: likeCount' FROM video WHERE NOT undated AND NOT uncounted AND hidden
+UNION ALL SELECT id, 'no description has landed' FROM video WHERE NOT undated AND undescribed
+""")
+def video_aside(spark: SparkSession, folder: str) -> DataFrame:
+    """Videos without a time, without details, or with a hidden counter are put aside, not lost."""
+    orders, layer = table(spark, folder, "orders"), new_table_name("videos")
+    customer, key = F.col("o_custkey"), F.col("o_orderkey").cast("string")
+    time = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    listed = F.struct(
+        F.struct(key.alias("videoId")).alias("id"),
+        F.struct(
+            F.lit("t").alias("title"), F.when(customer % 7 != 0, time).alias("publishedAt")
+        ).alias("snippet"),
+    )
+    counts = {name: F.lit("1") for name in video_sources.COUNTERS}
+    counts["likeCount"] = F.when(customer % 3 != 0, "2")
+    image = F.struct(F.struct(F.lit("u").alias("url")).alias("default"))
+    described = F.struct(
+        time.alias("publishedAt"), F.lit("d").alias("description"), image.alias("thumbnails")
+    )
+    counted = F.struct(*[value.alias(name) for name, value in counts.items()])
+    videos.save(
+        spark,
+        orders.select(F.array(listed).alias("items")),
+        orders.where(customer % 5 != 0).select(
+            F.array(F.struct(key.alias("id"), counted.alias("statistics"))).alias("items")
+        ),
+        orders.where(customer % 11 != 0).select(
+            F.array(F.struct(key.alias("id"), described.alias("snippet"))).alias("items")
+        ),
+        "2000-03-15 00:00:00",
+        layer,
+    )
+    outcome = lambda name, label: spark.table(f"{layer}.{name}").select(
+        "videoId", label.alias("outcome")
+    )
+    return (
+        outcome("video_statistics", F.lit("counted"))
+        .unionByName(outcome("video_info", F.lit("described")))
+        .unionByName(outcome("video_aside", F.col("reason")))
+    )

@@ -72,6 +72,10 @@ USER_PROFILE = _table(
 )
 
 
+# the table as it is stored: folders by a hash of year and email
+USER_PROFILE_BY_PART = T.StructType([*USER_PROFILE, T.StructField("part", T.IntegerType())])
+
+
 def label_updates(task: str) -> T.StructType:
     return _table((task, "string", False), ("category", "long", False))
 
@@ -106,6 +110,13 @@ VIDEO_INFO = _table(
     ("url", "string", True),
 )
 
+VIDEO_ASIDE = _table(
+    ("created_at", "timestamp", True),
+    ("videoId", "string", True),
+    ("title", "string", False),
+    ("reason", "string", True),
+)
+
 FINANCE = _table(
     *_required(
         "string", "Reason", "Price", "Remarks", "Team_name", "Details", "To_who", "Yes_or_No"

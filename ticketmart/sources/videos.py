@@ -51,7 +51,7 @@ def _items(details: DataFrame) -> DataFrame:
     return items.groupBy(F.col("item.id").alias("videoId")).agg(F.max("item").alias("item"))
 
 
-def _titles(videos: DataFrame) -> DataFrame:
+def titles(videos: DataFrame) -> DataFrame:
     """One title per video, also if search pages show several."""
     return videos.groupBy("videoId").agg(F.max("title").alias("title"))
 
@@ -67,12 +67,12 @@ def video_statistics(
             lambda item: F.struct(
                 item["id"].alias("id"),
                 F.struct(
-                    *[item["statistics"][name].cast("long").alias(name) for name in COUNTERS]
+                    *[item["statistics"][name].try_cast("long").alias(name) for name in COUNTERS]
                 ).alias("statistics"),
             ),
         ).alias("items")
     )
-    found = join_on(_titles(videos), _items(details), ["videoId"], "inner")
+    found = join_on(titles(videos), _items(details), ["videoId"], "inner")
     return found.select(
         moment(as_of).alias("created_at"),
         "videoId",
@@ -89,7 +89,7 @@ def video_info(
     videos: DataFrame, details: DataFrame, as_of: datetime | str | None = None
 ) -> DataFrame:
     snippet = F.col("item.snippet")
-    found = join_on(_titles(videos), _items(details), ["videoId"], "inner")
+    found = join_on(titles(videos), _items(details), ["videoId"], "inner")
     return found.select(
         moment(as_of).alias("created_at"),
         "videoId",
