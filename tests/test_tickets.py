@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ticketmart import schemas
 from ticketmart.config import scratch
-from ticketmart.operators import pii
+from ticketmart.operators import pii, reshape
 from ticketmart.plans import tickets as plan
 from ticketmart.sinks import tables
 from ticketmart.sources import tickets as landed
@@ -133,19 +133,68 @@ def test_questions_beyond_the_columns_follow_the_rules_of_names(spark):
         one(4, ["New here?", "null"], ["new HERE", "yes"], ["Rare", None], ["Nickname", "Ann"]),
     ]
     whole = {r.registration_no: r for r in plan.wide_rows(raw(spark, *records)).collect()}
-    capped = plan.wide_rows(raw(spark, *records), columns=2)
-    rows = {r.registration_no: r.asDict() for r in capped.collect()}
-    assert "nickname" not in capped.columns and "q_two" in capped.columns
-    assert (rows[2]["dietary_habit"], rows[2]["q_one"]) == ("fish", "c")
+    form = ["Q one", "Q two", "Come From / 國家或地區", "Invoice Policy"]
+    given = plan.wide_rows(raw(spark, *records), questions=form)
+    rows = {r.registration_no: r.asDict() for r in given.collect()}
+    assert "nickname" not in given.columns and "q_two" in given.columns
+    assert (rows[2]["other_answers"], rows[2]["q_one"]) == ({"dietary_habit": "fish"}, "c")
     assert (rows[3]["country_or_region"], rows[3]["invoice_policy"]) == ("KR", 5.0)
     assert rows[4]["other_answers"] == {"new_here": "yes", "rare": None}
     for number, row in rows.items():
         other = row.pop("other_answers")
         expected = {k: v for k, v in whole[number].asDict().items()}
         assert {**{k: None for k in expected}, **row, **other} == expected
-    given = plan.wide_rows(raw(spark, *records), questions=["Q one"])
-    rows = {r.registration_no: r for r in given.collect()}
-    assert rows[2].q_one == "c" and rows[2].other_answers == {"dietary_habit": "fish"}
+
+
+def test_many_questions_change_neither_schema_nor_types(spark):
+    """3,000 names give what 30 give, with a number and a private name among the last."""
+
+    def tables(count):
+        last = [["Invoice Policy", " 7 "], ["Nickname", "Ann"], ["來自國家、地區或縣市", "KR"]]
+        asked = [[f"Question {i}", str(i)] for i in range(count)]
+        return plan.wide_rows(raw(spark, payload(data=[*asked[:9], *asked[9:], *last])))
+
+    few, many = tables(30), tables(3000)
+    kinds = dict(many.dtypes)
+    assert [name for name, _ in few.dtypes if name in kinds] == few.columns
+    assert all(kinds[name] == kind for name, kind in few.dtypes)
+    assert set(many.columns) - set(few.columns) == {f"question_{i}" for i in range(30, 3000)}
+    row = many.first()
+    assert (row.question_2999, row.invoice_policy, row.country_or_region) == ("2999", 7.0, "KR")
+
+
+ODD = [["q", "a"], None, [], ["z"], {"k": "v"}, 5, "text", ["t", "a", "b"], [None, "x"], [7, 2600.5]]
+
+
+def test_odd_pairs_lose_neither_the_load_nor_other_answers(spark):
+    email = ["聯絡人 Email", "x@example.org"]
+    records = [
+        payload(id=1, reg_no=1, data=[*ODD, email, [email[0]], ["Invoice Policy", 1.5]]),
+        payload(id=2, reg_no=2, data=[["q", "b"], [], None, ["z"]]),
+        payload(id=3, reg_no=3, data={"k": "v"}),
+        payload(id=4, reg_no=4, data=None),
+        payload(id=5, reg_no=5, data=[["q", "c"], email]),
+    ]
+    orders = plan.order_rows(raw(spark, *records))
+    rows = {r.registration_no: r for r in plan.wide_rows(orders, odd=True).collect()}
+    assert [rows[i].q for i in range(1, 6)] == ["a", "b", None, None, "c"]
+    assert (rows[1].t, rows[1]["7"], rows[1].invoice_policy, rows[1].z) == ("a", "2600.5", 1.5, None)
+    found = [[json.loads(text) for text in rows[i].odd_answers or []] for i in range(1, 6)]
+    assert found == [[*ODD[1:9], [email[0]]], [[], None, ["z"]], [{"k": "v"}], [], []]
+    sensitive = plan.sensitive_answers(raw(spark, *records))
+    assert [r.answers for r in sensitive.collect()] == [
+        {email[0]: None}, {}, None, None, {email[0]: email[1]}
+    ]
+    given = plan.wide_rows(orders, questions=["q"]).collect()
+    assert {r.registration_no: r.q for r in given}[1] == "a"
+    assert plan.load_orders(spark, orders, "ods.orders_odd", "dwd.wide_odd") == {
+        "ods.orders_odd": 5,
+        "dwd.wide_odd_individual": 5,
+    }
+    pairs = spark.createDataFrame([([email, [email[0]], [], None],)], "pairs array<array<string>>")
+    assert pairs.select(pii.hash_sensitive(F.col("pairs"))).first()[0][1:] == [[email[0]], [], None]
+    required = reshape.missing_answers(F.col("pairs"), [email[0], "other"])
+    assert pairs.select(required).first()[0] == ["other"]
 
 
 def test_unknown_payload_fields_become_columns(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmart import schemas
+from ticketmart import schemas, vocab
 from ticketmart.checks import derive
 from ticketmart.checks.derive import TICKETS_SQL
 from ticketmart.checks.registry import check, new_table_name, table
@@ -487,3 +487,167 @@ def refund_reconciled(spark: SparkSession, folder: str) -> DataFrame:
     plan.load_orders(spark, plan.order_rows(tickets), ods, wide)
     plan.reconcile_refunds(spark, ods, _books(spark, folder), scratch(spark, "unused"), True)
     return spark.table(ods).select("id", "attendee_id", "refunded")
+
+
+MIDDLE = 865000000.0
+
+# attendees of an even id land in a first run, up to the middle, with the events of odd years; the
+# others in a second one, from there on, with those of even years and with some of the first again;
+# reserved events never land
+_TWO_RUNS = f"""
+asked AS (
+  SELECT *, is_paid AND CASE WHEN id % 2 = 0 THEN updated_at > {START} AND updated_at < {MIDDLE} END AS first,
+    is_paid AND CASE WHEN id % 2 = 1 OR id % 10 = 0 THEN updated_at > {MIDDLE} AND updated_at < {END} END AS second,
+    event_id % 10 <> 2 AS landed FROM tickets),
+loaded AS (
+  SELECT * FROM asked WHERE landed AND (first OR second)
+    AND contains(name, '1997') AND contains(lower(name), 'registration'))
+"""
+
+
+@check(f"""WITH {TICKETS_SQL}, {_TWO_RUNS}
+SELECT 'loaded' AS outcome, event_id, id AS number, NULL AS updated_at FROM loaded
+UNION ALL
+SELECT 'waiting', event_id, id, NULL FROM asked WHERE NOT landed AND (first OR second)
+UNION ALL
+SELECT 'current', event_id, reg_no, max(updated_at) FROM loaded
+WHERE contains(lower(name), 'individual') GROUP BY event_id, reg_no
+""")
+def stream_tickets_two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Attendees that land before and after their events, and again, in runs of two intervals."""
+    landing, out = scratch(spark, "landing"), scratch(spark, "tickets-out")
+    current = new_table_name("current")
+    key = F.get_json_object("attendee_info", "$.id").cast("long")
+    rows = derive.attendees(spark, folder)
+    value = F.to_json(F.struct("event_id", "attendee_info")).alias("value")
+    known = derive.events(spark, folder).where("event_id % 10 <> 2")
+    listed = F.array(F.struct(F.col("event_id").alias("id"), "name")).alias("data")
+    event = F.to_json(F.struct(listed)).alias("value")
+    year = F.floor(F.col("event_id") / 10) % 2
+    runs = (
+        (rows.where(key % 2 == 0), known.where(year == 1), START, MIDDLE),
+        (rows.where((key % 2 == 1) | (key % 10 == 0)), known.where(year == 0), MIDDLE, END),
+    )
+    for attendees, events, start, end in runs:
+        events.select(event).write.mode("append").text(f"{landing}/events")
+        attendees.select(value).write.mode("append").text(f"{landing}/attendees")
+        ingest_tickets(spark, landing, out, 1997, start, end, current)
+    number = key.alias("number")
+    nothing = F.lit(None).cast("double").alias("updated_at")
+    waiting = read_output(spark, out, "waiting").where("batch_id = 1")
+    return (
+        read_output(spark, out, "orders")
+        .select(F.lit("loaded").alias("outcome"), F.col("id").alias("event_id"), number, nothing)
+        .unionByName(waiting.select(F.lit("waiting").alias("outcome"), "event_id", number, nothing))
+        .unionByName(
+            spark.table(f"{current}_individual").select(
+                F.lit("current").alias("outcome"),
+                "event_id",
+                F.col("registration_no").alias("number"),
+                "updated_at",
+            )
+        )
+    )
+
+
+@check(f"""WITH {TICKETS_SQL},
+latest AS (
+  SELECT * FROM tickets WHERE contains(lower(name), 'individual')
+  QUALIFY row_number() OVER (PARTITION BY reg_no ORDER BY updated_at DESC, id DESC) = 1)
+SELECT reg_no AS registration_no, email, company AS organization, diet AS dietary_habit,
+  country AS country_or_region, CASE id % 4 WHEN 0 THEN 6 WHEN 1 THEN 3 ELSE 0 END AS odd
+FROM latest
+""")
+def odd_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Payloads whose pairs are mixed with empty, single, missing, object and scalar ones."""
+    info = F.col("attendee_info")
+    key = F.get_json_object(info, "$.id").cast("long")
+    more = F.when(key % 4 == 0, '{"k":["v"]},["alone"],5,"text",null,[],').when(
+        key % 4 == 1, '["alone"],[],null,'
+    )
+    start = '"data":['
+    mixed = F.replace(info, F.lit(start), F.concat(F.lit(start), F.coalesce(more, F.lit(""))))
+    orders = derive.order_rows(spark, folder).withColumn("attendee_info", mixed)
+    routed = joins.route(orders, F.col("name"), ["individual"])
+    return plan.wide_rows(routed, odd=True).select(
+        "registration_no",
+        "email",
+        "organization",
+        "dietary_habit",
+        "country_or_region",
+        F.coalesce(F.size("odd_answers"), F.lit(0)).alias("odd"),
+    )
+
+
+@check(f"""WITH {TICKETS_SQL}
+SELECT event_id, reg_no AS registration_no, max(updated_at) AS updated_at FROM tickets
+WHERE contains(lower(name), 'corporate') GROUP BY event_id, reg_no
+""")
+def current_kept_by_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Current rows, merged from two loads of which the second repeats some of the first."""
+    ods, wide = new_table_name("orders"), new_table_name("wide")
+    tickets = landed.tickets(derive.events(spark, folder), derive.attendees(spark, folder))
+    corporate = F.contains(F.lower("name"), F.lit("corporate"))
+    orders = plan.order_rows(tickets.where(corporate))
+    key = F.get_json_object("attendee_info", "$.id").cast("long")
+    for part in (orders.where(key % 3 != 0), orders.where(key % 3 != 1)):
+        plan.load_orders(spark, part, ods, wide, current=True)
+    kept = spark.table(f"{wide}_corporate_current")
+    return kept.select("event_id", "registration_no", "updated_at")
+
+
+@check(f"""WITH {TICKETS_SQL}
+SELECT event_id, id FROM tickets WHERE lower(name) LIKE '%1999%corporate%'
+""")
+def orders_of_folders(spark: SparkSession, folder: str) -> DataFrame:
+    """Year and type of the events choose folders of the raw table."""
+    ods = new_table_name("orders")
+    tickets = landed.tickets(derive.events(spark, folder), derive.attendees(spark, folder))
+    tables.create_table(spark, ods, schemas.RAW_ORDERS, partition_by=schemas.RAW_PARTITIONS)
+    tables.append(plan.raw_rows(plan.order_rows(tickets)), ods, schemas.RAW_ORDERS)
+    found = plan.orders_of(spark.table(ods), 1999, "corporate")
+    return found.select(F.col("id").alias("event_id"), F.col("attendee_id").alias("id"))
+
+
+@check("""
+SELECT year(o_orderdate) * 10 + CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 2
+  WHEN '5-LOW' THEN 3 ELSE 1 END AS event_id, CASE WHEN o_custkey % 5 <> 0 THEN o_orderkey END AS book_id
+FROM orders
+""")
+def first_books(spark: SparkSession, folder: str) -> DataFrame:
+    """The first attendance book of each landed reply; some replies have none."""
+    orders = derive._event(table(spark, folder, "orders"))
+    nobody = F.array().cast("array<array<string>>").alias("signin_status")
+    books = [F.struct(F.col(name).alias("id"), nobody) for name in ("o_orderkey", "event_id")]
+    some = F.when(F.col("o_custkey") % 5 != 0, F.array(*books)).otherwise(F.slice(F.array(*books), 1, 0))
+    return landed.first_book_id(orders.select("event_id", some.alias("books")))
+
+
+_CANONICAL = [
+    (year, group, name)
+    for year, group in vocab.CANONICAL_EXTRA
+    for name in harmonise.canonical_columns(year, group)
+]
+
+
+@check(f"""WITH {TICKETS_SQL},
+asked AS (
+  SELECT DISTINCT unnest(['dietary_habit', 'country_or_region', 'organization', 'job_title', 'nickname', 'email']) AS name
+  FROM (SELECT count(*) FROM tickets)),
+canonical(year, ticket_group, name) AS (
+  VALUES {", ".join(f"({year}, '{group}', '{name}')" for year, group, name in _CANONICAL)})
+SELECT CAST(year AS BIGINT) AS year, ticket_group, name, asked.name IS NOT NULL AS is_asked
+FROM canonical LEFT JOIN asked USING (name)
+""")
+def canonical_sets(spark: SparkSession, folder: str) -> DataFrame:
+    """The canonical columns of every year and group, and whether the tickets' questions fill them."""
+    pairs = payload.parse_payload(derive.order_rows(spark, folder)).select(
+        F.explode("payload.data").alias("pair")
+    )
+    raw = pairs.select(reshape.question_of(F.col("pair")).alias("question")).distinct()
+    asked = raw.select(harmonise.target_name(F.col("question")).alias("name")).distinct()
+    sets = spark.createDataFrame(_CANONICAL, "year long, ticket_group string, name string")
+    met = sets.join(asked.withColumn("found", F.lit(True)), "name", "left")
+    return met.select(
+        "year", "ticket_group", "name", F.coalesce("found", F.lit(False)).alias("is_asked")
+    )

@@ -50,6 +50,11 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/ticketmart/{label}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Removes an intermediate table that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -18,9 +18,64 @@ def to_payload_text(payload: Column) -> Column:
     return F.to_json(payload, {"ignoreNullFields": "false"})
 
 
+def _text_of(value: Column) -> Column:
+    """A JSON value as the typed view gives it: text as it is, null as missing, all else as JSON."""
+    text = F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
+    whole_float = F.schema_of_variant(value).rlike("^(DECIMAL|DOUBLE|FLOAT)") & text.rlike(
+        "^-?[0-9]+$"
+    )
+    return F.when(~F.is_variant_null(value), F.when(whole_float, F.concat(text, F.lit(".0"))).otherwise(text))
+
+
+def _parts(pair: Column) -> Column:
+    """Elements of a pair; missing if it is no list."""
+    return F.try_variant_get(pair, "$", "array<variant>")
+
+
+def answer_pairs(document: Column, typed: Column) -> Column:
+    """All pairs of a payload's `data` that are lists, as text.
+
+    `typed` is the list as a typed view reads it, which is nothing at all if one
+    element is no list; only then are the elements read one by one. A pair may have
+    any number of parts.
+    """
+    listed = F.filter(
+        F.transform(_parts(F.from_json(document, "data variant")["data"]), _parts),
+        lambda parts: parts.isNotNull(),
+    )
+    return F.coalesce(
+        typed, F.transform(listed, lambda parts: F.transform(parts, _text_of))
+    )
+
+
+def odd_pairs(document: Column, typed: Column) -> Column:
+    """JSON texts of what is in `data` and is no question with one answer; missing if there is none.
+
+    A `data` that is no list is odd as a whole.
+    """
+    usual = F.forall(
+        typed,
+        lambda pair: pair.isNotNull() & (F.size(pair) == 2) & F.get(pair, F.lit(0)).isNotNull(),
+    )
+
+    def is_odd(pair: Column) -> Column:
+        question = F.get(_parts(pair), F.lit(0))
+        good = (F.size(_parts(pair)) == 2) & ~F.is_variant_null(question)
+        return ~F.coalesce(good, F.lit(False))
+
+    data = F.from_json(document, "data variant")["data"]
+    texts = F.transform(F.filter(_parts(data), is_odd), lambda pair: F.to_json(pair))
+    odd = F.when(F.size(texts) > 0, texts).when(
+        _parts(data).isNull() & ~F.is_variant_null(data), F.array(F.to_json(data))
+    )
+    return F.when(~F.coalesce(usual, F.lit(False)), odd)
+
+
 def parse_payload(tickets: DataFrame, column: str = "attendee_info") -> DataFrame:
-    """Adds `payload`, the typed view of the JSON text."""
-    return tickets.withColumn("payload", F.from_json(column, schemas.PAYLOAD))
+    """Adds `payload`, the typed view of the JSON text. An odd pair costs no other answer."""
+    typed = tickets.withColumn("payload", F.from_json(column, schemas.PAYLOAD))
+    pairs = answer_pairs(F.col(column), F.col("payload.data"))
+    return typed.withColumn("payload", F.col("payload").withField("data", pairs))
 
 
 def json_value(document: Column | str, path: str, kind: str = "string") -> Column:

@@ -27,24 +27,33 @@ def hash_sensitive(pairs: Column, markers: Sequence[str] = SENSITIVE_MARKERS) ->
     return F.transform(
         pairs,
         lambda pair: F.when(
-            _is_sensitive(pair[0], markers), F.array(pair[0], sha256_text(pair[1]))
+            _is_sensitive(F.get(pair, F.lit(0)), markers) & (F.size(pair) >= 2),
+            F.concat(
+                F.array(F.get(pair, F.lit(0)), sha256_text(F.get(pair, F.lit(1)))),
+                F.slice(pair, 3, F.greatest(F.size(pair), F.lit(3))),
+            ),
         ).otherwise(pair),
     )
 
 
 def extract_sensitive(pairs: Column, markers: Sequence[str] = SENSITIVE_MARKERS) -> Column:
-    """Map of the unhashed pairs whose question equals a marker; the last of a repeat wins."""
+    """Map of the unhashed pairs whose question equals a marker; the last of a repeat wins.
+
+    A question without an answer has a missing one.
+    """
+    question_of = lambda pair: F.get(pair, F.lit(0))
     present = F.array_distinct(
-        F.filter(
-            F.transform(pairs, lambda pair: pair[0]), lambda question: question.isin(*markers)
-        )
+        F.filter(F.transform(pairs, question_of), lambda question: question.isin(*markers))
     )
     return F.map_from_entries(
         F.transform(
             present,
             lambda question: F.struct(
                 question,
-                F.element_at(F.filter(pairs, lambda pair: pair[0] == question), -1)[1],
+                F.get(
+                    F.element_at(F.filter(pairs, lambda pair: question_of(pair) == question), -1),
+                    F.lit(1),
+                ),
             ),
         )
     )

@@ -10,23 +10,35 @@ from pyspark.sql import functions as F
 from ticketmart.operators.harmonise import first_value
 from ticketmart.vocab import SURVEY_KEY, SURVEY_UNUSED_COLUMNS
 
+
+def question_of(pair: Column) -> Column:
+    """Question of a pair, missing if the pair is empty or missing."""
+    return F.get(pair, F.lit(0))
+
+
+def answer_of(pair: Column) -> Column:
+    return F.get(pair, F.lit(1))
+
+
 def with_answers(records: DataFrame, pairs: Column, name: str = "answers") -> DataFrame:
     """Adds a map of question to answer; of a repeated question the last answer counts.
 
+    Pairs without a question are left out, a question without an answer has a missing one.
+
     The steps are separate columns, so that Spark evaluates each of them once.
     """
     steps = (
-        records.withColumn("_named", F.filter(pairs, lambda pair: pair[0].isNotNull()))
-        .withColumn("_questions", F.transform("_named", lambda pair: pair[0]))
+        records.withColumn("_named", F.filter(pairs, lambda pair: question_of(pair).isNotNull()))
+        .withColumn("_questions", F.transform("_named", question_of))
         .withColumn("_distinct", F.array_distinct("_questions"))
     )
     last_answers = F.transform(
         "_distinct",
-        lambda question: F.element_at(
-            F.filter("_named", lambda pair: pair[0] == question), -1
-        )[1],
+        lambda question: answer_of(
+            F.element_at(F.filter("_named", lambda pair: question_of(pair) == question), -1)
+        ),
     )
-    answers = F.transform("_named", lambda pair: pair[1])
+    answers = F.transform("_named", answer_of)
     no_repeat = F.size("_distinct") == F.size("_questions")
     return steps.withColumn(
         name,
@@ -39,7 +51,7 @@ def with_answers(records: DataFrame, pairs: Column, name: str = "answers") -> Da
 def missing_answers(pairs: Column, required: Sequence[str]) -> Column:
     """Required questions that a record's pairs do not hold."""
     return F.array_except(
-        F.array(*[F.lit(name) for name in required]), F.transform(pairs, lambda pair: pair[0])
+        F.array(*[F.lit(name) for name in required]), F.transform(pairs, question_of)
     )
 
 
@@ -73,26 +85,15 @@ def question_names(
     )
 
 
-def names_in_order(
-    names: DataFrame, columns: int, wanted: Callable[[Sequence[str]], Column]
-) -> tuple[list[str], list[str], bool]:
-    """Added fields, and questions, by first appearance, for planning a wide table's columns.
+def names_in_order(names: DataFrame) -> tuple[list[str], list[str]]:
+    """Added fields, and questions, by first appearance: the columns of a wide table.
 
-    The first `columns` names become columns and reach the driver, and of the others
-    those that `wanted`, given the first, says to fill a column too. The last value
-    says whether there are more, which then stay in the map of other answers.
+    They are the table's schema, so they reach the driver, however many forms ask.
     """
-    order = lambda rows: rows.orderBy("first_seen", "name").select("is_question", "name")
-    found = order(names).limit(columns + 1).collect()
-    more = len(found) > columns
-    found = found[:columns]
-    if more:
-        late = order(names.where(wanted([row.name for row in found]))).collect()
-        found = list(dict.fromkeys([*found, *late]))
+    found = names.orderBy("first_seen", "name").select("is_question", "name").collect()
     return (
         [row.name for row in found if not row.is_question],
         [row.name for row in found if row.is_question],
-        more,
     )
 
 

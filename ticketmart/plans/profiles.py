@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmart import schemas
-from ticketmart.config import remove, scratch
+from ticketmart.config import moment, remove, scratch
 from ticketmart.functions.times import year_of_date_text
 from ticketmart.operators import filters, joins, labelling
 from ticketmart.operators.harmonise import union_by_name
+from ticketmart.plans.current import of_partitions, part_of
 from ticketmart.sinks import tables
 
 TABLE = "dwd.user_profile"
+KEYS = ["year", "email"]
+PARTS = 32
 ATTRIBUTES = ["organization", "job_title", "country_or_region", "age_range", "gender"]
 
 
@@ -40,7 +43,7 @@ def profile_rows(wide_tables: Sequence[DataFrame], strict: bool = True) -> DataF
 def upsert_profiles(
     profiles: DataFrame, rows: DataFrame, as_of: datetime | str | None = None
 ) -> DataFrame:
-    return joins.merge_upsert(profiles, rows, ["year", "email"], ATTRIBUTES, as_of)
+    return joins.merge_upsert(profiles, rows, KEYS, ATTRIBUTES, as_of)
 
 
 def refresh(
@@ -49,13 +52,34 @@ def refresh(
     folder: str,
     as_of: datetime | str | None = None,
     table: str = TABLE,
+    parts: int = PARTS,
 ) -> None:
-    """Upserts the rows of the wide tables, which are read once and held for the upsert."""
-    tables.create_table(spark, table, schemas.USER_PROFILE)
+    """Upserts the rows of the wide tables, which are read once and held for the upsert.
+
+    The table is divided by a hash of its key. Only the parts that the rows fall
+    into are read, joined and written again; rows with a missing key part, which
+    match nothing, are appended to a part of their own. A table without parts, as
+    earlier versions have made it, is written again whole in the given folder.
+    """
+    tables.create_table(spark, table, schemas.USER_PROFILE_BY_PART, partition_by=["part"])
     held = scratch(spark, "profiles")
-    profile_rows(wide_tables).write.parquet(held)
-    merged = upsert_profiles(spark.table(table), spark.read.parquet(held), as_of)
-    tables.replace_table(spark, table, merged, folder)
+    keyed = F.col("year").isNotNull() & F.col("email").isNotNull()
+    rows = profile_rows(wide_tables).withColumn(
+        "part", F.when(keyed, part_of(KEYS, parts)).otherwise(-1)
+    )
+    rows.write.parquet(held)
+    rows = spark.read.schema(rows.schema).parquet(held)
+    profiles = spark.table(table)
+    if "part" not in tables.partition_columns(spark, table):
+        merged = upsert_profiles(profiles, rows.drop("part"), as_of)
+        tables.replace_table(spark, table, merged, folder)
+    else:
+        keyed_rows = rows.where("part >= 0")
+        touched = of_partitions(profiles, keyed_rows, ["part"])
+        merged = upsert_profiles(touched.drop("part"), keyed_rows.drop("part"), as_of)
+        tables.replace_partitions(spark, table, merged.withColumn("part", part_of(KEYS, parts)))
+        loose = rows.where("part < 0").withColumn("update_time", moment(as_of))
+        tables.append(loose, table, schemas.USER_PROFILE_BY_PART)
     remove(spark, held)
 
 

@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmart import schemas, vocab
 from ticketmart.config import remove, scratch
-from ticketmart.functions.text import paid_flag
+from ticketmart.functions.text import contains_ignoring_case, paid_flag
 from ticketmart.functions.times import epoch_to_date_text
 from ticketmart.operators import filters, harmonise, joins, reshape
 from ticketmart.operators.dedupe import distinct_rows, latest_per_key
 from ticketmart.operators.payload import (
+    answer_pairs,
     json_value,
+    odd_pairs,
     parse_payload,
     unknown_fields,
     unknown_names,
 )
 from ticketmart.operators.pii import SEARCH_TEXT, deidentify, extract_sensitive, readable
+from ticketmart.plans.current import KEYS, keep_current, latest_order, of_partitions
 from ticketmart.sinks import tables
 from ticketmart.sources import tickets as landed
 
@@ -48,6 +51,41 @@ def selected_tickets(
     )
 
 
+#: What a run asks for; an attendee is judged by the run it landed in, however long its event takes.
+RUN = ("run_year", "run_start", "run_end")
+
+
+def under_run(attendees: DataFrame, year: int, start: float, end: float) -> DataFrame:
+    """Attendees with what their run asks for, which those that have waited keep from theirs."""
+    values = {"run_year": F.lit(year), "run_start": F.lit(start), "run_end": F.lit(end)}
+    kinds = {"run_year": "int", "run_start": "double", "run_end": "double"}
+    return attendees.withColumns(
+        {
+            name: F.coalesce(*([F.col(name)] if name in attendees.columns else []), value).cast(kinds[name])
+            for name, value in values.items()
+        }
+    )
+
+
+def asked_for(attendees: DataFrame) -> DataFrame:
+    """Paid attendees that were updated within the interval of their own run."""
+    state = F.from_json("attendee_info", "is_paid boolean, updated_at double")
+    inside = lambda s: filters.in_interval(
+        s["updated_at"], F.col("run_start"), F.col("run_end")
+    )
+    # one condition over one parse; as separate filters Spark would parse for each of them
+    return filters.paid_only(
+        attendees, F.exists(F.array(state), lambda s: inside(s) & s["is_paid"])
+    )
+
+
+def selected_by_run(event_rows: DataFrame, attendees: DataFrame) -> DataFrame:
+    """Paid tickets of registrations of the year, in the interval, of each attendee's own run."""
+    named = event_rows.where(contains_ignoring_case(F.col("name"), "registration"))
+    met = landed.tickets(named, asked_for(attendees), keep=["run_year"])
+    return met.where(F.contains("name", F.col("run_year").cast("string"))).drop("run_year")
+
+
 def sort_out(event_rows: DataFrame, attendees: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Attendees that no load can take: (rejected with the reason, waiting for their event).
 
@@ -89,12 +127,32 @@ def sensitive_answers(tickets: DataFrame) -> DataFrame:
 
 def split_timed(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Orders that have a time, and those to put aside since nothing can date them."""
-    undated = json_value("attendee_info", "$.updated_at", "double").isNull()
+    undated = F.get_json_object("attendee_info", "$.updated_at").try_cast("double").isNull()
     return orders.where(~undated), orders.where(undated)
 
 
+YEAR = "(?:19|20)[0-9]{2}"
+FORCED = "forced"
+
+
 def orders_of(orders: DataFrame, year: int | str, ticket_type: str) -> DataFrame:
-    return orders.where(filters.name_like(F.col("name"), year, ticket_type))
+    """Orders of events whose name is like the year and the type, in this order.
+
+    On the raw table, both also choose folders. A folder's year is the only one
+    that its names mention, or 0; its groups are all that they mention, unless the
+    load has forced one. So a name that holds a year is in the folder of this year
+    or of 0, and a type that holds a group's name is in folders of that group or in
+    forced ones.
+    """
+    wanted = filters.name_like(F.col("name"), year, ticket_type)
+    if set(schemas.RAW_PARTITIONS) <= set(orders.columns):
+        if re.fullmatch(YEAR, str(year)):
+            wanted = wanted & F.col("year").isin(int(year), 0)
+        for group in vocab.TICKET_GROUPS:
+            if group in ticket_type:
+                held = joins.in_group(F.col("ticket_groups"), group)
+                wanted = wanted & (held | joins.in_group(F.col("ticket_groups"), FORCED))
+    return orders.where(wanted)
 
 
 # the payload's fields that become columns; the paid flag may be a truth value, a number or
@@ -128,20 +186,20 @@ def wide_rows(
     update_after: float | None = None,
     rules: harmonise.NameRules = harmonise.CURRENT,
     questions: Sequence[str] | None = None,
-    columns: int = 2_000,
     strict: bool = False,
     events: bool = False,
+    odd: bool = False,
 ) -> DataFrame:
     """One row per registration number, one column per harmonised question.
 
-    The columns are planned from the distinct questions of all orders, which is
-    one aggregation over the data; pass the questions if a form lists them. The
-    first `columns` questions become columns, and later ones that have the target
-    name of a column or of the vocabulary; answers to any others, and to questions
-    that a given form does not list, fill the column of their target name or are
-    whole under it in the map `other_answers`, private ones left out. Numbers may be given as text. A ticket whose registration
-    number or price is no number is left out (`wide_rejects` gives it) or, if
-    strict, fails the job. `events` adds the id of the event.
+    The columns are planned from the distinct questions of all orders, however
+    many, which is one aggregation over the data. Pass the questions if a form
+    lists them: answers to others fill the column of their target name or are
+    whole under it in the map `other_answers`, private ones left out. Numbers may
+    be given as text. A ticket whose registration number or price is no number is
+    left out (`wide_rejects` gives it) or, if strict, fails the job. `events` adds
+    the id of the event, each of which has its own numbers, and `odd` the column `odd_answers`: JSON texts of pairs
+    that are no question with one answer, of which the other answers lose nothing.
     """
     if "updated_at" in orders.columns:  # reaches the scan, unlike a field of the payload
         orders = filters.updated_since(orders, F.col("updated_at"), update_after)
@@ -176,22 +234,21 @@ def wide_rows(
         "_record": F.col("id"),
         **({"event_id": F.col("_event")} if events else {}),
     }
-    pairs = F.coalesce("data", F.array().cast("array<array<string>>"))
-    added, more = [], questions is not None
+    pairs = F.coalesce(
+        answer_pairs(info, F.col("data")), F.array().cast("array<array<string>>")
+    )
+    if odd:
+        fields["odd_answers"] = odd_pairs(info, F.col("data"))
+    added, listed = [], questions is not None
     if questions is None:
         # fields that the ticket system adds are taken as questions too, before the others
-        asked = F.transform(pairs, lambda pair: pair[0])
+        asked = F.transform(pairs, reshape.question_of)
         names = reshape.question_names(
             records, unknown_names(info, known), asked, F.col("updated_at")
         )
-
-        def fills_a_column(first: Sequence[str]) -> Column:
-            targets = [*harmonise.plan_names(first, rules), *fields, *harmonise.vocabulary(rules)]
-            return harmonise.target_name(F.col("name"), rules).isin(*dict.fromkeys(targets))
-
-        added, questions, more = reshape.names_in_order(names, columns, fills_a_column)
+        added, questions = reshape.names_in_order(names)
         questions = [*added, *questions]
-    if added or more:
+    if added or listed:
         extra = F.map_entries(unknown_fields(info, known))
         pairs = F.concat(
             F.transform(extra, lambda entry: F.array(entry["key"], entry["value"])), pairs
@@ -203,26 +260,31 @@ def wide_rows(
         F.col("pairs"),
         harmonise.plan_names(questions, rules),
         fields,
-        "other_answers" if more else None,
+        "other_answers" if listed else None,
         rules.unwanted,
         lambda name: harmonise.target_name(name, rules),
         vocab.PRIVATE_COLUMNS,
     )
     wide = harmonise.drop_private(harmonise.to_numbers(wide))
-    return latest_per_key(
-        wide, ["registration_no"], [F.desc("updated_at"), F.desc("_record")]
-    ).drop("_record")
+    keys = ["event_id", "registration_no"] if events else ["registration_no"]
+    return latest_per_key(wide, keys, [F.desc("updated_at"), F.desc("_record")]).drop("_record")
 
 
 def load_orders(
-    spark: SparkSession, orders: DataFrame, ods: str, dwd_prefix: str, group: str | None = None
+    spark: SparkSession,
+    orders: DataFrame,
+    ods: str,
+    dwd_prefix: str,
+    group: str | None = None,
+    current: bool = False,
 ) -> dict[str, int]:
     """Appends orders to the raw table and, per ticket group, to the wide tables.
 
     The orders are written to the shared folder once, and every step reads them
     from there, each group from its own folder, instead of hashing the payloads
     again. Orders that nothing can date, and those whose numbers are none, are
-    put aside in tables of their own.
+    put aside in tables of their own. With `current`, the latest row per event and
+    registration number is kept in `<dwd_prefix>_<group>_current`.
     """
     held = scratch(spark, "orders")
     stored = raw_rows(orders, group)
@@ -244,7 +306,15 @@ def load_orders(
         if any(ticket_group in names.split("+") for names in present):
             table = f"{dwd_prefix}_{ticket_group}"
             of_group = stored.where(joins.in_group(F.col("ticket_groups"), ticket_group))
-            loaded[table] = tables.append_evolving(wide_rows(of_group, events=True), table)
+            wide = wide_rows(of_group, events=True, odd=True)
+            if current:
+                wide_held = scratch(spark, "wide")
+                wide.write.parquet(wide_held)
+                wide = spark.read.schema(wide.schema).parquet(wide_held)
+            loaded[table] = tables.append_evolving(wide, table)
+            if current:
+                keep_current(spark, wide, f"{table}_current")
+                remove(spark, wide_held)
     remove(spark, held)
     return loaded
 
@@ -252,11 +322,14 @@ def load_orders(
 def raw_rows(orders: DataFrame, group: str | None = None) -> DataFrame:
     """Orders as the raw table stores them, its columns of the payload read once.
 
-    The year is the first one in the event's name, 0 without any; the ticket groups
-    are those the name mentions, or the forced one.
+    The year is the one that the event's name mentions, 0 without any or with
+    several; the ticket groups are those the name mentions, or the forced one.
     """
-    year = F.regexp_extract("name", "(?:19|20)[0-9]{2}", 0).try_cast("int")
-    groups = F.lit(group) if group else joins.groups_named(F.col("name"), vocab.TICKET_GROUPS)
+    # a match of no length, so that years which overlap are found too
+    years = F.array_distinct(F.regexp_extract_all("name", F.lit(f"(?=({YEAR}))"), 1))
+    year = F.when(F.size(years) == 1, F.get(years, F.lit(0)).try_cast("int"))
+    forced = F.lit(f"{FORCED}+{group}")
+    groups = forced if group else joins.groups_named(F.col("name"), vocab.TICKET_GROUPS)
     return orders.select(
         *schemas.TICKET_ORDERS.fieldNames(),
         F.get_json_object("attendee_info", "$.id").try_cast("long").alias("attendee_id"),
@@ -268,19 +341,8 @@ def raw_rows(orders: DataFrame, group: str | None = None) -> DataFrame:
 
 def current_rows(wide: DataFrame) -> DataFrame:
     """Latest row per event and registration number over all loads of a wide table."""
-    keys = [name for name in ("event_id", "registration_no") if name in wide.columns]
-    others = [F.desc(name) for name in wide.columns if name not in (*keys, "updated_at")]
-    return latest_per_key(wide, keys, [F.desc("updated_at"), *others])
-
-
-def _of_partitions(rows: DataFrame, touched: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Rows of the touched partitions, whose names (a few) become a filter of the scan."""
-    found = [tuple(row) for row in touched.select(*names).distinct().collect()]
-    wanted = F.lit(False)
-    for values in found:
-        same = [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(names, values, strict=True)]
-        wanted = wanted | reduce(Column.__and__, same)
-    return rows.where(wanted)
+    keys = [name for name in KEYS if name in wide.columns]
+    return latest_per_key(wide, keys, latest_order(wide.columns, keys))
 
 
 def dedupe_orders(spark: SparkSession, ods: str, folder: str, since: float | None = None) -> None:
@@ -300,7 +362,7 @@ def dedupe_orders(spark: SparkSession, ods: str, folder: str, since: float | Non
         *names, F.xxhash64(*columns).alias("one"), F.xxhash64(F.lit(1), *columns).alias("two")
     )
     twice = digests.groupBy(*names, "one", "two").agg(F.count("*").alias("n")).where("n > 1")
-    tables.replace_partitions(spark, ods, distinct_rows(_of_partitions(orders, twice, names)))
+    tables.replace_partitions(spark, ods, distinct_rows(of_partitions(orders, twice, names)))
 
 
 def _attendee_id(orders: DataFrame) -> Column:
@@ -338,13 +400,14 @@ def reconcile_refunds(
     refunded(orders, books).write.parquet(held)
     gone = spark.read.parquet(held)
     if not gone.limit(1).count():
+        remove(spark, held)
         return False
     names = tables.partition_columns(spark, ods)
     if names:
         keys = ["attendee_id", *(["id"] if by_event else [])]
         hits = gone.select("attendee_id", F.col("event_id").alias("id")).select(*keys).distinct()
         touched = joins.join_on(orders, hits, keys, "left_semi")
-        marked = mark(_of_partitions(orders, touched, names), gone, by_event)
+        marked = mark(of_partitions(orders, touched, names), gone, by_event)
         tables.replace_partitions(spark, ods, marked)
     else:
         tables.replace_table(spark, ods, mark(orders, gone, by_event), folder)

@@ -5,12 +5,13 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketmart.config import remove, scratch
+from ticketmart.config import exists, remove
 
 logger = logging.getLogger(__name__)
 
@@ -98,29 +99,36 @@ def append(rows: DataFrame, table: str, schema: T.StructType) -> int:
     return _insert(enforce(rows, schema).select(*columns), table)
 
 
+def add_columns(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Adds the columns that the table lacks."""
+    known = set(spark.table(table).columns)
+    added = [field for field in schema if field.name not in known]
+    if added:
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+
+
+def in_schema(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows by name in the columns and types of a table; columns they lack are missing."""
+    present = set(rows.columns)
+    return rows.select(
+        *[
+            (F.col(quoted(field.name)) if field.name in present else F.lit(None))
+            .cast(field.dataType)
+            .alias(field.name)
+            for field in schema
+        ]
+    )
+
+
 def append_evolving(rows: DataFrame, table: str, location: str | None = None) -> int:
     """Appends by name, in one pass; columns the table lacks are added to it."""
     spark = rows.sparkSession
     if "vat_number" in rows.columns:
         rows = rows.withColumn("vat_number", F.col("vat_number").cast("string"))
     create_table(spark, table, T.StructType([_nullable(f) for f in rows.schema]), location)
-    known = {field.name: field for field in spark.table(table).schema}
-    added = [field for field in rows.schema if field.name not in known]
-    if added:
-        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-    present = set(rows.columns)
-    return _insert(
-        rows.select(
-            *[
-                (F.col(quoted(field.name)) if field.name in present else F.lit(None))
-                .cast(field.dataType)
-                .alias(field.name)
-                for field in spark.table(table).schema
-            ]
-        ),
-        table,
-    )
+    add_columns(spark, table, rows.schema)
+    return _insert(in_schema(rows, spark.table(table).schema), table)
 
 
 def _nullable(field: T.StructField) -> T.StructField:
@@ -144,25 +152,105 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
 
 
-def replace_partitions(spark: SparkSession, table: str, rows: DataFrame) -> None:
+def _location(spark: SparkSession, table: str, spec: str = "") -> str:
+    """Folder of a table, or of one of its partitions."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {spec}").collect()
+    names = [row.col_name for row in rows]
+    start = names.index("# Detailed Partition Information" if spec else "# Detailed Table Information")
+    return next(row.data_type for row in rows[start:] if row.col_name == "Location")
+
+
+def _value(value: object) -> str:
+    if value is None:
+        return "null"
+    return _literal(value) if isinstance(value, str) else str(value)
+
+
+def _spec(names: Sequence[str], values: Sequence[object]) -> str:
+    """PARTITION clause of one partition."""
+    parts = [f"{quoted(n)} = {_value(v)}" for n, v in zip(names, values, strict=True)]
+    return f"PARTITION ({', '.join(parts)})"
+
+
+def _folder(spark: SparkSession, names: Sequence[str], values: Sequence[object]) -> str:
+    """Folder that a write gives to a partition."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    text = lambda value: None if value is None else str(value)
+    return "/".join(
+        utils.getPartitionPathString(n, text(v)) for n, v in zip(names, values, strict=True)
+    )
+
+
+def _has_partition(spark: SparkSession, table: str, spec: str) -> bool:
+    return bool(spark.sql(f"SHOW PARTITIONS {table} {spec}").head(1))
+
+
+def point_partition(spark: SparkSession, table: str, spec: str, folder: str, known: bool) -> None:
+    """Makes a folder the content of a partition: one change of the catalog."""
+    if known:
+        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION {_literal(folder)}")
+    else:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION {_literal(folder)}")
+
+
+def replace_partitions(spark: SparkSession, table: str, rows: DataFrame) -> list[str]:
     """Replaces the partitions that the rows are in; all others keep their files.
 
-    The rows may be made from the table itself: they are written to the shared
-    folder before the table is touched.
+    The rows may be made from the table itself. They are written whole, as a new
+    version beside the old ones, before the catalog points one partition after the
+    other to it. A job that fails in between leaves every partition readable, with
+    its old rows or with its new ones. Gives the folders that are no longer read:
+    they are listed as retired, and stay for readers that have begun, until
+    `remove_retired`.
     """
-    held = scratch(spark, "partitions")
+    names = partition_columns(spark, table)
+    top = _location(spark, table)
+    version = uuid.uuid4().hex
     fresh = rows.select(*[quoted(name) for name in spark.table(table).columns])
-    fresh.write.parquet(held)
-    mode = "spark.sql.sources.partitionOverwriteMode"  # an option of the write is not heeded here
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
+    where = f"{top}/_versions/{version}"
+    fresh.write.partitionBy(*names).parquet(where)
+    written = spark.read.schema(fresh.schema).parquet(where)
+    touched = [tuple(row) for row in written.select(*names).distinct().collect()]  # a few folders
+    specs = [(_spec(names, values), _folder(spark, names, values)) for values in touched]
+    known = [_has_partition(spark, table, spec) for spec, _ in specs]
+    old = [
+        _location(spark, table, spec)
+        for (spec, _), there in zip(specs, known, strict=True)
+        if there
+    ]
+    if old:
+        listed = spark.createDataFrame([(path,) for path in old], "path string")
+        listed.withColumn("at", F.current_timestamp()).coalesce(1).write.json(f"{top}/_retired/{version}")
     try:
-        written = spark.read.schema(fresh.schema).parquet(held)
-        written.write.mode("overwrite").insertInto(table)
+        for (spec, folder), there in zip(specs, known, strict=True):
+            point_partition(spark, table, spec, f"{where}/{folder}", there)
     finally:
-        spark.conf.set(mode, before)
-    spark.catalog.refreshTable(table)
-    remove(spark, held)
+        spark.catalog.refreshTable(table)
+    return old
+
+
+def retired(spark: SparkSession, table: str) -> DataFrame:
+    """(path, at): folders that replaced partitions have left, and since when."""
+    top = f"{_location(spark, table)}/_retired"
+    schema = "path string, at timestamp"
+    if not exists(spark, top):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", True).json(top)
+
+
+def remove_retired(spark: SparkSession, table: str, before: datetime | str) -> list[str]:
+    """Removes folders that were retired before a time and that no partition points to."""
+    gone = retired(spark, table).where(F.col("at") < F.lit(before).cast("timestamp"))
+    paths = [row.path for row in gone.select("path").distinct().collect()]  # a few folders a job
+    names = partition_columns(spark, table)
+    used = {
+        _location(spark, table, _spec(names, tuple(row)))
+        for row in spark.table(table).select(*names).distinct().collect()
+    }
+    removed = [path for path in paths if path not in used and exists(spark, path)]
+    for path in removed:
+        remove(spark, path)
+    return removed
 
 
 def export_csv(rows: DataFrame, path: str) -> None:

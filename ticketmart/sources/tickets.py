@@ -9,6 +9,8 @@ A long attendance book may be landed in several lines of the same event.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,12 +55,15 @@ def read_attendees(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(ATTENDEES).json(f"{folder}/attendees")
 
 
-def tickets(event_rows: DataFrame, attendees: DataFrame) -> DataFrame:
+def tickets(
+    event_rows: DataFrame, attendees: DataFrame, keep: Sequence[str] = ()
+) -> DataFrame:
     """(id, name, attendee_info): every attendee under its event's id and name.
 
-    One event may have much of the attendees; the join can split it.
+    One event may have much of the attendees; the join can split it. `keep` names
+    further columns of the attendees.
     """
     placed = attendees.where(F.col("event_id").isNotNull())
     return join_on(placed, event_rows, ["event_id"], "inner").select(
-        F.col("event_id").alias("id"), "name", "attendee_info"
+        F.col("event_id").alias("id"), "name", "attendee_info", *keep
     )

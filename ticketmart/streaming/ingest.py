@@ -6,16 +6,18 @@ repeated after a failure, so every landed record has its effect once.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmart import schemas, vocab
+from ticketmart.config import exists, remove, scratch
 from ticketmart.operators.dedupe import latest_per_key
-from ticketmart.operators.joins import route
+from ticketmart.operators.joins import join_on, route
 from ticketmart.plans import tickets as ticket_plan
+from ticketmart.plans.current import keep_current
 from ticketmart.plans.posts import Network, insight_snapshot, new_posts, undated_posts
 from ticketmart.sinks.tables import split_required
 from ticketmart.sources import tickets as landed
@@ -59,15 +61,40 @@ def copy_available(stream: DataFrame, folder: str, name: str = "rows") -> DataFr
     return read_output(stream.sparkSession, folder, name).drop("batch_id")
 
 
+def not_seen(rows: DataFrame, known: DataFrame | None, keys: Sequence[str], time: str) -> DataFrame:
+    """Rows whose keys no earlier batch has stored, each once.
+
+    Only the known keys between the least and the largest time of the rows are
+    read, as a repeated row has the time it had before.
+    """
+    fresh = rows.dropDuplicates([*keys])
+    if known is None:
+        return fresh
+    least, largest = rows.agg(F.min(time), F.max(time)).first()
+    if least is None:
+        return fresh
+    near = known.where(F.col(time).between(least, largest)).select(*keys)
+    return join_on(fresh, near, keys, "left_anti")
+
+
 def ingest_tickets(
-    spark: SparkSession, landing: str, folder: str, year: int, start: float, end: float
+    spark: SparkSession,
+    landing: str,
+    folder: str,
+    year: int,
+    start: float,
+    end: float,
+    current: str | None = None,
 ) -> None:
     """Raw orders, and wide rows per ticket group, from newly landed attendees.
 
-    Attendees whose event has not landed wait, and every later batch tries them
-    again, also one that only events have started; those that no load can take are
-    stored as rejected with the reason, and orders that no wide table can take as
-    wide_rejected.
+    An attendee is judged by the year and interval of the run in which it landed.
+    Those asked for whose event has not landed wait under their own run, and every
+    later batch tries them again, also one that only events have started; those
+    that no load can take are stored as rejected with the reason, and orders that
+    no wide table can take as wide_rejected. An order that lands again, equal to
+    one that a batch has stored, is not stored again. With a prefix `current`, the
+    latest row per event and registration number is kept in `<current>_<group>`.
     """
 
     def job(replies: DataFrame, batch_id: int, store: Store) -> None:
@@ -75,19 +102,37 @@ def ingest_tickets(
         events = landed.read_events(spark, landing)
         if batch_id:
             earlier = read_output(spark, folder, "waiting")
-            earlier = earlier.where(F.col("batch_id") == batch_id - 1)
-            batch = batch.unionByName(earlier.select(*batch.columns))
+            earlier = earlier.where(F.col("batch_id") == batch_id - 1).drop("batch_id")
+            batch = batch.unionByName(earlier, allowMissingColumns=True)
+        batch = ticket_plan.under_run(batch, year, start, end)
         rejected, waiting = ticket_plan.sort_out(events, batch)
-        store("rejected", rejected)
-        store("waiting", waiting)
-        chosen = ticket_plan.selected_tickets(events, batch, year, start, end)
-        orders = store("orders", ticket_plan.order_rows(chosen))
-        store("wide_rejected", ticket_plan.wide_rejects(orders))
-        routed = route(orders, F.col("name"), vocab.TICKET_GROUPS)
+        store("rejected", rejected.drop(*ticket_plan.RUN))
+        store("waiting", ticket_plan.asked_for(waiting).distinct())
+        held = scratch(spark, "chosen")
+        orders = ticket_plan.order_rows(ticket_plan.selected_by_run(events, batch))
+        orders.withColumns(
+            {
+                "digest": F.sha2("attendee_info", 256),
+                "updated_at": F.get_json_object("attendee_info", "$.updated_at").cast("double"),
+            }
+        ).write.parquet(held)
+        known = None
+        if batch_id and exists(spark, f"{folder}/stored"):
+            known = read_output(spark, folder, "stored").where(F.col("batch_id") < batch_id)
+        chosen = spark.read.parquet(held)
+        fresh = not_seen(chosen, known, ["id", "digest"], "updated_at")
+        stored = store("orders", fresh.drop("digest", "updated_at"))
+        store("stored", chosen.select("id", "digest", "updated_at").distinct())
+        remove(spark, held)
+        store("wide_rejected", ticket_plan.wide_rejects(stored))
+        routed = route(stored, F.col("name"), vocab.TICKET_GROUPS)
         for group in vocab.TICKET_GROUPS:
             of_group = routed.where(F.col("ticket_group") == group)
             if not of_group.isEmpty():
-                store(f"wide_{group}", ticket_plan.wide_rows(of_group))
+                wide = ticket_plan.wide_rows(of_group, events=True, odd=True)
+                rows = store(f"wide_{group}", wide)
+                if current:
+                    keep_current(spark, rows, f"{current}_{group}")
 
     # one source for both, so that progress of runs that read attendees alone stays valid
     replies = spark.readStream.schema(landed.ATTENDEES).json(f"{landing}/{{attendees,events}}")
