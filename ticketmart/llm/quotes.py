@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from ticketmart.llm.common import column, discard, materialise
 from ticketmart.operators.joins import join_on
 
-_MARKS = r"^[ \t]*(?:>[ \t]?)+"
+# nothing in it is given back, so that a line of very many marks needs no stack
+_MARKS = r"^[ \t]*+(?:>[ \t]?+)++"
 #: A line that introduces a quote, in the languages of the corpus.
 INTRODUCTION = r"(?i)^(?:on|am|le|el)\b.*\b(?:wrote|schrieb|écrit|escribió)\b.*:$"
 
