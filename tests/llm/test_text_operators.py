@@ -4,10 +4,13 @@ import hashlib
 import random
 import re
 
+import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ticketmart.llm import (
+    checks,
     decontamination,
     lines,
     personal_data,
@@ -308,6 +311,12 @@ def test_toxicity_weights_are_few_and_hold_on_unseen_rows(spark):
     order = sorted(range(400, 700), key=scores.get, reverse=True)
     worst = order[: sum(i % 7 == 0 for i in order)]
     assert sum(i % 7 == 0 for i in worst) / len(worst) > 0.95
+    marked = [scores[i] >= toxicity.THRESHOLD for i in range(400, 700)]
+    toxic = [i % 7 == 0 for i in range(400, 700)]
+    right = sum(a and b for a, b in zip(marked, toxic, strict=True))
+    assert right / sum(toxic) > 0.95 and right / sum(marked) > 0.95
+    few = toxicity.fit(docs, labels, sample_bytes=2_000)
+    assert len(few.places) < len(toxicity.fit(docs, labels).places)
     odd = documents(spark, EMPTY_CASES, clash=("score", "_score"))
     assert toxicity.without_toxic(odd, model).columns == odd.columns
     assert toxicity.without_toxic(odd, model).count() == len(EMPTY_CASES)
@@ -316,6 +325,27 @@ def test_toxicity_weights_are_few_and_hold_on_unseen_rows(spark):
     assert toxicity.with_scores(docs.limit(0), model).collect() == []
 
 
+def test_toxic_words_are_known_by_their_beginnings(spark):
+    """Every toxic word of the unseen rows is new, but begins as others do."""
+    chance = random.Random(3)
+    rows = []
+    for i in range(600):
+        words = ["".join(chance.choices("abcdefgh", k=7)) for _ in range(20)]
+        ending = "".join(chance.choices("abcdefgh", k=5))
+        rows.append((i, " ".join([*words, f"viles{ending}" if i % 4 == 0 else "calm"])))
+    frame = documents(spark, rows)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(frame, labels, allowed=F.col("doc_id") < 400)
+    scores = {r.doc_id: r.score for r in toxicity.with_scores(frame, model).collect()}
+    assert all((scores[i] >= toxicity.THRESHOLD) == (i % 4 == 0) for i in range(400, 600))
+
+
+def test_cut_parts_labels_best():
+    cut = toxicity.best_cut(np.array([3.0, -2.0, 1.0, -4.0]), np.array([1, 0, 1, 0]))
+    assert cut == -0.5
+    assert toxicity.best_cut(np.zeros(4), np.array([1, 0, 1, 0])) is None
+
+
 def test_features_fold_case_and_ends():
     assert (toxicity.features("Vile, words") == toxicity.features("vile words.")).all()
     assert len(toxicity.features("a b c")) == 6  # three words, two pairs, one skip
@@ -394,6 +424,34 @@ def test_quotes_of_repeated_messages_link_to_the_last_before(spark):
     assert (found["y", 3, "no"], found["x", 9, "well"]) == (("x", 1), ("x", 5))
 
 
+def test_repeated_turns_give_what_the_sql_gives(spark, tmp_path):
+    chance = random.Random(4)
+    said = ["hello", "yes", "what?", "then", "ok", "yes\nno"]
+    turns = [("fixed", i, text) for i, text in enumerate(["hello", "yes", "what?", "yes", "then", "ok"])]
+    turns += [(f"c{c}", i, f"{c % 5} " * (c % 3) + chance.choice(said)) for c in range(40) for i in range(9)]
+    frame = spark.createDataFrame(turns, "conv_id string, turn long, text string")
+    frame.withColumn("role", F.lit("user")).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = checks.op8_chat_formatting(spark, str(tmp_path))
+    database = duckdb.connect()
+    database.execute(
+        f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'"
+    )
+    names = ", ".join(found.columns)
+    expected = database.execute(f"SELECT {names} FROM ({checks.SQL['op8_chat_formatting']})").fetchall()
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
+    parents = {(r.conv_id, r.turn): (r.parent_place, r.depth) for r in found.collect()}
+    assert parents["fixed", 4] == (3, 4)
+
+
+def test_lines_of_very_many_marks(spark):
+    rows = [("a", 0, "deep"), ("a", 1, ">" * 100_000 + " deep\nown"), ("a", 2, "> " * 50_000 + "own\nlast")]
+    rows += [("a", 3, " \t" * 50_000 + ">last\nend"), ("a", 4, ">  > end\nx")]
+    frame = spark.createDataFrame(rows, "conv_id string, turn long, text string")
+    found = {r.turn: r for r in quotes.conversations(frame, "conv_id", "turn").collect()}
+    assert [found[i].parent_place for i in range(5)] == [None, 0, 1, 2, None]
+    assert [found[i].text for i in range(5)] == ["deep", "own", "last", "end", "x"]
+
+
 # -- SimHash
 
 

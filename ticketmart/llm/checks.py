@@ -167,12 +167,15 @@ n AS (SELECT *, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS plain FRO
 quote AS (
   SELECT n.r, n.conv_id, n.turn, q.plain, n.turn - q.turn AS level
   FROM n JOIN n AS q ON q.conv_id = n.conv_id AND q.turn IN (n.turn - 1, n.turn - 2)),
-near AS (SELECT conv_id, plain, min(turn) AS turn FROM n GROUP BY ALL),
+near AS (
+  SELECT quote.r, level, max(n.turn) AS turn
+  FROM quote JOIN n ON n.conv_id = quote.conv_id AND n.plain = quote.plain AND n.turn < quote.turn
+  GROUP BY ALL),
 far AS (SELECT plain, min((turn, conv_id)) AS first FROM n GROUP BY ALL),
 owner AS (
-  SELECT r, level, CASE WHEN near.turn < quote.turn THEN quote.conv_id ELSE first[2] END AS pc,
-    CASE WHEN near.turn < quote.turn THEN near.turn ELSE first[1] END AS pt, quote.turn
-  FROM quote JOIN near USING (conv_id, plain) JOIN far USING (plain)),
+  SELECT quote.r, quote.level, CASE WHEN near.turn IS NULL THEN first[2] ELSE quote.conv_id END AS pc,
+    CASE WHEN near.turn IS NULL THEN first[1] ELSE near.turn END AS pt, quote.turn
+  FROM quote JOIN far USING (plain) LEFT JOIN near ON near.r = quote.r AND near.level = quote.level),
 parent AS (
   SELECT r, min((level, pt, pc)) AS best FROM owner WHERE pt < turn GROUP BY r),
 step AS (
