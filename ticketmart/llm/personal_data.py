@@ -51,6 +51,10 @@ _TELLING = (
     r"|telefon|karte|konto|correo|tarjeta|teléfono|carte|compte|courriel)\b[^\n]{0,20}$"
 )
 _DOMAINS = r"(?i)\.(?:com|org|net|edu|gov|info|io|de|fr|es|uk|eu|it|nl|ch|at|co)$"
+#: Characters of the pieces in which a text is looked up.
+PIECE = 1024
+#: Matches of a text whose places are summed one by one.
+BLOCK = 32
 LABELERS = ("strict", "listed", "beside", "before", "shape")
 #: How much each labeler is trusted before any data is seen, as a share of all spans.
 TRUST = {"strict": 10.0, "listed": 0.2, "beside": 0.2, "before": 0.2, "shape": 0.2}
@@ -95,6 +99,11 @@ _RULES: dict[str, tuple[Callable, Callable, str]] = {
 }
 
 
+def _once(value: Column, work: Callable[[Column], Column]) -> Column:
+    """What `work` makes of a value that is computed once, however often it is used there."""
+    return F.get(F.transform(F.array(value), work), F.lit(0))
+
+
 def _matches(text: Column, kind: str) -> Column:
     """(kind, start, end, value, strict) of the matches of a kind, in order.
 
@@ -108,21 +117,40 @@ def _matches(text: Column, kind: str) -> Column:
     pairs = F.zip_with(gaps, values, lambda g, v: F.struct(F.length(g).alias("gap"), v.alias("value")))
     none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string,strict:boolean>>")
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + pair["gap"]
-        end = start + F.length(pair["value"])
-        span = F.struct(
-            F.lit(kind).alias("kind"),
-            start.alias("start"),
-            end.alias("end"),
-            pair["value"].alias("value"),
-            strict(pair["value"]).cast("boolean").alias("strict"),
+    def length(of: Column) -> Column:
+        return F.aggregate(of, F.lit(0), lambda sum_, p: sum_ + p["gap"] + F.length(p["value"]))
+
+    def spans(block: Column, begin: Column) -> Column:
+        def span(pair: Column, i: Column) -> Column:
+            end = begin + length(F.slice(block, F.lit(1), i + 1))
+            return F.struct(
+                F.lit(kind).alias("kind"),
+                (end - F.length(pair["value"])).alias("start"),
+                end.alias("end"),
+                pair["value"].alias("value"),
+                strict(pair["value"]).cast("boolean").alias("strict"),
+            )
+
+        good = F.filter(F.transform(block, span), lambda s: worth(s["value"]))
+        return good
+
+    # a sum up to each match would grow with their square: sums inside blocks, and over blocks
+    def in_blocks(pairs: Column) -> Column:
+        last = F.floor((F.size(pairs) - 1) / BLOCK).cast("int")
+        cut = F.transform(
+            F.sequence(F.lit(0), last), lambda i: F.slice(pairs, i * BLOCK + 1, F.lit(BLOCK))
         )
-        found = F.when(worth(pair["value"]), F.concat(state["found"], F.array(span)))
-        return F.struct(end.alias("at"), F.coalesce(found, state["found"]).alias("found"))
+        return F.when(F.size(pairs) > 0, _once(cut, placed)).otherwise(none)
 
-    zero = F.struct(F.lit(0).alias("at"), none.alias("found"))
-    found = F.aggregate(pairs, zero, step, lambda state: state["found"])
+    def placed(blocks: Column) -> Column:
+        begins = F.aggregate(
+            blocks,
+            F.array(F.lit(0)),
+            lambda sums, block: F.array_append(sums, F.element_at(sums, -1) + length(block)),
+        )
+        return F.flatten(F.zip_with(blocks, F.slice(begins, F.lit(1), F.size(blocks)), spans))
+
+    found = _once(pairs, in_blocks)
     tried = text.rlike("[0-9]") if sign == "" else text.contains(sign)
     if kind == "masked_email":
         tried = text.rlike(r"(?i)[\[(]at[\])]")
@@ -135,16 +163,25 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0)
 
 
-def _votes(span: Column, text: Column) -> list[Column]:
+def _cut(pieces: Column, at: Column, length: Column) -> Column:
+    """Characters from a place on, counted from 1, of a text in pieces.
+
+    Only the piece of the place and the next one are looked at, as a place in a
+    whole text is found by counting all characters before it.
+    """
+    piece = F.floor((at - 1) / PIECE).cast("int")
+    near = F.concat(F.get(pieces, piece), F.coalesce(F.get(pieces, piece + 1), F.lit("")))
+    return F.coalesce(F.substring(near, at - piece * PIECE, length), F.lit(""))
+
+
+def _votes(span: Column, pieces: Column) -> list[Column]:
     """The labelers' votes on a span: 1, -1, or 0 for none."""
     kind, value = span["kind"], span["value"]
     digits = _digits(value)
-    left = F.substring(
-        text, F.greatest(span["start"] - 39, F.lit(1)), F.least(span["start"], F.lit(40))
-    )
+    left = _cut(pieces, F.greatest(span["start"] - 39, F.lit(1)), F.least(span["start"], F.lit(40)))
     left = F.when(kind == "secret", F.concat(left, F.lit(" password "))).otherwise(left)
-    last = F.when(span["start"] > 0, F.substring(text, span["start"], F.lit(1))).otherwise(" ")
-    following = F.substring(text, span["end"] + 1, F.lit(1))
+    last = F.when(span["start"] > 0, _cut(pieces, span["start"], F.lit(1))).otherwise(" ")
+    following = _cut(pieces, span["end"] + 1, F.lit(1))
     mixed = value.rlike(r"[=:] ?\x22?(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])[A-Za-z0-9_-]{12,}$")
     listed = (
         F.when(kind.isin("email", "masked_email"), _vote(value.rlike(_DOMAINS), F.lit(False)))
@@ -177,7 +214,10 @@ def proposals(docs: DataFrame, text: str = "text") -> DataFrame:
     found = F.concat(*[_matches(plain, kind) for kind in KINDS])
     rows = docs.withColumn("_found", found)
     strict = F.filter("_found", lambda s: F.coalesce(s["strict"], F.lit(False)))
-    rows = rows.withColumn("_strict", strict)
+    pieces = F.when(
+        F.size("_found") > 0, F.regexp_extract_all(plain, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    )
+    rows = rows.withColumns({"_strict": strict, "_pieces": pieces})
     apart = F.filter(
         "_found",
         lambda s: F.coalesce(s["strict"], F.lit(False))
@@ -190,10 +230,10 @@ def proposals(docs: DataFrame, text: str = "text") -> DataFrame:
             s["start"].alias("start"),
             s["end"].alias("end"),
             F.coalesce(s["strict"], F.lit(False)).alias("base"),
-            *[v.alias(name) for name, v in zip(LABELERS, _votes(s, plain), strict=True)],
+            *[v.alias(name) for name, v in zip(LABELERS, _votes(s, F.col("_pieces")), strict=True)],
         ),
     )
-    return rows.withColumn("spans", voted).drop("_found", "_strict")
+    return rows.withColumn("spans", voted).drop("_found", "_strict", "_pieces")
 
 
 @dataclass(frozen=True)
