@@ -347,6 +347,8 @@ def linked_vectors(
     counted = _counts(members, distinct, threshold)
     known = (
         distinct.join(found, "node", "left")
+        # a vector without links is alone in its component; a null would be one key for all of them
+        .withColumn("component", F.coalesce("component", "node"))
         .join(ends, "component", "left")
         .join(counted, "node", "left")
         .select(
