@@ -50,9 +50,16 @@ def _upto(last: Column) -> Column:
 
 
 def _grams(hashes: Column) -> Column:
-    """Fingerprints of all runs of words, each with its place in the low bits."""
+    """Fingerprints of all runs of words, each with its place in the low bits.
+
+    A text of more words than these bits can tell apart fails the job.
+    """
+    fits = F.size(hashes) <= 1 << _PLACE
+    last = F.when(fits, F.size(hashes) - GRAM).otherwise(
+        F.raise_error(F.lit(f"a text has more than {1 << _PLACE} words")).cast("int")
+    )
     return F.transform(
-        _upto(F.size(hashes) - GRAM),
+        _upto(last),
         lambda i: F.shiftleft(F.xxhash64(*[hashes[i + j] for j in range(GRAM)]), _PLACE).bitwiseOR(
             i.cast("long")
         ),
@@ -113,10 +120,10 @@ def _windows(rows: DataFrame, length: int, keep: list[str], hashes: str) -> Data
     ).select(*keep, "start", "w.one", "w.two")
 
 
-def hits(docs: DataFrame, key: list[str], text: str, benchmark: DataFrame) -> DataFrame:
-    """(key..., start, length, item_id): every occurrence of a window of an item.
+def item_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(items with their word hashes, (length, one, two, item_id) of their windows), each once.
 
-    Texts and items without words have none.
+    Texts without words have none. An item of fewer than ten words is one window.
     """
     items = materialise(
         benchmark.select(
@@ -124,40 +131,68 @@ def hits(docs: DataFrame, key: list[str], text: str, benchmark: DataFrame) -> Da
         ).filter(F.size("_hashes") > 0),
         "items",
     )
-    sized = F.size("_hashes")
-    long_items, hashed = items.filter(sized >= WINDOW), _hashes(column(text)).alias("_hashes")
-    rows = docs.select(*key, hashed)
+    parts = []
+    for length in _lengths(items):
+        long = F.size("_hashes") >= WINDOW if length == WINDOW else F.size("_hashes") == length
+        found = _windows(items.filter(long), length, ["item_id"], "_hashes")
+        parts.append(found.select(F.lit(length).alias("length"), "one", "two", "item_id"))
+    return items, materialise(reduce(DataFrame.unionByName, parts).distinct(), "windows")
 
-    wanted = _windows(long_items, WINDOW, ["item_id"], "_hashes").drop("start").distinct()
-    prints = _fingerprints(long_items, ["item_id"]).select("print").distinct()
-    near = _fingerprints(rows, key).join(prints, "print")
-    found = [
-        near.select(
-            *key,
-            F.inline(
-                F.transform(
-                    _upto(F.size("near") - WINDOW),
-                    lambda i: F.struct(
-                        (i + F.col("first")).alias("start"),
-                        _window(F.col("near"), i, WINDOW).alias("w"),
-                    ),
-                )
-            ),
-        )
-        .select(*key, "start", F.lit(WINDOW).alias("length"), "w.one", "w.two")
-        .join(wanted, ["one", "two"])
-        .select(*key, "start", "length", "item_id")
-    ]
-    short = items.filter(sized < WINDOW)
-    lengths = [n for (n,) in short.select(sized).distinct().collect()]  # nine at most
-    for length in sorted(lengths):
-        whole = _windows(short.filter(sized == length), length, ["item_id"], "_hashes")
-        found.append(
-            _windows(rows, length, key, "_hashes")
-            .join(whole.drop("start").distinct(), ["one", "two"])
-            .select(*key, "start", F.lit(length).alias("length"), "item_id")
-        )
-    return reduce(DataFrame.unionByName, found)
+
+def _lengths(items: DataFrame) -> list[int]:
+    """Numbers of words of the windows: ten, and those of shorter items."""
+    sized = F.least(F.size("_hashes"), F.lit(WINDOW))
+    return sorted({WINDOW, *[n for (n,) in items.select(sized).distinct().collect()]})  # ten at most
+
+
+def hits(
+    docs: DataFrame, key: list[str], text: str, items: DataFrame, windows: DataFrame
+) -> DataFrame:
+    """(key..., start, length, one, two): every occurrence of a window of an item.
+
+    How many items hold a window makes no difference here. An occurrence that two
+    fingerprints show is there twice.
+    """
+    hashed = _hashes(column(text)).alias("_hashes")
+    rows = docs.select(*key, hashed)
+    wanted = windows.select("length", "one", "two").distinct()
+    prints = _fingerprints(items.filter(F.size("_hashes") >= WINDOW), ["item_id"])
+    near = _fingerprints(rows, key).join(prints.select("print").distinct(), "print")
+    around = near.select(
+        *key,
+        F.inline(
+            F.transform(
+                _upto(F.size("near") - WINDOW),
+                lambda i: F.struct(
+                    (i + F.col("first")).alias("start"),
+                    _window(F.col("near"), i, WINDOW).alias("w"),
+                ),
+            )
+        ),
+    ).select(*key, "start", F.lit(WINDOW).alias("length"), "w.one", "w.two")
+    found = [around]
+    for length in _lengths(items):
+        if length < WINDOW:
+            short = _windows(rows, length, key, "_hashes")
+            found.append(short.select(*key, "start", F.lit(length).alias("length"), "one", "two"))
+    return reduce(
+        DataFrame.unionByName, [part.join(wanted, ["length", "one", "two"]) for part in found]
+    ).select(*key, "start", "length", "one", "two")
+
+
+def _items_by_class(windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(length, one, two, class) of windows, and (class, item_id): windows of equal items are a class.
+
+    A phrase that many items share has many windows with the same items; its
+    documents are joined with these items once.
+    """
+    window = ["length", "one", "two"]
+    digest = lambda seed: F.sum(F.xxhash64(F.lit(seed), "item_id").cast("decimal(38,0)"))
+    sets = windows.groupBy(*window).agg(F.count("*").alias("n"), digest(1).alias("a"), digest(2).alias("b"))
+    classed = sets.select(*window, F.xxhash64("n", "a", "b").alias("class"))
+    first = classed.groupBy("class").agg(F.min(F.struct(*window)).alias("w")).select("class", "w.*")
+    named = windows.filter("item_id IS NOT NULL").join(first, window).select("class", "item_id")
+    return classed, named
 
 
 def _covered(spans: Column) -> Column:
@@ -197,20 +232,27 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         column("doc_id").alias("doc_id"), column("text").alias("_text"), *_identity(docs)
     )
     key = ["_one", "_two"]
+    items, windows = item_windows(benchmark)
+    found = materialise(hits(rows, key, "_text", items, windows), "hits")
     spans = (
-        hits(rows, key, "_text", benchmark)
+        found.groupBy(*key)
+        .agg(F.collect_set(F.struct("start", "length")).alias("spans"))
+        .select(*key, _covered(F.col("spans")).cast("long").alias("n_hit"))
+    )
+    classed, named = _items_by_class(windows)
+    window = ["length", "one", "two"]
+    held = found.select(*key, *window).distinct().join(classed, window).select(*key, "class").distinct()
+    listed = (
+        held.join(named, "class")
         .groupBy(*key)
-        .agg(
-            F.collect_set(F.struct("start", "length")).alias("spans"),
-            F.collect_set(F.col("item_id").cast("string")).alias("items"),
-        )
+        .agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
         .select(
             *key,
-            _covered(F.col("spans")).cast("long").alias("n_hit"),
             F.size("items").cast("long").alias("n_items"),
             F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
         )
     )
+    spans = spans.join(listed, key, "left")
     counted = rows.select("doc_id", *key, F.size(words(F.col("_text"))).cast("long").alias("n_words"))
     return counted.join(spans, key, "left").select(
         "doc_id",
@@ -227,7 +269,8 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     one, two = unused(docs, "_one"), unused(docs, "_two")
     marked = docs.withColumns(dict(zip((one, two), _identity(docs), strict=True)))
     rows = marked.select(column(one).alias("_one"), column(two).alias("_two"), column("text").alias("_text"))
-    found = hits(rows, ["_one", "_two"], "_text", benchmark).select(
+    items, windows = item_windows(benchmark)
+    found = hits(rows, ["_one", "_two"], "_text", items, windows).select(
         F.col("_one").alias(one), F.col("_two").alias(two)
     ).distinct()
     return marked.join(found, [one, two], "left_anti").select(*[column(c) for c in docs.columns])
