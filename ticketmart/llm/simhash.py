@@ -21,7 +21,7 @@ linked to the least one, which leaves the components the same.
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,9 @@ EDGES = (0, 13, 26, 39, 52, 64)
 #: A key shared by more fingerprints than this goes the way without pairs.
 PAIRED = 32
 
+#: Shingles of a text whose bits are held at once.
+CHUNK = 1 << 14
+
 _ALL = (1 << 64) - 1
 
 
@@ -61,10 +64,13 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     else:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(shingle, SEED) for shingle in shingles], dtype="<u8")
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    majority = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
-    return int(np.packbits(majority, bitorder="little").view("<u8")[0])
+    sums, total, left = np.zeros(64, np.int64), 0, iter(shingles)
+    while some := [digest(shingle, SEED) for shingle in islice(left, CHUNK)]:
+        hashes = np.array(some, dtype="<u8")
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        sums += bits.sum(axis=0, dtype=np.int64)
+        total += len(some)
+    return int(np.packbits(sums * 2 > total, bitorder="little").view("<u8")[0])
 
 
 def with_fingerprints(
