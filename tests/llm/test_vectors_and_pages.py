@@ -1,5 +1,7 @@
 """Embeddings against all pairs, pages against their known texts, and the pipeline."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -111,9 +113,30 @@ FRAMED = [
     ('<article>T<div class="comments"><article>c</article></div></article><aside>a</aside>', "T"),
     ("<nav>m</nav><article>T</article><aside><article>teaser</article></aside>", "T"),
     ("<nav>m</nav><footer>f</footer>", ""),
+    ('<div class="site-header">s</div><div class="main-nav">m</div><p>T</p><div class="site-footer">f</div>', "T"),
+    ('<div class="cookie-banner">c</div><p>T</p><ul class="comment-list"><li>c</ul>', "T"),
+    ('<p>T</p><div class="related-posts">r</div><div id="comments-section">c</div>', "T"),
+    ('<article>T<div class="share-buttons">s</div><div class="ad-slot">a</div><p>U</article>', "T\nU"),
+    ('<article>T<div class="ad_unit">a</div><section id="comments-section">U</section></article>', "T\nU"),
+    ('<div class="article-header"><p>T</p></div><div class="no-sidebar">U</div>', "T\nU"),
+    ('<div class="page-with-sidebar"><p>T</p></div><div class="search-results">U</div>', "T\nU"),
+    ('<article class="sidebar-right">T</article><aside><article>teaser</article></aside>', "T"),
+    ('<div class="sidebar-left"><article>T</article></div>', "T"),
+    ('<div class="sidebar-left"><p>T</p></div>', "T"),
 ]
 
 
+def test_parsing_takes_time_in_proportion():
+    """Elements that stay open, or never were, do not make every further one slower."""
+    for html in ("<b><div>", "<article>a", "<i></b><p>", "<div class=ad><article>a"):
+        times = []
+        for n in (2_000, 16_000):
+            start = time.perf_counter()
+            pages.blocks(html * n)
+            times.append(time.perf_counter() - start)
+        assert times[1] < 24 * times[0] + 0.5, html
+
+
 def test_articles_inside_frames_are_whole(spark):
     rows = [(i, f"http://h{i}.org/", html) for i, (html, _) in enumerate(FRAMED)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")

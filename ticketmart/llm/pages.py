@@ -16,7 +16,9 @@ pages may quote or copy each other.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 from urllib.parse import urlsplit
 
@@ -41,6 +43,14 @@ _FRAME_WORDS = frozenset(
     navbar navigation newsletter notice notices popup promo recommended related search share
     sharing sidebar social sponsor sponsored subscribe toolbar widget""".split()
 )
+#: Words that go with those in a compound name, as in main-nav or comment-list. Any other word
+#: may turn the meaning (page-with-sidebar, no-sidebar, search-results).
+_BESIDE = frozenset(
+    """area bar block bottom box button buttons container global left link links list main page post
+    posts primary right secondary section site slot top unit wrapper""".split()
+)
+#: Words that with `header` name the top of a site; an article has a header too.
+_SITE = frozenset(("global", "site", "top"))
 _ARTICLE = frozenset(("article", "main"))
 #: Elements whose id may come from their text and says nothing of their place: the first
 #: anywhere, the others inside an article.
@@ -69,6 +79,17 @@ _NONE, _IN_MAIN, _IN_ARTICLE = 0, 1, 2
 _Place = tuple[int, int]
 
 
+@lru_cache(65536)
+def _names_frame(mark: str) -> bool:
+    """Whether a word of a class, an id or a role names a part of the frame, alone or compound."""
+    if mark in _FRAME_WORDS:
+        return True
+    parts = frozenset(re.split("[-_]+", mark)) - {""}
+    if "header" in parts:
+        return len(parts) > 1 and parts <= _SITE | {"header"}
+    return not parts.isdisjoint(_FRAME_WORDS) and parts <= _FRAME_WORDS | _BESIDE
+
+
 class _Frame:
     """Why the text of an element belongs to no article.
 
@@ -96,6 +117,8 @@ class _Blocks(HTMLParser):
         self._open: list[tuple[str, _Frame | None, _Place, bool, _Frame | None]] = []
         self._parts: dict[tuple[_Frame | None, _Place], list[str]] = {}
         self._mains = 0
+        self._count: Counter[str] = Counter()  # open elements of each tag
+        self._frames: list[_Frame] = []  # frames that open elements have opened
 
     def _flush(self) -> None:
         for (frame, article), parts in self._parts.items():
@@ -120,7 +143,9 @@ class _Blocks(HTMLParser):
         named = tag in _HEADINGS or (article and tag in _ANCHORS)
         kinds = ("class", "role") if named else ("class", "id", "role")
         marks = " ".join(v or "" for k, v in attrs if k in kinds).lower().split()
-        return None if _FRAME_WORDS.isdisjoint(marks) else _Frame(tag, True)
+        # an article may name the layout around it, so there only a whole word counts
+        named = _FRAME_WORDS.__contains__ if tag == "article" else _names_frame
+        return _Frame(tag, True) if any(map(named, marks)) else None
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
@@ -137,9 +162,10 @@ class _Blocks(HTMLParser):
         _, frame, article, silent, _ = self._inner()
         own = self._framed_by(tag, attrs, article[0])
         if tag in _ARTICLE:
-            for _, _, _, _, opened in self._open:
-                if opened:
-                    opened.holds_article = True
+            for opened in reversed(self._frames):
+                if opened.holds_article:
+                    break  # and so do those around it
+                opened.holds_article = True
             if tag == "article" and frame and frame.strength():
                 own = _Frame(tag, True, None if own else frame)
             frame = own
@@ -151,6 +177,9 @@ class _Blocks(HTMLParser):
         elif own and not (frame and frame.strength() > own.strength()):
             frame = own
         self._open.append((tag, frame, article, silent or tag in _SILENT, own))
+        self._count[tag] += 1
+        if own:
+            self._frames.append(own)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br" or tag in _BLOCKS:
@@ -165,12 +194,18 @@ class _Blocks(HTMLParser):
 
     def _close(self, tag: str, walls: frozenset[str]) -> None:
         """Closes the last open element of that name, and all within, up to a wall."""
+        if not self._count[tag]:
+            return
         for at in range(len(self._open) - 1, -1, -1):
             name = self._open[at][0]
             if name == tag:
                 if self._open[at][4]:
                     self._open[at][4].closed = True
                 self.left_open.update(element[0] for element in self._open[at + 1 :])
+                for element in self._open[at:]:
+                    self._count[element[0]] -= 1
+                    if element[4]:
+                        self._frames.pop()
                 del self._open[at:]
                 return
             if name in walls:
