@@ -12,6 +12,7 @@ is marked; the model is then learnt from all of it.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -61,18 +62,21 @@ _HASHES = _Hashes()
 
 def features(text: str | None) -> np.ndarray:
     """Distinct places of a text's features, in order; none for a text without words."""
+    return np.unique(_places(text))
+
+
+def _places(text: str | None) -> np.ndarray:
     words = (text or "").encode("utf-8", "replace").translate(_FOLD).split()
     if not words:
         return np.empty(0, np.int64)
-    hashes = [_HASHES[word] for word in words]
-    one = np.array([of_word[0] for of_word in hashes], np.uint64)
-    begun = [value for of_word in set(hashes) for value in of_word[1:]]
+    one = np.fromiter((_HASHES[word][0] for word in words), np.uint64, len(words))
+    begun = [value for word in set(words) for value in _HASHES[word][1:]]
     parts = [one, np.array(begun, np.uint64)]
     for gap, name in ((1, "pair"), (2, "skip")):
         a, b = _MIX[name]
         parts.append(one[:-gap] * a + one[gap:] * b)
     places = np.concatenate(parts) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)
-    return np.unique(places.astype(np.int64))
+    return places.astype(np.int64)
 
 
 @dataclass(frozen=True)
@@ -128,8 +132,20 @@ class Model:
         at = np.minimum(np.searchsorted(self.places, found), len(self.places) - 1)
         return float(self.bias + self.weights[at][self.places[at] == found].sum())
 
+    @cached_property
+    def _dense(self) -> np.ndarray:
+        dense = np.zeros(1 << BITS)
+        dense[self.places] = self.weights
+        return dense
+
     def score(self, text: str | None) -> float:
-        return _logistic(self.logit(features(text)))
+        """As the logit of its features says, of which only those with a weight are sorted."""
+        found = _places(text)
+        return _logistic(self.logit(np.unique(found[self._dense[found] != 0])))
+
+    def __getstate__(self) -> dict:
+        """What tasks receive: places and weights."""
+        return {"places": self.places, "weights": self.weights, "bias": self.bias}
 
 
 def _logistic(value: float) -> float:
