@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -145,6 +147,21 @@ def test_base_spans_equal_the_plain_patterns(spark):
     assert personal_data.find(documents(spark, rows).limit(0)).collect() == []
 
 
+def test_texts_of_very_many_spans(spark):
+    """Places of 20,000 matches, at ends of blocks and within, in a text of one kind and of two."""
+    emails = " ".join(f"a{i}@x.org" for i in range(20_000))
+    both = " ".join(f"b{i}@y.org 10.0.{i % 300}.{i % 256}" for i in range(65))
+    rows = [(1, emails), (2, both), (3, "c@d.org " * 32), (4, "c@d.org " * 33)]
+    started = time.perf_counter()
+    found = {r.doc_id: r for r in personal_data.find(documents(spark, rows)).collect()}
+    assert time.perf_counter() - started < 60
+    for doc_id, text in rows:
+        spans = plain_spans(text)
+        assert found[doc_id].n_email == sum(kind == "email" for kind, _, _ in spans)
+        listed = ",".join(f"{kind}:{a}:{b}" for kind, a, b in spans)
+        assert found[doc_id].base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+
+
 def test_the_classifier_adds_spans_and_refuses_others(spark):
     rows = [(i, f"write to a{i}@site.com or call +1 (212) 555-{1000 + i}") for i in range(40)]
     rows += [(100 + i, f"password=b7db7aa4a5fcc7{i:04d} and 411111111111111{i % 10}") for i in range(20)]
@@ -270,6 +287,24 @@ def test_contamination_equals_a_plain_search(spark, seed):
     assert not any(r.contaminated for r in decontamination.contamination(frame, bench.limit(0)).collect())
 
 
+def test_items_that_share_a_phrase_are_met_once(spark):
+    phrase = " ".join(f"w{i}" for i in range(13))  # four windows
+    items = [(i, f"{phrase} own{i} a b") for i in range(300)] + [(None, f"{phrase} x")]
+    docs = [(i, f"{i} {phrase} {i}") for i in range(50)] + [(99, "own7 a b")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.contamination(documents(spark, docs), bench).collect()
+    named = ",".join(sorted(str(i) for i in range(300)))
+    digest = hashlib.sha256(named.encode()).hexdigest()
+    for r in found:
+        expected = (13, 300, digest) if r.doc_id < 99 else (0, 0, hashlib.sha256(b"").hexdigest())
+        assert (r.n_hit, r.n_items, r.items_sha256) == expected
+    kept, windows = decontamination.item_windows(bench)
+    hits = decontamination.hits(documents(spark, docs), ["doc_id"], "text", kept, windows)
+    assert hits.distinct().count() == 50 * 4 and hits.count() < 50 * 4 * 3
+    _, named = decontamination._items_by_class(windows)
+    assert named.count() == 300 + 300 * 3  # the phrase's class, and each item's own windows
+
+
 # -- quality and toxicity
 
 
@@ -503,6 +538,22 @@ def test_fingerprints_count_repeated_shingles():
     assert simhash.fingerprint(None) == 0
 
 
+def test_fingerprints_of_long_texts_take_bounded_memory():
+    chance = random.Random(1)
+    words = [f"w{chance.randrange(5000)}" for _ in range(3 * simhash.CHUNK + 7)]
+    text = " ".join(words)
+    sums = [0] * 64
+    for i in range(len(words) - 2):
+        value = simhash.xxhash.xxh64_intdigest(" ".join(words[i : i + 3]), simhash.SEED)
+        for bit in range(64):
+            sums[bit] += 2 * (value >> bit & 1) - 1
+    assert simhash.fingerprint(text) == sum(1 << bit for bit in range(64) if sums[bit] > 0)
+    tracemalloc.start()
+    simhash.fingerprint("some words " * 1_000_000)
+    assert tracemalloc.get_traced_memory()[1] < 400_000_000
+    tracemalloc.stop()
+
+
 def test_near_copies_of_odd_rows(spark):
     text = " ".join(f"w{i}" for i in range(400))
     rows = [*EMPTY_CASES, (10, text), (11, text), (11, text), (None, text), (12, text.upper())]
