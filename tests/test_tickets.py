@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ticketmart import schemas
 from ticketmart.config import scratch
 from ticketmart.operators import pii, reshape
+from ticketmart.plans import answers
 from ticketmart.plans import tickets as plan
 from ticketmart.sinks import tables
 from ticketmart.sources import tickets as landed
@@ -163,6 +164,32 @@ def test_many_questions_change_neither_schema_nor_types(spark):
     assert (row.question_2999, row.invoice_policy, row.country_or_region) == ("2999", 7.0, "KR")
 
 
+def test_encoded_answers_are_those_of_the_wide_table(spark):
+    def one(reg_no, *data, **more):
+        return payload(id=reg_no, reg_no=reg_no, updated_at=float(reg_no), data=[*data], **more)
+
+    records = [
+        one(1, ["Q one", "a"], ["Q two", "b"], ["Dietary Habit / 餐點偏好", "meat"]),
+        one(2, ["Dietary Preference / 飲食偏好", "fish"], ["q  ONE?", "c"], ["Nickname / 暱稱", "Robin"]),
+        one(3, ["Come From / 國家或地區", "null"], ["來自國家、地區或縣市", "KR"], {"k": "v"}, ["Q one", "z"]),
+        one(4, ["new HERE", "yes"], ["New here?", "no"], ["Rare", None], campaign="spring"),
+        payload(id=9, reg_no=1, updated_at=50.0, data=[["Q one", "later"], ["Q two", "d"]]),
+    ]
+    orders = raw(spark, *records)
+    kept, found = answers.encoded_answers(orders)
+    wide = plan.wide_rows(orders)
+    known = [r.name for r in kept.orderBy("name_id").collect()]
+    assert known == sorted(known) and "nickname" not in known and "campaign" in known
+    view = {r.registration_no: r for r in answers.wide_view(kept, found, known).collect()}
+    for row in wide.collect():
+        assert [view[row.registration_no][name] for name in known] == [row[name] for name in known]
+    many = [[f"Question {i}", str(i)] for i in range(3000)]
+    more, values = answers.encoded_answers(raw(spark, payload(data=many)))
+    assert (more.schema, values.schema) == (kept.schema, found.schema)
+    assert (more.count(), values.count()) == (3000, 3000)
+    assert answers.encoded_answers(orders.limit(0))[1].collect() == []
+
+
 ODD = [["q", "a"], None, [], ["z"], {"k": "v"}, 5, "text", ["t", "a", "b"], [None, "x"], [7, 2600.5]]
 
 

@@ -11,6 +11,7 @@ from ticketmart.checks.derive import TICKETS_SQL
 from ticketmart.checks.registry import check, new_table_name, table
 from ticketmart.config import scratch
 from ticketmart.operators import filters, harmonise, joins, payload, pii, reshape, statistics
+from ticketmart.plans import answers
 from ticketmart.plans import tickets as plan
 from ticketmart.sinks import tables
 from ticketmart.sources import tickets as landed
@@ -651,3 +652,20 @@ def canonical_sets(spark: SparkSession, folder: str) -> DataFrame:
     return met.select(
         "year", "ticket_group", "name", F.coalesce("found", F.lit(False)).alias("is_asked")
     )
+
+
+@check(f"""WITH {TICKETS_SQL},
+latest AS (
+  SELECT * FROM tickets WHERE contains(lower(name), 'corporate')
+  QUALIFY row_number() OVER (PARTITION BY event_id, reg_no ORDER BY updated_at DESC, id DESC) = 1)
+SELECT * FROM (
+  SELECT event_id, reg_no AS registration_no, unnest(['dietary_habit', 'country_or_region',
+    'organization', 'job_title', 'email']) AS name, unnest([diet, country, company, job, email]) AS value
+  FROM latest)
+WHERE value IS NOT NULL
+""")
+def answers_encoded(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers by ids of names, and the names of the ids."""
+    rows = derive.order_rows(spark, folder).where(F.contains(F.lower("name"), F.lit("corporate")))
+    names, found = answers.encoded_answers(rows)
+    return found.join(names, "name_id").select("event_id", "registration_no", "name", "value")

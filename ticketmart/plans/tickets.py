@@ -181,29 +181,20 @@ def wide_rejects(orders: DataFrame) -> DataFrame:
     return orders.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
-def wide_rows(
-    orders: DataFrame,
-    update_after: float | None = None,
-    rules: harmonise.NameRules = harmonise.CURRENT,
-    questions: Sequence[str] | None = None,
-    strict: bool = False,
-    events: bool = False,
-    odd: bool = False,
+# fields that are no questions
+_KNOWN = (*schemas.PAYLOAD_FIELDS, SEARCH_TEXT)
+
+
+def wide_records(
+    orders: DataFrame, update_after: float | None = None, strict: bool = False
 ) -> DataFrame:
-    """One row per registration number, one column per harmonised question.
+    """Payloads of orders that a wide table can take: their fields, typed, and `data`.
 
-    The columns are planned from the distinct questions of all orders, however
-    many, which is one aggregation over the data. Pass the questions if a form
-    lists them: answers to others fill the column of their target name or are
-    whole under it in the map `other_answers`, private ones left out. Numbers may
-    be given as text. A ticket whose registration number or price is no number is
-    left out (`wide_rejects` gives it) or, if strict, fails the job. `events` adds
-    the id of the event, each of which has its own numbers, and `odd` the column `odd_answers`: JSON texts of pairs
-    that are no question with one answer, of which the other answers lose nothing.
+    `_event` is the id of the order's event. Tickets whose numbers are none are
+    left out or, if strict, fail the job.
     """
     if "updated_at" in orders.columns:  # reaches the scan, unlike a field of the payload
         orders = filters.updated_since(orders, F.col("updated_at"), update_after)
-    known = [*schemas.PAYLOAD_FIELDS, SEARCH_TEXT]
     info = F.col("attendee_info")
     records = orders.select(
         info, F.col("id").alias("_event"), F.from_json(info, _WIDE_SCHEMA).alias("payload")
@@ -220,12 +211,54 @@ def wide_rows(
         reason = _not_a_number(F.col("reg_no"), F.col("price"))
         fail = F.raise_error(F.concat(reason, F.lit(": "), info)).cast("boolean")
         records = records.where(F.when(reason.isNotNull(), fail).isNull())
-    records = records.withColumns(
+    return records.withColumns(
         {
             "reg_no": F.col("reg_no").cast("long"),
             "price": F.nullif(F.trim("price"), F.lit("")).cast("double"),
         }
     )
+
+
+def record_pairs(added: bool) -> Column:
+    """All pairs of a record; with `added`, fields that the ticket system adds come first."""
+    info = F.col("attendee_info")
+    pairs = F.coalesce(
+        answer_pairs(info, F.col("data")), F.array().cast("array<array<string>>")
+    )
+    if not added:
+        return pairs
+    extra = F.map_entries(unknown_fields(info, _KNOWN))
+    return F.concat(F.transform(extra, lambda entry: F.array(entry["key"], entry["value"])), pairs)
+
+
+def record_names(records: DataFrame) -> DataFrame:
+    """Distinct names of added fields and of questions, with where each is seen first."""
+    asked = F.transform(record_pairs(False), reshape.question_of)
+    added = unknown_names(F.col("attendee_info"), _KNOWN)
+    return reshape.question_names(records, added, asked, F.col("updated_at"))
+
+
+def wide_rows(
+    orders: DataFrame,
+    update_after: float | None = None,
+    rules: harmonise.NameRules = harmonise.CURRENT,
+    questions: Sequence[str] | None = None,
+    strict: bool = False,
+    events: bool = False,
+    odd: bool = False,
+) -> DataFrame:
+    """One row per registration number, one column per harmonised question.
+
+    The columns are planned from the distinct questions of all orders, however
+    many, which is one aggregation over the data. Pass the questions if a form
+    lists them: answers to others fill the column of their target name or are
+    whole under it in the map `other_answers`, private ones left out. Numbers may
+    be given as text. A ticket whose registration number or price is no number is
+    left out (`wide_rejects` gives it) or, if strict, fails the job. `events` adds
+    the id of the event, each of which has its own numbers, and `odd` the column `odd_answers`: JSON texts of pairs
+    that are no question with one answer, of which the other answers lose nothing.
+    """
+    records = wide_records(orders, update_after, strict)
     fields = {
         "registration_no": F.col("reg_no"),
         **{vocab.PAYLOAD_RENAMES.get(name, name): F.col(name) for name in _WIDE_FIELDS},
@@ -234,26 +267,14 @@ def wide_rows(
         "_record": F.col("id"),
         **({"event_id": F.col("_event")} if events else {}),
     }
-    pairs = F.coalesce(
-        answer_pairs(info, F.col("data")), F.array().cast("array<array<string>>")
-    )
     if odd:
-        fields["odd_answers"] = odd_pairs(info, F.col("data"))
+        fields["odd_answers"] = odd_pairs(F.col("attendee_info"), F.col("data"))
     added, listed = [], questions is not None
     if questions is None:
         # fields that the ticket system adds are taken as questions too, before the others
-        asked = F.transform(pairs, reshape.question_of)
-        names = reshape.question_names(
-            records, unknown_names(info, known), asked, F.col("updated_at")
-        )
-        added, questions = reshape.names_in_order(names)
+        added, questions = reshape.names_in_order(record_names(records))
         questions = [*added, *questions]
-    if added or listed:
-        extra = F.map_entries(unknown_fields(info, known))
-        pairs = F.concat(
-            F.transform(extra, lambda entry: F.array(entry["key"], entry["value"])), pairs
-        )
-    records = records.withColumn("pairs", pairs)
+    records = records.withColumn("pairs", record_pairs(bool(added or listed)))
 
     wide = reshape.pairs_to_wide(
         records,
