@@ -338,6 +338,67 @@ def test_quality_rules_hold_on_unseen_rows(spark):
     assert quality.with_scores(docs.limit(0), rules).collect() == []
 
 
+def test_rules_score_as_they_read(spark):
+    """The compiled expression against a walk over the conditions, on whole texts."""
+    docs, labels = labelled(spark, 300)
+    rules = quality.fit(docs, labels)
+    assert any(len(conditions) > 1 for conditions, _ in rules.rules)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in quality.with_scores(docs, rules).collect():
+        found = quality.statistics(texts[r.doc_id])
+        total = rules.bias + sum(
+            weight
+            for conditions, weight in rules.rules
+            if all((found[i] > bound) == above for i, bound, above in conditions)
+        )
+        assert r.score == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-12)
+
+
+def test_lasso_weights_meet_the_conditions_of_an_optimum():
+    chance = np.random.default_rng(2)
+    x = (chance.random((400, 12)) < 0.4).astype(float)
+    y = (chance.random(400) < 1 / (1 + np.exp(1 - 3 * x[:, 0] + 2 * x[:, 1]))).astype(float)
+    penalty = 0.02
+    weights, bias = quality._lasso(x, y, penalty, 3000)
+    scale = np.sqrt(x.mean(axis=0) * (1 - x.mean(axis=0)))
+    error = 1 / (1 + np.exp(-(x @ weights + bias))) - y
+    slope = ((x - x.mean(axis=0)) / scale).T @ error / len(y)
+    used = np.abs(weights) > 1e-9
+    assert 0 < used.sum() < 12 and abs(error.mean()) < 1e-4
+    assert np.allclose(slope[used], -penalty * np.sign(weights[used]), atol=1e-3)
+    assert (np.abs(slope[~used]) <= penalty + 1e-3).all()
+
+
+def test_learner_takes_the_steps_of_ftrl_proximal():
+    """The vectors of the learner against the formulas, place by place."""
+    chance = random.Random(6)
+    rates = toxicity.Rates(alpha=0.7, beta=0.5, l1=0.3, l2=0.2)
+    learner, z, n, bias = toxicity.Learner(rates), {}, {}, 1 << toxicity.BITS
+
+    def weight(i):
+        l1 = 0.0 if i == bias else rates.l1
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        pull = l1 if z[i] > 0 else -l1
+        return (pull - z[i]) / ((rates.beta + n.get(i, 0.0) ** 0.5) / rates.alpha + rates.l2)
+
+    for _ in range(300):
+        places = sorted(chance.sample(range(40), chance.randint(0, 9)))
+        label = int(bool(set(places) & {3, 5}))
+        learner.learn(np.array(places, np.int64), label)
+        every = [*places, bias]
+        weights = {i: weight(i) for i in every}
+        gradient = 1 / (1 + np.exp(-sum(weights.values()))) - label
+        for i in every:
+            before = n.get(i, 0.0)
+            n[i] = before + gradient**2
+            z[i] = z.get(i, 0.0) + gradient - (n[i] ** 0.5 - before**0.5) / rates.alpha * weights[i]
+    model = learner.model()
+    expected = {i: weight(i) for i in range(40) if weight(i)}
+    assert dict(zip(model.places.tolist(), model.weights.tolist(), strict=True)) == pytest.approx(expected)
+    assert model.bias == pytest.approx(weight(bias)) and {3, 5} <= set(expected)
+
+
 def test_toxicity_weights_are_few_and_hold_on_unseen_rows(spark):
     docs, labels = labelled(spark)
     model = toxicity.fit(docs, labels, allowed=F.col("doc_id") < 400)
