@@ -49,7 +49,7 @@ class _Hashes(dict):
     """Hashes of words already seen and of their beginnings; begun anew when it has grown large."""
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= 250_000:
+        if len(self) >= 100_000:
             self.clear()
         letters = word.decode("utf-8", "replace")
         begun = [f"^{letters[:n]}" for n in BEGINNINGS if len(letters) > n]
