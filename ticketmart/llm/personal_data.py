@@ -121,18 +121,21 @@ def _matches(text: Column, kind: str) -> Column:
         return F.aggregate(of, F.lit(0), lambda sum_, p: sum_ + p["gap"] + F.length(p["value"]))
 
     def spans(block: Column, begin: Column) -> Column:
-        def span(pair: Column, i: Column) -> Column:
+        def ended(pair: Column, i: Column) -> Column:
             end = begin + length(F.slice(block, F.lit(1), i + 1))
+            return F.struct(end.alias("end"), pair["value"].alias("value"))
+
+        def span(match: Column) -> Column:
             return F.struct(
                 F.lit(kind).alias("kind"),
-                (end - F.length(pair["value"])).alias("start"),
-                end.alias("end"),
-                pair["value"].alias("value"),
-                strict(pair["value"]).cast("boolean").alias("strict"),
+                (match["end"] - F.length(match["value"])).alias("start"),
+                match["end"].alias("end"),
+                match["value"].alias("value"),
+                strict(match["value"]).cast("boolean").alias("strict"),
             )
 
-        good = F.filter(F.transform(block, span), lambda s: worth(s["value"]))
-        return good
+        good = F.filter(F.transform(block, ended), lambda match: worth(match["value"]))
+        return F.transform(good, span)
 
     # a sum up to each match would grow with their square: sums inside blocks, and over blocks
     def in_blocks(pairs: Column) -> Column:
