@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmart.checks.registry import TASKS, table
+from ticketmart.checks.registry import table, tasks_for
 from ticketmart.operators.payload import to_payload_text
 
 COMPANY = "Company  / 服務單位 (For students or teachers, fill in the School + Department Name)"
@@ -75,8 +75,9 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _registrations(spark: SparkSession, folder: str) -> DataFrame:
+    orders = table(spark, folder, "orders")
     rows = (
-        table(spark, folder, "orders").repartition(TASKS)
+        orders.repartition(tasks_for(orders))
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
@@ -126,10 +127,15 @@ def _payload() -> F.Column:
     )
 
 
+def _landed() -> F.Column:
+    """The payload's text, generated, as Spark would write it anew for every filter on it."""
+    return F.explode(F.array(to_payload_text(_payload())))
+
+
 def attendees(spark: SparkSession, folder: str) -> DataFrame:
     """Landed attendees, not yet de-identified: (event_id, attendee_info)."""
     return _registrations(spark, folder).select(
-        "event_id", to_payload_text(_payload()).alias("attendee_info")
+        "event_id", _landed().alias("attendee_info")
     )
 
 
@@ -139,6 +145,6 @@ def order_rows(spark: SparkSession, folder: str) -> DataFrame:
     return _registrations(spark, folder).select(
         F.col("event_id").alias("id"),
         "name",
-        to_payload_text(_payload()).alias("attendee_info"),
+        _landed().alias("attendee_info"),
         F.when(status == "F", True).when(status == "O", False).alias("refunded"),
     )

@@ -11,6 +11,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # the given tables are few files; rows are spread over so many tasks before heavy work
 TASKS = 16
+# over more tasks for larger tables, so that what one of them sorts stays the same
+TASK_ROWS = 500_000
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -32,6 +34,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tasks_for(rows: DataFrame) -> int:
+    """Number of tasks for a table as it is read, by its number of rows, which its files tell."""
+    return max(TASKS, -(-rows.count() // TASK_ROWS))
+
+
 def new_table_name(label: str) -> str:
     """Name for a table of one query run."""
     return f"{label}_{uuid.uuid4().hex}"
