@@ -59,29 +59,39 @@ def extract_sensitive(pairs: Column, markers: Sequence[str] = SENSITIVE_MARKERS)
     )
 
 
-def _text_of(value: Column) -> Column:
-    """Text of a JSON value as the hashes expect it: True, False, and 2600.0 for a whole float."""
-    text = F.try_variant_get(value, "$", "string")
+def _text_of(text: Column, value: Column) -> Column:
+    """Text of a JSON value as the hashes expect it: True, False, and 2600.0 for a whole float.
+
+    Its kind is looked up only for texts that it can change.
+    """
     kind = F.schema_of_variant(value)
-    whole_float = kind.rlike("^(DECIMAL|DOUBLE|FLOAT)") & text.rlike("^-?[0-9]+$")
+    whole_float = text.rlike("^-?[0-9]+$") & kind.rlike("^(DECIMAL|DOUBLE|FLOAT)")
     return (
-        F.when((kind == "BOOLEAN") & text.isin("true", "false"), F.initcap(text))
+        F.when(text.isin("true", "false") & (kind == "BOOLEAN"), F.initcap(text))
         .when(whole_float, F.concat(text, F.lit(".0")))
         .otherwise(text)
     )
 
 
-def _hashed_pair_text(pair: Column, markers: Sequence[str]) -> Column:
-    """Text of a pair with its answer hashed; what is no such pair stays as it is."""
+def _hashed_pair_text(pair: Column, question: Column, markers: Sequence[str]) -> Column:
+    """Text of a pair with its answer hashed; what is no such pair stays as it is.
+
+    Inside a function over an array Spark evaluates an expression as often as it is
+    named, so parts are read by their paths, and those of an array only where the
+    question is a sensitive one.
+    """
+    part = lambda at, kind: F.try_variant_get(pair, f"$[{at}]", kind)
     parts = F.try_variant_get(pair, "$", "array<variant>")
-    question = F.try_variant_get(F.get(parts, F.lit(0)), "$", "string")
-    rest = F.transform(F.slice(parts, 3, F.greatest(F.size(parts), F.lit(3))), lambda part: F.to_json(part))
-    answer = sha256_text(_text_of(F.get(parts, F.lit(1))))
-    first = F.concat(F.to_json(F.get(parts, F.lit(0))), F.lit(',"'), answer, F.lit('"'))
+    answer = sha256_text(_text_of(part(1, "string"), part(1, "variant")))
+    more = F.transform(
+        F.slice(parts, 3, F.greatest(F.size(parts), F.lit(3))),
+        lambda value: F.concat(F.lit(","), F.to_json(value)),
+    )
     hashed = F.concat(
-        F.lit("["), F.array_join(F.concat(F.array(first), rest), ","), F.lit("]")
+        F.lit("["), F.to_json(part(0, "variant")), F.lit(',"'), answer, F.lit('"'),
+        F.when(F.size(parts) > 2, F.array_join(more, "")).otherwise(""), F.lit("]"),
     )
-    wanted = _is_sensitive(question, markers) & (F.size(parts) >= 2)
+    wanted = F.coalesce(_is_sensitive(question, markers), F.lit(False)) & (F.size(parts) >= 2)
     return F.when(F.coalesce(wanted, F.lit(False)), hashed).otherwise(
         F.coalesce(F.to_json(pair), F.lit("null"))
     )
@@ -104,10 +114,8 @@ def deidentify(
     `readable` tells such payloads, which are to be put aside.
     """
     opened = tickets.withColumn("_fields", F.from_json(column, "map<string,variant>"))
-    steps = opened.withColumns(
-        {
-            "_pairs": F.try_variant_get(F.col("_fields")["data"], "$", "array<variant>"),
-        }
+    steps = opened.withColumn(
+        "_pairs", F.try_variant_get(F.col("_fields")["data"], "$", "array<variant>")
     ).withColumns(
         {
             "_rest": F.to_json(
@@ -119,7 +127,12 @@ def deidentify(
                 {"ignoreNullFields": "false"},
             ),
             "_pairs": F.array_join(
-                F.transform("_pairs", lambda pair: _hashed_pair_text(pair, markers)), ","
+                F.zip_with(
+                    "_pairs",
+                    F.transform("_pairs", lambda pair: F.try_variant_get(pair, "$[0]", "string")),
+                    lambda pair, question: _hashed_pair_text(pair, question, markers),
+                ),
+                ",",
             ),
         }
     )
