@@ -20,9 +20,11 @@ def to_payload_text(payload: Column) -> Column:
 
 def _text_of(value: Column) -> Column:
     """A JSON value as the typed view gives it: text as it is, null as missing, all else as JSON."""
-    text = F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
-    whole_float = F.schema_of_variant(value).rlike("^(DECIMAL|DOUBLE|FLOAT)") & text.rlike(
-        "^-?[0-9]+$"
+    scalar = F.try_variant_get(value, "$", "string")
+    text = F.coalesce(scalar, F.to_json(value))
+    # the kind is looked up only for texts that it can change
+    whole_float = scalar.rlike("^-?[0-9]+$") & F.schema_of_variant(value).rlike(
+        "^(DECIMAL|DOUBLE|FLOAT)"
     )
     return F.when(~F.is_variant_null(value), F.when(whole_float, F.concat(text, F.lit(".0"))).otherwise(text))
 
@@ -39,15 +41,29 @@ def answer_pairs(document: Column, typed: Column) -> Column:
     element is no list; only then are the elements read one by one. A pair may have
     any number of parts.
     """
-    listed = F.filter(
-        F.transform(_parts(F.from_json(document, "data variant")["data"]), _parts),
-        lambda parts: parts.isNotNull(),
-    )
+    listed = _listed(document)
     return F.coalesce(
         typed, F.transform(listed, lambda parts: F.transform(parts, _text_of))
     )
 
 
+def pair_questions(document: Column, typed: Column) -> Column:
+    """Questions of `answer_pairs`, without the texts of the answers."""
+    first = lambda parts: F.get(parts, F.lit(0))
+    return F.coalesce(
+        F.transform(typed, first),
+        F.transform(_listed(document), lambda parts: _text_of(first(parts))),
+    )
+
+
+def _listed(document: Column) -> Column:
+    """Parts of all elements of `data` that are lists."""
+    return F.filter(
+        F.transform(_parts(F.from_json(document, "data variant")["data"]), _parts),
+        lambda parts: parts.isNotNull(),
+    )
+
+
 def odd_pairs(document: Column, typed: Column) -> Column:
     """JSON texts of what is in `data` and is no question with one answer; missing if there is none.
 
@@ -59,7 +75,7 @@ def odd_pairs(document: Column, typed: Column) -> Column:
     )
 
     def is_odd(pair: Column) -> Column:
-        question = F.get(_parts(pair), F.lit(0))
+        question = F.try_variant_get(pair, "$[0]", "variant")
         good = (F.size(_parts(pair)) == 2) & ~F.is_variant_null(question)
         return ~F.coalesce(good, F.lit(False))
 

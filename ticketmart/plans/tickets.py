@@ -18,6 +18,7 @@ from ticketmart.operators.payload import (
     answer_pairs,
     json_value,
     odd_pairs,
+    pair_questions,
     parse_payload,
     unknown_fields,
     unknown_names,
@@ -196,9 +197,9 @@ def wide_records(
     if "updated_at" in orders.columns:  # reaches the scan, unlike a field of the payload
         orders = filters.updated_since(orders, F.col("updated_at"), update_after)
     info = F.col("attendee_info")
-    records = orders.select(
-        info, F.col("id").alias("_event"), F.from_json(info, _WIDE_SCHEMA).alias("payload")
-    )
+    # generated, as a filter on a parsed column would parse once more
+    parsed = F.explode(F.array(F.from_json(info, _WIDE_SCHEMA)))
+    records = orders.select(info, F.col("id").alias("_event"), parsed.alias("payload"))
     # one condition over one parse; on the single fields Spark would parse for each of them
     number = lambda p: _not_a_number(p["reg_no"], p["price"]).isNull()
     if not strict:
@@ -233,7 +234,8 @@ def record_pairs(added: bool) -> Column:
 
 def record_names(records: DataFrame) -> DataFrame:
     """Distinct names of added fields and of questions, with where each is seen first."""
-    asked = F.transform(record_pairs(False), reshape.question_of)
+    questions = pair_questions(F.col("attendee_info"), F.col("data"))
+    asked = F.coalesce(questions, F.array().cast("array<string>"))
     added = unknown_names(F.col("attendee_info"), _KNOWN)
     return reshape.question_names(records, added, asked, F.col("updated_at"))
 
