@@ -363,12 +363,15 @@ def _odd_attendees(spark: SparkSession, folder: str) -> DataFrame:
     rows = derive.attendees(spark, folder)
     key = F.get_json_object("attendee_info", "$.id").cast("long")
     info = F.col("attendee_info")
-    return rows.select(
-        F.when(key % 11 != 1, F.col("event_id")).alias("event_id"),
+    odd = (
         F.when(key % 7 == 3, F.substr(info, F.lit(1), F.length(info) - 5))
         .when(key % 13 == 2, F.regexp_replace(info, '"updated_at":[^,]*,', ""))
         .otherwise(info)
-        .alias("attendee_info"),
+    )
+    # generated, so that filters on the text do not make it anew
+    return rows.select(
+        F.when(key % 11 != 1, F.col("event_id")).alias("event_id"),
+        F.explode(F.array(odd)).alias("attendee_info"),
     )
 
 
@@ -383,7 +386,7 @@ def ticket_rejects(spark: SparkSession, folder: str) -> DataFrame:
     rows = _odd_attendees(spark, folder)
     events = derive.events(spark, folder).where("event_id % 10 <> 3")
     rejected, waiting = plan.sort_out(events, rows)
-    good = rows.join(rejected, ["event_id", "attendee_info"], "left_anti")
+    good = plan.takeable(rows)
     outcome = (
         rejected.select(F.col("reason").alias("outcome"))
         .unionByName(waiting.select(F.lit("waiting").alias("outcome")))

@@ -95,18 +95,24 @@ def sort_out(event_rows: DataFrame, attendees: DataFrame) -> tuple[DataFrame, Da
     those who may see personal data. All other attendees are either loaded or
     left out by the selection's own conditions.
     """
+    rejected = attendees.withColumn("reason", _reject_reason()).where(F.col("reason").isNotNull())
+    waiting = joins.join_on(takeable(attendees), event_rows, ["event_id"], "left_anti")
+    return rejected, waiting
+
+
+def _reject_reason() -> Column:
+    """Why no load can take an attendee; null if one can."""
     timed = F.get_json_object("attendee_info", "$.updated_at").try_cast("double").isNotNull()
-    reason = (
+    return (
         F.when(F.col("event_id").isNull(), "no event id")
         .when(~readable(), "payload is no JSON object")
         .when(~timed, "no time of update")
     )
-    checked = attendees.withColumn("reason", reason)
-    rejected = checked.where(F.col("reason").isNotNull())
-    waiting = joins.join_on(
-        checked.where(F.col("reason").isNull()).drop("reason"), event_rows, ["event_id"], "left_anti"
-    )
-    return rejected, waiting
+
+
+def takeable(attendees: DataFrame) -> DataFrame:
+    """Attendees that `sort_out` does not reject, known from their own row."""
+    return attendees.where(_reject_reason().isNull())
 
 
 def order_rows(tickets: DataFrame) -> DataFrame:
