@@ -201,6 +201,13 @@ def wide_rows_updated_after(spark: SparkSession, folder: str) -> DataFrame:
     return plan.wide_rows(plan.orders_of(derive.order_rows(spark, folder), year, "reserved"), since)
 
 
+def _asked(orders: DataFrame) -> DataFrame:
+    """Questions of all pairs; of equal lists of them, as versions of a form have, one is taken apart."""
+    asked = F.transform("payload.data", reshape.question_of).alias("asked")
+    lists = payload.parse_payload(orders).select(asked).distinct()
+    return lists.select(F.explode("asked").alias("question"))
+
+
 @check(f"""WITH {TICKETS_SQL}, raw_names AS (
   SELECT DISTINCT unnest(['dietary_habit', 'country_or_region']) AS target, unnest([
     CASE WHEN year % 2 = 0 THEN '{derive.DIET_EVEN}' ELSE '{derive.DIET_ODD}' END,
@@ -210,11 +217,7 @@ def wide_rows_updated_after(spark: SparkSession, folder: str) -> DataFrame:
 SELECT target, raw_name FROM raw_names
 """)
 def shared_targets(spark: SparkSession, folder: str) -> DataFrame:
-    rows = payload.parse_payload(derive.order_rows(spark, folder))
-    names = rows.select(F.explode("payload.data").alias("pair")).select(
-        F.col("pair")[0].alias("question")
-    )
-    return harmonise.shared_targets(names, "question")
+    return harmonise.shared_targets(_asked(derive.order_rows(spark, folder)), "question")
 
 
 @check(f"""WITH {TICKETS_SQL}
@@ -645,13 +648,12 @@ FROM canonical LEFT JOIN asked USING (name)
 """)
 def canonical_sets(spark: SparkSession, folder: str) -> DataFrame:
     """The canonical columns of every year and group, and whether the tickets' questions fill them."""
-    pairs = payload.parse_payload(derive.order_rows(spark, folder)).select(
-        F.explode("payload.data").alias("pair")
-    )
-    raw = pairs.select(reshape.question_of(F.col("pair")).alias("question")).distinct()
-    asked = raw.select(harmonise.target_name(F.col("question")).alias("name")).distinct()
+    raw = _asked(derive.order_rows(spark, folder)).distinct()
+    target = harmonise.target_name(F.col("question")).alias("name")
+    # counted, as Spark would leave out the first of two bare distincts and name every pair
+    asked = raw.groupBy(target).agg((F.count("*") > 0).alias("found"))
     sets = spark.createDataFrame(_CANONICAL, "year long, ticket_group string, name string")
-    met = sets.join(asked.withColumn("found", F.lit(True)), "name", "left")
+    met = sets.join(asked, "name", "left")
     return met.select(
         "year", "ticket_group", "name", F.coalesce("found", F.lit(False)).alias("is_asked")
     )
