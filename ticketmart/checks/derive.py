@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from ticketmart.checks.registry import table, tasks_for
 from ticketmart.operators.payload import to_payload_text
 
+# of one task: hashing takes it some seconds, so that the last tasks keep few cores waiting
+PAYLOADS = 100_000
+
 COMPANY = "Company  / 服務單位 (For students or teachers, fill in the School + Department Name)"
 JOB = 'Job Title / 職稱 (If you are a student, fill in "student")'
 DIET_EVEN, DIET_ODD = "Dietary Habit / 餐點偏好", "Dietary Preference / 飲食偏好"
@@ -77,7 +80,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 def _registrations(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     rows = (
-        orders.repartition(tasks_for(orders))
+        orders.repartition(tasks_for(orders, PAYLOADS))
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )

@@ -34,9 +34,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def tasks_for(rows: DataFrame) -> int:
+def tasks_for(rows: DataFrame, task_rows: int = TASK_ROWS) -> int:
     """Number of tasks for a table as it is read, by its number of rows, which its files tell."""
-    return max(TASKS, -(-rows.count() // TASK_ROWS))
+    return max(TASKS, -(-rows.count() // task_rows))
 
 
 def new_table_name(label: str) -> str:

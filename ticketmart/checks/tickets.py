@@ -9,7 +9,7 @@ from ticketmart import schemas, vocab
 from ticketmart.checks import derive
 from ticketmart.checks.derive import TICKETS_SQL
 from ticketmart.checks.registry import check, new_table_name, table
-from ticketmart.config import scratch
+from ticketmart.config import remove, scratch
 from ticketmart.operators import filters, harmonise, joins, payload, pii, reshape, statistics
 from ticketmart.plans import answers
 from ticketmart.plans import tickets as plan
@@ -346,9 +346,10 @@ def repeated_load_deduped(spark: SparkSession, folder: str) -> DataFrame:
     name, where = new_table_name("orders"), scratch(spark, "ods")
     tables.create_table(spark, name, schemas.TICKET_ORDERS, f"{where}/first")
     tickets = landed.tickets(derive.events(spark, folder), derive.attendees(spark, folder))
-    rows = plan.order_rows(tickets)
+    rows, held = plan.held_rows(spark, plan.order_rows(tickets))
     for _ in range(2):
         tables.append(rows, name, schemas.TICKET_ORDERS)
+    remove(spark, held)
     plan.dedupe_orders(spark, name, where)
     return spark.table(name).select(
         "id",

@@ -77,22 +77,23 @@ def _hashed_pair_text(pair: Column, question: Column, markers: Sequence[str]) ->
     """Text of a pair with its answer hashed; what is no such pair stays as it is.
 
     Inside a function over an array Spark evaluates an expression as often as it is
-    named, so parts are read by their paths, and those of an array only where the
-    question is a sensitive one.
+    named, so parts are read by their paths, the answer's text once, and all parts
+    only where a sensitive question has more than one answer.
     """
     part = lambda at, kind: F.try_variant_get(pair, f"$[{at}]", kind)
     parts = F.try_variant_get(pair, "$", "array<variant>")
-    answer = sha256_text(_text_of(part(1, "string"), part(1, "variant")))
+    digest = lambda text: sha256_text(_text_of(text, part(1, "variant")))
+    answer = F.get(F.transform(F.array(part(1, "string")), digest), F.lit(0))
     more = F.transform(
         F.slice(parts, 3, F.greatest(F.size(parts), F.lit(3))),
         lambda value: F.concat(F.lit(","), F.to_json(value)),
     )
     hashed = F.concat(
         F.lit("["), F.to_json(part(0, "variant")), F.lit(',"'), answer, F.lit('"'),
-        F.when(F.size(parts) > 2, F.array_join(more, "")).otherwise(""), F.lit("]"),
+        F.when(part(2, "variant").isNotNull(), F.array_join(more, "")).otherwise(""), F.lit("]"),
     )
-    wanted = F.coalesce(_is_sensitive(question, markers), F.lit(False)) & (F.size(parts) >= 2)
-    return F.when(F.coalesce(wanted, F.lit(False)), hashed).otherwise(
+    wanted = F.coalesce(_is_sensitive(question, markers), F.lit(False)) & part(1, "variant").isNotNull()
+    return F.when(wanted, hashed).otherwise(
         F.coalesce(F.to_json(pair), F.lit("null"))
     )
 

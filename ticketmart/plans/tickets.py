@@ -125,6 +125,13 @@ def order_rows(tickets: DataFrame) -> DataFrame:
     )
 
 
+def held_rows(spark: SparkSession, orders: DataFrame) -> tuple[DataFrame, str]:
+    """Orders written to the shared folder, so that several loads hash them once, and the path."""
+    held = scratch(spark, "hashed")
+    orders.write.parquet(held)
+    return spark.read.schema(orders.schema).parquet(held), held
+
+
 def sensitive_answers(tickets: DataFrame) -> DataFrame:
     """Unhashed personal answers per ticket, for a job that may see them."""
     return parse_payload(tickets).select(
