@@ -37,3 +37,16 @@ def test_hashing_of_large_tables_is_spread(spark):
     assert tasks_for(spark.range(2_000_001), derive.PAYLOADS) == 21
 
 
+def test_a_load_run_twice_hashes_payloads_once(spark, monkeypatch):
+    loaded, load = [], plan.load_orders
+
+    def noted(spark, orders, *more):
+        loaded.append(plan_of(orders))
+        return load(spark, orders, *more)
+
+    monkeypatch.setattr(plan, "load_orders", noted)
+    assert tickets.loaded_twice_deduped(spark, SMOKE).where("copies = 1").count() == 1500
+    assert len(loaded) == 2
+    assert not any("sha2" in text for text in loaded)
+
+

@@ -478,9 +478,10 @@ def loaded_twice_deduped(spark: SparkSession, folder: str) -> DataFrame:
     """The load job run twice over all tickets, then deduped by partition."""
     ods, wide = new_table_name("orders"), new_table_name("wide")
     tickets = landed.tickets(derive.events(spark, folder), derive.attendees(spark, folder))
-    orders = plan.order_rows(tickets)
+    orders, held = plan.held_rows(spark, plan.order_rows(tickets))
     for _ in range(2):
         plan.load_orders(spark, orders, ods, wide)
+    remove(spark, held)
     plan.dedupe_orders(spark, ods, scratch(spark, "unused"), since=0.0)
     return spark.table(ods).groupBy("id", "attendee_id").agg(F.count("*").alias("copies"))
 
