@@ -50,3 +50,25 @@ def test_a_load_run_twice_hashes_payloads_once(spark, monkeypatch):
     assert not any("sha2" in text for text in loaded)
 
 
+def test_a_batch_reads_landed_replies_once(spark, monkeypatch):
+    seen, sort_out = [], plan.sort_out
+
+    def noted(events, attendees):
+        seen.append((attendees.inputFiles(), attendees.collect()))
+        return sort_out(events, attendees)
+
+    monkeypatch.setattr(plan, "sort_out", noted)
+    landing = Landing(spark)
+    landing.attend(1)
+    landing.attend(2, time=500.0)
+    landing.attend(3, is_paid=False)
+    landing.attend(4, time=None)
+    landing.attend(5, event=7)
+    landing.put("attendees", {"event_id": None, "attendee_info": payload(id=6)})
+    landing.run(0.0, 100.0)
+    ((files, rows),) = seen
+    assert files and all(name.endswith(".parquet") for name in files)
+    assert sorted(json.loads(row.attendee_info)["id"] for row in rows) == [1, 4, 5, 6]
+    assert ids(landing.output("orders")) == [1]
+    assert ids(landing.output("rejected")) == [4, 6]
+    assert ids(landing.output("waiting")) == [5]

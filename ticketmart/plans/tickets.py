@@ -68,16 +68,27 @@ def under_run(attendees: DataFrame, year: int, start: float, end: float) -> Data
     )
 
 
-def asked_for(attendees: DataFrame) -> DataFrame:
-    """Paid attendees that were updated within the interval of their own run."""
+def _is_asked_for() -> Column:
     state = F.from_json("attendee_info", "is_paid boolean, updated_at double")
     inside = lambda s: filters.in_interval(
         s["updated_at"], F.col("run_start"), F.col("run_end")
     )
     # one condition over one parse; as separate filters Spark would parse for each of them
-    return filters.paid_only(
-        attendees, F.exists(F.array(state), lambda s: inside(s) & s["is_paid"])
-    )
+    return F.exists(F.array(state), lambda s: inside(s) & s["is_paid"])
+
+
+def asked_for(attendees: DataFrame) -> DataFrame:
+    """Paid attendees that were updated within the interval of their own run."""
+    return filters.paid_only(attendees, _is_asked_for())
+
+
+def of_concern(attendees: DataFrame) -> DataFrame:
+    """Attendees that a run rejects, or loads or lets wait: those it asks for.
+
+    All others a run leaves out, so its steps need not read them again.
+    """
+    asked = F.coalesce(_is_asked_for(), F.lit(False))
+    return attendees.where(asked | _reject_reason().isNotNull())
 
 
 def selected_by_run(event_rows: DataFrame, attendees: DataFrame) -> DataFrame:

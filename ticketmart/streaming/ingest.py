@@ -105,6 +105,10 @@ def ingest_tickets(
             earlier = earlier.where(F.col("batch_id") == batch_id - 1).drop("batch_id")
             batch = batch.unionByName(earlier, allowMissingColumns=True)
         batch = ticket_plan.under_run(batch, year, start, end)
+        # landed replies are read once; the steps below read those they can have a use for
+        held_batch = scratch(spark, "batch")
+        ticket_plan.of_concern(batch).write.parquet(held_batch)
+        batch = spark.read.schema(batch.schema).parquet(held_batch)
         rejected, waiting = ticket_plan.sort_out(events, batch)
         store("rejected", rejected.drop(*ticket_plan.RUN))
         store("waiting", ticket_plan.asked_for(waiting).distinct())
@@ -124,6 +128,7 @@ def ingest_tickets(
         stored = store("orders", fresh.drop("digest", "updated_at"))
         store("stored", chosen.select("id", "digest", "updated_at").distinct())
         remove(spark, held)
+        remove(spark, held_batch)
         store("wide_rejected", ticket_plan.wide_rejects(stored))
         routed = route(stored, F.col("name"), vocab.TICKET_GROUPS)
         for group in vocab.TICKET_GROUPS:
