@@ -50,6 +50,24 @@ def test_a_load_run_twice_hashes_payloads_once(spark, monkeypatch):
     assert not any("sha2" in text for text in loaded)
 
 
+def test_stored_times_are_not_read_from_payloads(spark):
+    orders = plan.raw_rows(plan.order_rows(raw(spark, payload(id=1), payload(id=2, updated_at=None), payload(id=3, updated_at="x"))))
+    held, _ = plan.held_rows(spark, orders)
+    timed, undated = plan.split_timed(held)
+    assert "get_json_object" not in plan_of(timed) + plan_of(undated)
+    assert (ids(timed), ids(undated)) == ([1], [2, 3])
+
+
+def test_rejects_parse_a_payload_once(spark):
+    rows = raw(spark, payload(), payload(reg_no="A-1"), payload(reg_no="7", price="free"), payload(price=" "))
+    rejects = plan.wide_rejects(rows)
+    assert plan_of(rejects).count("from_json") == 1
+    assert sorted(row.reason for row in rejects.collect()) == [
+        "price is no number",
+        "registration number is no number",
+    ]
+
+
 def test_a_batch_reads_landed_replies_once(spark, monkeypatch):
     seen, sort_out = [], plan.sort_out
 

@@ -152,7 +152,9 @@ def sensitive_answers(tickets: DataFrame) -> DataFrame:
 
 def split_timed(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Orders that have a time, and those to put aside since nothing can date them."""
-    undated = F.get_json_object("attendee_info", "$.updated_at").try_cast("double").isNull()
+    time = F.get_json_object("attendee_info", "$.updated_at").try_cast("double")
+    # as the raw table stores it, which need not be read from the payload again
+    undated = (F.col("updated_at") if "updated_at" in orders.columns else time).isNull()
     return orders.where(~undated), orders.where(undated)
 
 
@@ -201,8 +203,10 @@ def _not_a_number(reg_no: Column, price: Column) -> Column:
 
 def wide_rejects(orders: DataFrame) -> DataFrame:
     """Orders that `wide_rows` leaves out, with the reason."""
-    payload = F.from_json("attendee_info", "reg_no string, price string")
-    reason = _not_a_number(payload["reg_no"], payload["price"])
+    payload = F.array(F.from_json("attendee_info", "reg_no string, price string"))
+    reasons = F.transform(payload, lambda p: _not_a_number(p["reg_no"], p["price"]))
+    # generated, as a filter on a reason would parse once for each field that it names
+    reason = F.explode(F.array(F.get(reasons, F.lit(0))))
     return orders.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
